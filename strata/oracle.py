@@ -79,14 +79,20 @@ b_products AS (
          TIMESTAMP '2001-12-31 00:00:00' AS _bronze_ingested_at
   FROM part
 ),
-b_fx AS (
+b_fx_all AS (
   SELECT rate_date,
          'USD' AS base_currency,
          quote_currency,
-         CAST(base_milli * (991 + day(rate_date) % 19) / 1000000 AS DECIMAL(12,6)) AS rate,
+         CAST(((base_milli * (991 + day(rate_date) % 19) * 100 + 50) // 100) / 1000000
+              AS DECIMAL(12,6)) AS rate,
+         CAST(((base_milli * (991 + day(rate_date) % 19) * 101 + 50) // 100) / 1000000
+              AS DECIMAL(12,6)) AS stale_rate,
          TIMESTAMP '2001-12-31 00:00:00' AS _bronze_ingested_at
   FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_date FROM orders) d
   CROSS JOIN (VALUES ('EUR', 920), ('GBP', 790), ('EGP', 48500)) q(quote_currency, base_milli)
+),
+b_fx AS (
+  SELECT * EXCLUDE (stale_rate) FROM b_fx_all
   WHERE NOT (quote_currency = 'EGP' AND day(rate_date) % 29 = 0)
 )"""
 
@@ -298,8 +304,86 @@ def _q(select: str) -> str:
     return CTES + select
 
 
+THRESHOLDS = "(VALUES ('products', 3.0), ('customers', 1.5), ('exchange_rates', 0.5), " \
+    "('orders', 1.0), ('order_items', 1.0)) th(tbl, threshold_pct)"
+
+GATE_REPORT = f"""
+SELECT c.tbl AS "table", c.good, c.quarantined,
+       COALESCE(CASE WHEN c.good + c.quarantined > 0 THEN
+         ((CAST(c.quarantined AS HUGEINT) * 20000 + (c.good + c.quarantined))
+           // (2 * (c.good + c.quarantined))) / 100 END, 0.0) AS quarantine_pct,
+       CAST(th.threshold_pct AS DOUBLE) AS threshold_pct,
+       COALESCE(CASE WHEN c.good + c.quarantined > 0 THEN
+         ((CAST(c.quarantined AS HUGEINT) * 20000 + (c.good + c.quarantined))
+           // (2 * (c.good + c.quarantined))) / 100 END, 0.0) <= th.threshold_pct AS passed
+FROM (
+  SELECT 'products' AS tbl, count_if(_dq_failed_checks = '') AS good, count_if(_dq_failed_checks <> '') AS quarantined FROM p_flag
+  UNION ALL SELECT 'customers', count_if(_dq_failed_checks = ''), count_if(_dq_failed_checks <> '') FROM c_flag
+  UNION ALL SELECT 'exchange_rates', count_if(_dq_failed_checks = ''), count_if(_dq_failed_checks <> '') FROM fx_flag
+  UNION ALL SELECT 'orders', count_if(_dq_failed_checks = ''), count_if(_dq_failed_checks <> '') FROM o_flag
+  UNION ALL SELECT 'order_items', count_if(_dq_failed_checks = ''), count_if(_dq_failed_checks <> '') FROM i_flag
+) c JOIN {THRESHOLDS} ON c.tbl = th.tbl
+"""
+
+VALIDATE = " UNION ALL ".join(
+    f"SELECT '{m}' AS mart, (SELECT count(*) FROM (SELECT 1 FROM g_{m} LIMIT 1)) > 0 AS has_rows"
+    for m in ["daily_sales", "customer_360", "monthly_revenue", "inventory_summary", "product_performance"]
+)
+
+LIVE = """
+SELECT o.customer_id, o.open_order_count, o.open_order_total, o.latest_open_order_date,
+       c.country, c.customer_segment, g.lifetime_order_count, g.lifetime_revenue_usd
+FROM (SELECT customer_id, count(*) AS open_order_count,
+             CAST(sum(order_total) AS DECIMAL(22,2)) AS open_order_total,
+             max(order_date) AS latest_open_order_date
+      FROM b_orders WHERE order_status IN ('PLACED', 'SHIPPED') GROUP BY customer_id) o
+JOIN b_customers c ON o.customer_id = c.customer_id
+LEFT JOIN g_customer_360 g ON o.customer_id = g.customer_id
+"""
+
+FX_COMPOSITE = """
+SELECT rate_date, base_currency, quote_currency, rate FROM (
+  SELECT *, row_number() OVER (PARTITION BY rate_date, base_currency, quote_currency
+                               ORDER BY _bronze_ingested_at DESC NULLS LAST) AS _rn
+  FROM (SELECT rate_date, base_currency, quote_currency, rate, _bronze_ingested_at FROM b_fx
+        UNION ALL
+        SELECT rate_date, base_currency, quote_currency, stale_rate,
+               _bronze_ingested_at - INTERVAL 1 DAY FROM b_fx_all))
+WHERE _rn = 1
+"""
+
+# First extraction sees orders / rates dated before 1998-01-01; the second
+# extracts everything past the stored watermark.
+FIRST_CUTOFF = "DATE '1998-01-01'"
+ORDERS_WM1 = f"(SELECT max(order_ts) FROM b_orders WHERE order_date < {FIRST_CUTOFF})"
+
+BRONZE_HISTORY = f"""
+SELECT CASE WHEN order_date < {FIRST_CUTOFF} THEN 'b1' ELSE 'b2' END AS batch_id,
+       count(*) AS "rows", min(order_ts) AS min_order_ts, max(order_ts) AS max_order_ts
+FROM b_orders GROUP BY 1
+"""
+
+INCREMENTAL = f"""
+SELECT order_id, customer_id, order_ts, order_status, currency_code, order_total
+FROM b_orders WHERE order_ts > {ORDERS_WM1}
+"""
+
+WATERMARKS = """
+SELECT 'orders' AS source_table, CAST(max(order_ts) AS VARCHAR) AS watermark_value FROM b_orders
+UNION ALL
+SELECT 'exchange_rates', CAST(max(rate_date) AS VARCHAR) FROM b_fx
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "dedupe_fx_composite": _q(FX_COMPOSITE),
+        "dq_gate_report": _q(GATE_REPORT),
+        "validate_outputs": _q(VALIDATE),
+        "live_customer_orders": _q(LIVE),
+        "bronze_append_history": _q(BRONZE_HISTORY),
+        "incremental_orders": _q(INCREMENTAL),
+        "watermark_latest": _q(WATERMARKS),
         "gold_daily_sales": _q("SELECT * FROM g_daily_sales"),
         "gold_customer_360": _q("SELECT * FROM g_customer_360"),
         "gold_monthly_revenue": _q("SELECT * FROM g_monthly_revenue"),

@@ -11,10 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from strata.operators.audit import INGESTED_AT
 from strata.operators.dedupe import dedupe_latest
-from strata.operators.quality import FAILED
-from strata.plans.views import TestdataLake
-from strata.sources import testdata
+from strata.operators.quality import FAILED, dq_counts
+from strata.plans import gate, validate
+from strata.plans.bronze import SourceSpec, extract
+from strata.plans.silver import FX_KEYS
+from strata.plans.views import MARTS, SILVER_TABLES, TestdataLake
+from strata.session import checkpoint_root
+from strata.sources import live, testdata
+from strata.sources import watermark as wm
+from strata.sources.store import TableStore
 
 ORDER_COLS = [
     "order_id", "customer_id", "order_date", "order_status", "sales_channel",
@@ -92,6 +104,120 @@ def dedupe_order_items(spark, sf_dir):
     )
 
 
+def dedupe_fx_composite(spark, sf_dir):
+    """D1 on the 3-column rate key over the current rates file unioned
+    with an older, stale copy (1% higher, one day older, no gaps): the
+    current rate wins wherever both exist, the stale one survives where
+    the current file has no row."""
+    current = testdata.exchange_rates(spark, sf_dir)
+    stale = testdata.exchange_rates(spark, sf_dir, with_gaps=False, bump_pct=1).withColumn(
+        INGESTED_AT, F.lit(testdata.SNAPSHOT_TS - dt.timedelta(days=1)).cast("timestamp_ntz")
+    )
+    latest = dedupe_latest(current.unionByName(stale), FX_KEYS)
+    return latest.select(*FX_KEYS, "rate")
+
+
+def dq_gate_report(spark, sf_dir):
+    """Q4/Q5 on the silver splits: counts per table, rounded rate,
+    threshold, pass/fail (orders and order_items fail on this data)."""
+    lake = _lake(spark, sf_dir)
+    parts = [
+        dq_counts(lake.silver(t).flagged).select(F.lit(t).alias("table"), "good", "quarantined")
+        for t in SILVER_TABLES
+    ]
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    return gate.gate_report(counts)
+
+
+def validate_outputs(spark, sf_dir):
+    """Q7 over the five marts: (mart, has_rows)."""
+    lake = _lake(spark, sf_dir)
+    return validate.validate_frames({m: lake.mart(m) for m in MARTS})
+
+
+def live_customer_orders(spark, sf_dir):
+    """S8 with Parquet stand-ins for the two operational sources."""
+    lake = _lake(spark, sf_dir)
+    orders_src = testdata.source_frame(testdata.orders(spark, sf_dir))
+    customers_src = testdata.source_frame(testdata.customers(spark, sf_dir))
+    return live.live_customer_orders(orders_src, customers_src, lake.customer_360())
+
+
+# -- incremental extraction, run against a private store -------------------
+
+# The source "as of the first run" holds the orders placed before this
+# date and the rates quoted before it; the second run sees everything.
+FIRST_RUN_CUTOFF = dt.date(1998, 1, 1)
+
+
+def _scratch_store(spark, name: str) -> TableStore:
+    root = f"{checkpoint_root(spark).rstrip('/')}/strata-queries/{name}-{uuid.uuid4().hex[:10]}"
+    store = TableStore(spark, root)
+    store.ensure_layers()
+    return store
+
+
+def _two_run_extraction(spark, sf_dir, name: str) -> TableStore:
+    store = _scratch_store(spark, name)
+    orders_all = lambda s: testdata.source_frame(testdata.orders(s, sf_dir))
+    fx_all = lambda s: testdata.source_frame(testdata.exchange_rates(s, sf_dir))
+    first = [
+        SourceSpec("orders", "tpch-orders",
+                   lambda s: orders_all(s).where(F.col("order_date") < F.lit(FIRST_RUN_CUTOFF)),
+                   watermark_col="order_ts"),
+        SourceSpec("exchange_rates", "tpch-fx",
+                   lambda s: fx_all(s).where(F.col("rate_date") < F.lit(FIRST_RUN_CUTOFF)),
+                   watermark_col="rate_date"),
+    ]
+    second = [
+        SourceSpec("orders", "tpch-orders", orders_all, watermark_col="order_ts"),
+        SourceSpec("exchange_rates", "tpch-fx", fx_all, watermark_col="rate_date"),
+    ]
+    t1, t2 = dt.datetime(2002, 1, 1), dt.datetime(2002, 1, 2)
+    for spec in first:
+        extract(spark, store, spec, run_ts=t1, batch_id="b1")
+    for spec in second:
+        extract(spark, store, spec, run_ts=t2, batch_id="b2")
+    # Replaying the second batch must not add rows (idempotent append)
+    # and finds nothing new past the watermark.
+    for spec in second:
+        extract(spark, store, spec, run_ts=t2, batch_id="b2")
+    return store
+
+
+def bronze_append_history(spark, sf_dir):
+    """K2/B-orders: rows and order-time range appended per batch."""
+    store = _two_run_extraction(spark, sf_dir, "bronze_append_history")
+    return (
+        store.read("bronze", "orders")
+        .groupBy("_batch_id")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("order_ts").alias("min_order_ts"),
+            F.max("order_ts").alias("max_order_ts"),
+        )
+        .withColumnRenamed("_batch_id", "batch_id")
+    )
+
+
+def incremental_orders(spark, sf_dir):
+    """The orders the second run extracted (past the watermark)."""
+    store = _two_run_extraction(spark, sf_dir, "incremental_orders")
+    return (
+        store.read("bronze", "orders")
+        .where(F.col("_batch_id") == "b2")
+        .select("order_id", "customer_id", "order_ts", "order_status", "currency_code", "order_total")
+    )
+
+
+def watermark_latest(spark, sf_dir):
+    """The current watermark of each source after both runs."""
+    store = _two_run_extraction(spark, sf_dir, "watermark_latest")
+    return wm.latest(store).select("source_table", "watermark_value")
+
+
 QUERIES: dict[str, Query] = {
     "gold_daily_sales": gold_daily_sales,
     "gold_customer_360": gold_customer_360,
@@ -106,4 +232,11 @@ QUERIES: dict[str, Query] = {
     "dq_split_products": dq_split_products,
     "dq_split_fx": dq_split_fx,
     "dedupe_order_items": dedupe_order_items,
+    "dedupe_fx_composite": dedupe_fx_composite,
+    "dq_gate_report": dq_gate_report,
+    "validate_outputs": validate_outputs,
+    "live_customer_orders": live_customer_orders,
+    "bronze_append_history": bronze_append_history,
+    "incremental_orders": incremental_orders,
+    "watermark_latest": watermark_latest,
 }

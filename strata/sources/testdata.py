@@ -154,10 +154,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exchange_rates(
+    spark: SparkSession, sf_dir: str, with_gaps: bool = True, bump_pct: int = 0
+) -> DataFrame:
     """One rate per order date and quoted currency, derived from the
     orders table (a distinct over one date column, then a fixed
-    three-way ``explode`` -- no join)."""
+    three-way ``explode`` -- no join).
+
+    ``with_gaps=False`` keeps the EGP days that normally have no rate;
+    ``bump_pct`` raises every rate by that many percent (an older, stale
+    copy of the file for the dedupe test)."""
     dates = (
         table(spark, sf_dir, "orders")
         .select(F.col("o_orderdate").cast("date").alias("rate_date"))
@@ -170,7 +176,8 @@ def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     day = F.dayofmonth("rate_date")
-    micro = F.col("q.base_milli") * (F.lit(991) + day % 19)
+    scaled = F.col("q.base_milli").cast("bigint") * (F.lit(991) + day % 19) * (100 + bump_pct) + 50
+    micro = F.call_function("div", scaled, F.lit(100))  # half-up to millionths
     rates = dates.select("rate_date", F.explode(quotes).alias("q")).select(
         "rate_date",
         F.lit("USD").alias("base_currency"),
@@ -179,9 +186,16 @@ def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         _snapshot_ts().alias(INGESTED_AT),
         F.lit("tpch-fx").alias(SOURCE),
     )
+    if not with_gaps:
+        return rates
     return rates.where(~((F.col("quote_currency") == "EGP") & (day % 29 == 0)))
 
 
+def source_frame(view: DataFrame) -> DataFrame:
+    """A view as its *source* system would return it (no audit columns)."""
+    return view.drop(INGESTED_AT, SOURCE)
+
+
 VIEWS = {
     "orders": orders,
     "order_items": order_items,
