@@ -76,15 +76,18 @@ def write_silver(
         good = (
             flagged.where(F.col(FAILED) == "")
             .drop(FAILED)
-            .observe(good_obs, F.count(F.lit(1)).alias("n"))
             .withColumn(MONTH, F.date_format(F.col(date_col), "yyyy-MM"))
         )
         # Range partitioning on (month, date, key) splits even a month or a
         # day that holds a third of the rows over many tasks; each file is
-        # sorted by date for row-group pruning.
-        clustered = good.repartitionByRange(
-            F.col(MONTH), F.col(date_col), *[F.col(k) for k in keys]
-        ).sortWithinPartitions(MONTH, date_col)
+        # sorted by date for row-group pruning.  The count is observed
+        # after the exchange: the range partitioner's sampling job runs
+        # the plan below it a second time and would count rows twice.
+        clustered = (
+            good.repartitionByRange(F.col(MONTH), F.col(date_col), *[F.col(k) for k in keys])
+            .sortWithinPartitions(MONTH, date_col)
+            .observe(good_obs, F.count(F.lit(1)).alias("n"))
+        )
         store.replace("silver", name, clustered, partition_by=[MONTH])
         bad = flagged.where(F.col(FAILED) != "").observe(bad_obs, F.count(F.lit(1)).alias("n"))
         store.replace("quarantine", name, bad)
