@@ -1,10 +1,72 @@
-"""Dense rank within a group, descending."""
+"""Dense rank within a group, descending -- split for hot groups.
+
+``dense_rank() over (partition by g order by v desc)`` sends every row of
+a group to one task; a group holding a third of all rows would make that
+task the whole job.  The split form computes the same ranks with no
+group in one task:
+
+1. ``distinct (g, v)``: a grouped aggregate (map-side combined), so
+   repeated values collapse before any shuffle; the dense rank of ``v``
+   is its row number among the distinct values of ``g``.
+2. Range-partition the distinct pairs by ``(g, v desc)``: Spark samples
+   the keys and cuts balanced ranges, so a hot group spans many
+   partitions.  ``spark_partition_id()`` then orders the pieces.
+3. Local row number within ``(g, partition)`` plus an offset: the number
+   of distinct values of ``g`` in all earlier partitions, computed on the
+   tiny ``(g, partition) -> count`` table (at most partitions + groups
+   rows) with a running sum.
+4. Join the ranks back on ``(g, v)``.
+
+The range bounds are fixed once per execution (the partitioner is built
+before the map stage; a retried task reuses it), so ranks are stable
+under task retries.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_PID, _LOCAL, _CNT, _OFF = "_rank_pid", "_rank_local", "_rank_cnt", "_rank_off"
+
 
-def dense_rank_desc(df: DataFrame, group_col: str, value_col: str, out_col: str) -> DataFrame:
+def dense_rank_desc_window(df: DataFrame, group_col: str, value_col: str, out_col: str) -> DataFrame:
+    """The plain window form (one task per group)."""
     w = Window.partitionBy(group_col).orderBy(F.col(value_col).desc())
     return df.withColumn(out_col, F.dense_rank().over(w))
+
+
+def dense_rank_desc(
+    df: DataFrame,
+    group_col: str,
+    value_col: str,
+    out_col: str,
+    num_ranges: int | None = None,
+) -> DataFrame:
+    """Dense rank of ``value_col`` (descending, NULLs last) within
+    ``group_col``, without placing any group in a single task."""
+    g, v = F.col(group_col), F.col(value_col)
+    values = df.select(group_col, value_col).distinct()
+    ranged = (
+        values.repartitionByRange(num_ranges, g.asc_nulls_first(), v.desc_nulls_last())
+        if num_ranges
+        else values.repartitionByRange(g.asc_nulls_first(), v.desc_nulls_last())
+    ).withColumn(_PID, F.spark_partition_id())
+    local = ranged.withColumn(
+        _LOCAL,
+        F.row_number().over(Window.partitionBy(group_col, _PID).orderBy(v.desc_nulls_last())),
+    )
+    counts = ranged.groupBy(group_col, _PID).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.partitionBy(group_col).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(before), F.lit(0))).drop(_CNT)
+    o = offsets.withColumnRenamed(group_col, "_off_g").withColumnRenamed(_PID, "_off_pid")
+    ranks = local.join(
+        o, local[group_col].eqNullSafe(o["_off_g"]) & (local[_PID] == o["_off_pid"]), "inner"
+    ).select(group_col, value_col, (F.col(_OFF) + F.col(_LOCAL)).cast("int").alias(out_col))
+    return _join_back(df, ranks, group_col, value_col)
+
+
+def _join_back(df: DataFrame, ranks: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """Equi-join on (g, v) that also matches NULL values (null-safe)."""
+    r = ranks.withColumnRenamed(group_col, "_rk_g").withColumnRenamed(value_col, "_rk_v")
+    cond = df[group_col].eqNullSafe(r["_rk_g"]) & df[value_col].eqNullSafe(r["_rk_v"])
+    return df.join(r, cond, "left").drop("_rk_g", "_rk_v")

@@ -30,7 +30,7 @@ b_orders AS (
               WHEN o_orderkey % 20 < 17 THEN 'GBP'
               ELSE 'EGP' END AS currency_code,
          CAST((o_orderkey % 1500) / 100 AS DECIMAL(10,2)) AS shipping_cost,
-         CAST(o_totalprice AS DECIMAL(12,2)) AS order_total,
+         CAST(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) / 100 AS DECIMAL(12,2)) AS order_total,
          o_orderdate AS _bronze_ingested_at
   FROM orders
 ),
@@ -40,11 +40,11 @@ b_items AS (
          l_partkey AS product_id,
          CAST(l_quantity AS INTEGER) AS quantity,
          CASE WHEN CAST(l_quantity AS INTEGER) > 0 THEN
-           CAST(((CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) * 2
+           CAST(((CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * 2
                   + CAST(l_quantity AS INTEGER)) // (2 * CAST(l_quantity AS INTEGER))) / 100
                 AS DECIMAL(10,2)) END AS unit_price,
-         CAST(l_discount AS DECIMAL(4,3)) AS discount_pct,
-         CAST(l_extendedprice AS DECIMAL(12,2)) AS line_total,
+         CAST(CAST(floor(l_discount * 1000 + 0.5) AS BIGINT) / 1000 AS DECIMAL(4,3)) AS discount_pct,
+         CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) / 100 AS DECIMAL(12,2)) AS line_total,
          l_shipdate AS _bronze_ingested_at
   FROM lineitem
 ),
@@ -72,9 +72,9 @@ b_products AS (
          p_type AS category,
          split_part(p_name, ' ', 1) AS subcategory,
          p_brand AS brand,
-         CAST(((CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 100 AS BIGINT)
+         CAST(((CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT)
                 * (p_size + 60) * 2 + 100) // 200) / 100 AS DECIMAL(10,2)) AS unit_cost,
-         CAST(p_retailprice AS DECIMAL(10,2)) AS list_price,
+         CAST(CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) / 100 AS DECIMAL(10,2)) AS list_price,
          TRUE AS is_active,
          TIMESTAMP '2001-12-31 00:00:00' AS _bronze_ingested_at
   FROM part

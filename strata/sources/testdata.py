@@ -45,6 +45,17 @@ FX_BASES_MILLI = [("EUR", 920), ("GBP", 790), ("EGP", 48500)]
 ITEM_TIE_BREAKERS = ["product_id", "line_total", "quantity", "discount_pct"]
 
 
+def to_decimal(col: str | F.Column, precision: int, scale: int) -> F.Column:
+    """A double as ``decimal(precision, scale)``, rounded half-up (toward
+    +inf) on its binary value.  Integer arithmetic plus one multiply by
+    ``10^-scale`` keeps the value in Spark's compact decimal form; a
+    plain ``cast`` parses every double through its decimal string."""
+    c = F.col(col) if isinstance(col, str) else col
+    units = F.floor(c * (10 ** scale) + 0.5).cast(f"decimal({precision},0)")
+    step = F.lit(10 ** -scale).cast(f"decimal({scale},{scale})")
+    return (units * step).cast(f"decimal({precision},{scale})")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -80,8 +91,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.alias("order_status"),
         channel.alias("sales_channel"),
         currency.alias("currency_code"),
-        ((key % 1500) / 100).cast("decimal(10,2)").alias("shipping_cost"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("order_total"),
+        ((key % 1500).cast("decimal(10,0)") * F.lit(0.01).cast("decimal(2,2)"))
+        .cast("decimal(10,2)")
+        .alias("shipping_cost"),
+        to_decimal("o_totalprice", 12, 2).alias("order_total"),
         F.col("o_orderdate").alias(INGESTED_AT),
         F.lit("tpch-orders").alias(SOURCE),
     )
@@ -90,14 +103,22 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity").cast("int")
-    line_total = F.col("l_extendedprice").cast("decimal(12,2)")
+    line_total = to_decimal("l_extendedprice", 12, 2)
+    # unit price = line_total / quantity, half-up to cents, in integer
+    # arithmetic (decimal division would widen to decimal(23,13), which
+    # Spark evaluates with BigDecimal on every row).
+    line_cents = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint")
+    unit_cents = F.call_function("div", line_cents * 2 + qty, qty * 2)
+    unit_price = F.when(
+        qty > 0, (unit_cents.cast("decimal(12,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(10,2)")
+    )
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         qty.alias("quantity"),
-        F.try_divide(line_total, qty).cast("decimal(10,2)").alias("unit_price"),
-        F.col("l_discount").cast("decimal(4,3)").alias("discount_pct"),
+        unit_price.alias("unit_price"),
+        to_decimal("l_discount", 4, 3).alias("discount_pct"),
         line_total.alias("line_total"),
         F.col("l_shipdate").alias(INGESTED_AT),
         F.lit("tpch-lineitem").alias(SOURCE),
@@ -138,8 +159,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    list_price = F.col("p_retailprice").cast("decimal(10,2)")
-    unit_cost = (list_price * (F.col("p_size") + 60) / 100).cast("decimal(10,2)")
+    list_price = to_decimal("p_retailprice", 10, 2)
+    list_cents = F.floor(F.col("p_retailprice") * 100 + 0.5).cast("bigint")
+    cost_cents = F.call_function("div", list_cents * (F.col("p_size") + 60) * 2 + 100, F.lit(200))
+    unit_cost = (cost_cents.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(10,2)")
     return p.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -182,7 +205,9 @@ def exchange_rates(
         "rate_date",
         F.lit("USD").alias("base_currency"),
         F.col("q.quote_currency").alias("quote_currency"),
-        (micro.cast("decimal(18,0)") / 1_000_000).cast("decimal(12,6)").alias("rate"),
+        (micro.cast("decimal(12,0)") * F.lit(0.000001).cast("decimal(6,6)"))
+        .cast("decimal(12,6)")
+        .alias("rate"),
         _snapshot_ts().alias(INGESTED_AT),
         F.lit("tpch-fx").alias(SOURCE),
     )

@@ -87,3 +87,18 @@ def test_product_performance_ranks_and_shares(spark):
     assert [got[i]["pct_of_category_revenue"] for i in (1, 2, 3)] == [40.0, 40.0, 20.0]
     # category total 0 -> 0.0 %
     assert (got[4]["revenue_usd"], got[4]["pct_of_category_revenue"], got[4]["rank_in_category"]) == (0.0, 0.0, 1)
+
+
+def test_split_dense_rank_equals_window_form_with_a_hot_group(spark):
+    from strata.operators.ranking import dense_rank_desc, dense_rank_desc_window
+
+    # group 'hot' holds most rows, with repeated and NULL values
+    df = spark.range(3000).selectExpr(
+        "id",
+        "CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 < 9 THEN 'warm' ELSE NULL END AS g",
+        "CASE WHEN id % 97 = 0 THEN NULL ELSE (id * 7919) % 500 END AS v",
+    )
+    split = dense_rank_desc(df, "g", "v", "r", num_ranges=13)
+    plain = dense_rank_desc_window(df, "g", "v", "r")
+    assert split.count() == 3000
+    assert split.exceptAll(plain.select(*split.columns)).count() == 0
