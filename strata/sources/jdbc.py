@@ -27,7 +27,12 @@ def jdbc_scan(
     predicates: Sequence[str] | None = None,
     fetch_size: int | None = 10_000,
 ) -> DataFrame:
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    reader = (
+        spark.read.format("jdbc")
+        .option("url", url)
+        .option("dbtable", table)
+        .option("pushDownAggregate", "true")
+    )
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if fetch_size:

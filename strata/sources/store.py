@@ -19,6 +19,7 @@ filesystem calls go through Hadoop's ``FileSystem`` of that path.
 """
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Sequence
@@ -29,6 +30,7 @@ from pyspark.sql.types import StructType
 LAYERS = ("bronze", "silver", "gold", "quarantine", "control")
 _VERSION_PREFIX = "_v="
 _SUCCESS = "_SUCCESS"
+_SCHEMA = "_strata_schema.json"
 
 
 class TableNotFound(LookupError):
@@ -106,8 +108,36 @@ class TableStore:
         path = self.current_path(layer, name)
         if path is None:
             raise TableNotFound(f"{layer}.{name}")
+        if not self._has_data(path) and self._exists(f"{path}/{_SCHEMA}"):
+            # an empty rebuild: no data files, only the recorded schema
+            schema = StructType.fromJson(json.loads(self._read_text(f"{path}/{_SCHEMA}")))
+            return self.spark.createDataFrame([], schema)
         return self.spark.read.parquet(path)
 
+    def _read_text(self, p: str) -> str:
+        fs, path = self._path(p)
+        stream = fs.open(path)
+        try:
+            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
+                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8")
+            )
+            lines = []
+            line = reader.readLine()
+            while line is not None:
+                lines.append(line)
+                line = reader.readLine()
+            return "\n".join(lines)
+        finally:
+            stream.close()
+
+    def _write_text(self, p: str, text: str) -> None:
+        fs, path = self._path(p)
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
     def read_or_empty(self, layer: str, name: str, schema: StructType | str) -> DataFrame:
         """K7 for readers: a missing table reads as empty with ``schema``."""
         if self.exists(layer, name):
@@ -130,6 +160,9 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
+        # The schema travels with the version, so an empty rebuild (no data
+        # files) still reads back with its columns.
+        self._write_text(f"{target}/{_SCHEMA}", df.schema.json())
         for old in self._versions(layer, name)[: -self.keep_versions]:
             self._delete(f"{base}/{old}")
         return target

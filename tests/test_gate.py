@@ -51,3 +51,10 @@ def test_validation_reports_every_problem(spark, store):
         validate.validate_outputs(store, ["daily_sales", "customer_360", "monthly_revenue"])
     msg = str(e.value)
     assert "customer_360: 0 rows" in msg and "monthly_revenue: missing" in msg and "daily_sales" not in msg
+
+
+def test_empty_rebuild_reads_back_with_its_schema(spark, store):
+    df = spark.range(5).selectExpr("id", "CAST(id AS STRING) AS s", "'2026-01' AS m").where("id < 0")
+    store.replace("silver", "t", df, partition_by=["m"])
+    back = store.read("silver", "t")
+    assert back.count() == 0 and back.columns == ["id", "s", "m"]
