@@ -25,6 +25,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LAYERS = ("bronze", "silver", "gold", "quarantine", "control")
@@ -37,6 +38,14 @@ class TableNotFound(LookupError):
     pass
 
 
+def empty_frame(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """An empty DataFrame built in the JVM (no Python-side RDD, so no
+    Python worker start-up just to produce zero rows)."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
         self.spark = spark
@@ -111,7 +120,7 @@ class TableStore:
         if not self._has_data(path) and self._exists(f"{path}/{_SCHEMA}"):
             # an empty rebuild: no data files, only the recorded schema
             schema = StructType.fromJson(json.loads(self._read_text(f"{path}/{_SCHEMA}")))
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return self.spark.read.parquet(path)
 
     def _read_text(self, p: str) -> str:
@@ -142,7 +151,7 @@ class TableStore:
         """K7 for readers: a missing table reads as empty with ``schema``."""
         if self.exists(layer, name):
             return self.read(layer, name)
-        return self.spark.createDataFrame([], schema)
+        return empty_frame(self.spark, schema)
 
     # -- write --------------------------------------------------------
     def replace(

@@ -54,16 +54,15 @@ def set_watermark(
     batch_id: str | None = None,
     updated_at: dt.datetime | None = None,
 ) -> None:
-    row = [
-        (
-            source_table,
-            str(value),
-            watermark_type,
-            batch_id or uuid.uuid4().hex,
-            updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-        )
-    ]
-    df = store.spark.createDataFrame(row, SCHEMA)
+    ts = updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    # one row built in the JVM from literals
+    df = store.spark.range(1).select(
+        F.lit(source_table).alias("source_table"),
+        F.lit(str(value)).alias("watermark_value"),
+        F.lit(watermark_type).alias("watermark_type"),
+        F.lit(batch_id or uuid.uuid4().hex).alias("batch_id"),
+        F.lit(ts).cast("timestamp").alias("updated_at"),
+    )
     store.append("control", TABLE, df, partition_by=["source_table"], idempotent=False)
 
 

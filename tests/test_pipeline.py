@@ -6,40 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from strata.plans.bronze import SourceSpec
+from strata.plans.lake_sources import lake_config, lake_sources
 from strata.plans.gate import GateFailed
-from strata.plans.pipeline import PipelineConfig, run_pipeline
+from strata.plans.pipeline import run_pipeline
 from strata.plans.views import MARTS, TestdataLake
-from strata.sources import testdata
 
 RUN = dt.datetime(2002, 1, 1, 6, 0, 0)
 
 
 def sources(sf_dir):
-    src = lambda fn: (lambda s: testdata.source_frame(fn(s, sf_dir)))
-
-    def items(s):
-        # keep the view's ordering column so the pipeline's dedupe can
-        # use it as its first tie-breaker
-        v = testdata.order_items(s, sf_dir)
-        return v.withColumnRenamed("_bronze_ingested_at", "ship_ts").drop("_bronze_source")
-
-    return [
-        SourceSpec("orders", "tpch-orders", src(testdata.orders), watermark_col="order_ts"),
-        SourceSpec("order_items", "tpch-lineitem", items, watermark_col="order_item_id"),
-        SourceSpec("customers", "tpch-customer", src(testdata.customers), watermark_col="customer_id"),
-        SourceSpec("products", "tpch-part", src(testdata.products)),
-        SourceSpec("exchange_rates", "tpch-fx", src(testdata.exchange_rates), watermark_col="rate_date"),
-    ]
+    return lake_sources(sf_dir)
 
 
 def config(**kw):
-    return PipelineConfig(
-        as_of=dt.date(2001, 12, 31),
-        run_ts=RUN,
-        tie_breakers={"order_items": ["ship_ts", *testdata.ITEM_TIE_BREAKERS]},
-        **kw,
-    )
+    return lake_config(RUN, **kw)
 
 
 def test_gate_blocks_gold(spark, store):
