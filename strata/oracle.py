@@ -393,6 +393,21 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_orders": _q(f"SELECT {ORDER_COLS}, _dq_failed_checks FROM o_flag WHERE _dq_failed_checks <> ''"),
         "silver_order_items": _q(f"SELECT {ITEM_COLS} FROM i_good"),
         "quarantine_order_items": _q(f"SELECT {ITEM_COLS}, _dq_failed_checks FROM i_flag WHERE _dq_failed_checks <> ''"),
+        "silver_customers": _q(
+            "SELECT customer_id, first_name, last_name, email, country, city, signup_date, "
+            "customer_segment, is_active FROM c_good"
+        ),
+        "silver_products": _q(
+            "SELECT product_id, product_name, category, subcategory, brand, unit_cost, list_price, "
+            "is_active FROM p_good"
+        ),
+        "quarantine_products": _q(
+            "SELECT product_id, product_name, category, subcategory, brand, unit_cost, list_price, "
+            "is_active, _dq_failed_checks FROM p_flag WHERE _dq_failed_checks <> ''"
+        ),
+        "silver_exchange_rates": _q(
+            "SELECT rate_date, base_currency, quote_currency, rate FROM fx_good"
+        ),
         "dq_split_customers": _q("SELECT customer_id, _dq_failed_checks FROM c_flag"),
         "dq_split_products": _q("SELECT product_id, _dq_failed_checks FROM p_flag"),
         "dq_split_fx": _q("SELECT rate_date, base_currency, quote_currency, rate, _dq_failed_checks FROM fx_flag"),

@@ -95,6 +95,32 @@ def dq_split_fx(spark, sf_dir):
     )
 
 
+CUSTOMER_COLS = [
+    "customer_id", "first_name", "last_name", "email", "country", "city",
+    "signup_date", "customer_segment", "is_active",
+]
+PRODUCT_COLS = [
+    "product_id", "product_name", "category", "subcategory", "brand",
+    "unit_cost", "list_price", "is_active",
+]
+
+
+def silver_customers(spark, sf_dir):
+    return _lake(spark, sf_dir).customers.good.select(*CUSTOMER_COLS)
+
+
+def silver_products(spark, sf_dir):
+    return _lake(spark, sf_dir).products.good.select(*PRODUCT_COLS)
+
+
+def quarantine_products(spark, sf_dir):
+    return _lake(spark, sf_dir).products.quarantine.select(*PRODUCT_COLS, FAILED)
+
+
+def silver_exchange_rates(spark, sf_dir):
+    return _lake(spark, sf_dir).exchange_rates.good.select(*FX_KEYS, "rate")
+
+
 def dedupe_order_items(spark, sf_dir):
     """D1 alone on the (deliberately duplicated) order item ids."""
     items = testdata.order_items(spark, sf_dir)
@@ -228,6 +254,10 @@ QUERIES: dict[str, Query] = {
     "quarantine_orders": quarantine_orders,
     "silver_order_items": silver_order_items,
     "quarantine_order_items": quarantine_order_items,
+    "silver_customers": silver_customers,
+    "silver_products": silver_products,
+    "quarantine_products": quarantine_products,
+    "silver_exchange_rates": silver_exchange_rates,
     "dq_split_customers": dq_split_customers,
     "dq_split_products": dq_split_products,
     "dq_split_fx": dq_split_fx,
