@@ -17,15 +17,17 @@ group in one task:
    rows) with a running sum.
 4. Join the ranks back on ``(g, v)``.
 
-The range bounds are fixed once per execution (the partitioner is built
-before the map stage; a retried task reuses it), so ranks are stable
-under task retries.
+The range-split pairs are checkpointed (reliable, in the session's
+checkpoint folder) before they feed both the local ranks and the counts,
+so both see one and the same split, also under task retries.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
+
 _PID, _LOCAL, _CNT, _OFF = "_rank_pid", "_rank_local", "_rank_cnt", "_rank_off"
 
 
@@ -51,6 +53,12 @@ def dense_rank_desc(
         if num_ranges
         else values.repartitionByRange(g.asc_nulls_first(), v.desc_nulls_last())
     ).withColumn(_PID, F.spark_partition_id())
+    # Local ranks and per-range counts must see the *same* range split.
+    # ``ranged`` feeds both, and a DataFrame used twice is evaluated twice
+    # unless Spark happens to reuse the exchange; a reliable checkpoint
+    # (shared checkpoint folder) fixes the partition ids once.
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     local = ranged.withColumn(
         _LOCAL,
         F.row_number().over(Window.partitionBy(group_col, _PID).orderBy(v.desc_nulls_last())),

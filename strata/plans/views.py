@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import gold, silver
+from strata.session import ensure_checkpoint_dir
 from strata.sources import testdata
 
 # Fixed clock for reproducible results on the driver's tables: all of
@@ -18,8 +19,20 @@ AS_OF = dt.date(2001, 12, 31)
 class TestdataLake:
     """Bronze views -> silver splits -> gold marts, lazily."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, materialize: bool = False
+    ):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self.materialize = materialize
+
+    def _keep(self, result: silver.Silver) -> silver.Silver:
+        """With ``materialize``, evaluate a silver table once (reliable
+        checkpoint into the session's checkpoint folder) so every
+        consumer reads it instead of recomputing it."""
+        if not self.materialize:
+            return result
+        ensure_checkpoint_dir(self.spark)
+        return silver.Silver(result.flagged.checkpoint(eager=True))
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
@@ -27,29 +40,31 @@ class TestdataLake:
 
     @cached_property
     def customers(self) -> silver.Silver:
-        return silver.silver_customers(self.bronze["customers"], self.as_of)
+        return self._keep(silver.silver_customers(self.bronze["customers"], self.as_of))
 
     @cached_property
     def products(self) -> silver.Silver:
-        return silver.silver_products(self.bronze["products"])
+        return self._keep(silver.silver_products(self.bronze["products"]))
 
     @cached_property
     def exchange_rates(self) -> silver.Silver:
-        return silver.silver_exchange_rates(self.bronze["exchange_rates"])
+        return self._keep(silver.silver_exchange_rates(self.bronze["exchange_rates"]))
 
     @cached_property
     def orders(self) -> silver.Silver:
-        return silver.silver_orders(
-            self.bronze["orders"], self.customers.good, self.exchange_rates.good
+        return self._keep(
+            silver.silver_orders(self.bronze["orders"], self.customers.good, self.exchange_rates.good)
         )
 
     @cached_property
     def order_items(self) -> silver.Silver:
-        return silver.silver_order_items(
-            self.bronze["order_items"],
-            self.orders.good,
-            self.products.good,
-            tie_breakers=testdata.ITEM_TIE_BREAKERS,
+        return self._keep(
+            silver.silver_order_items(
+                self.bronze["order_items"],
+                self.orders.good,
+                self.products.good,
+                tie_breakers=testdata.ITEM_TIE_BREAKERS,
+            )
         )
 
     def silver(self, name: str) -> silver.Silver:
