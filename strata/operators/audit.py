@@ -6,6 +6,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.clock import ts_lit
+
 INGESTED_AT = "_bronze_ingested_at"
 SOURCE = "_bronze_source"
 INGESTED_DATE = "_bronze_ingested_date"
@@ -26,7 +28,7 @@ def add_audit_columns(
     elif isinstance(run_ts, Column):
         ts = run_ts
     else:
-        ts = F.lit(run_ts).cast("timestamp")
+        ts = ts_lit(run_ts)
     return df.withColumns({INGESTED_AT: ts, SOURCE: F.lit(source)})
 
 

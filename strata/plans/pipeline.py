@@ -21,6 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.clock import ts_lit
 from strata.operators.quality import FAILED
 from strata.plans import gold, silver
 from strata.plans.bronze import ExtractResult, SourceSpec, extract
@@ -69,7 +70,7 @@ def write_silver(
 ) -> tuple[int, int]:
     """K3 + K4 from one evaluation of the flagged frame."""
     date_col, keys = SILVER_LAYOUT[name]
-    flagged = result.flagged.withColumn(PROCESSED_AT, F.lit(run_ts).cast("timestamp"))
+    flagged = result.flagged.withColumn(PROCESSED_AT, ts_lit(run_ts))
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good_obs, bad_obs = Observation(f"good_{name}"), Observation(f"bad_{name}")
@@ -167,7 +168,7 @@ def build_marts(store: TableStore, as_of: dt.date) -> dict[str, DataFrame]:
 def run_gold(store: TableStore, cfg: PipelineConfig) -> None:
     as_of, run_ts = cfg.clock()
     for name, df in build_marts(store, as_of).items():
-        store.replace("gold", name, df.withColumn(COMPUTED_AT, F.lit(run_ts).cast("timestamp")))
+        store.replace("gold", name, df.withColumn(COMPUTED_AT, ts_lit(run_ts)))
 
 
 def run_pipeline(

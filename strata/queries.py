@@ -7,15 +7,14 @@ out of the outputs because they are not data.
 """
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.clock import ts_lit
 from strata.operators.audit import INGESTED_AT
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.quality import FAILED, dq_counts
@@ -137,7 +136,7 @@ def dedupe_fx_composite(spark, sf_dir):
     the current file has no row."""
     current = testdata.exchange_rates(spark, sf_dir)
     stale = testdata.exchange_rates(spark, sf_dir, with_gaps=False, bump_pct=1).withColumn(
-        INGESTED_AT, F.lit(testdata.SNAPSHOT_TS - dt.timedelta(days=1)).cast("timestamp_ntz")
+        INGESTED_AT, ts_lit(testdata.SNAPSHOT_TS - dt.timedelta(days=1), ntz=True)
     )
     latest = dedupe_latest(current.unionByName(stale), FX_KEYS)
     return latest.select(*FX_KEYS, "rate")

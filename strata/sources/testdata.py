@@ -34,6 +34,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.clock import ts_lit
 from strata.operators.audit import INGESTED_AT, SOURCE
 
 SNAPSHOT_TS = dt.datetime(2001, 12, 31, 0, 0, 0)
@@ -61,7 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _snapshot_ts() -> F.Column:
-    return F.lit(SNAPSHOT_TS).cast("timestamp_ntz")
+    return ts_lit(SNAPSHOT_TS, ntz=True)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from strata.functions.clock import ts_lit
 from strata.operators.dedupe import dedupe_latest
 from strata.sources.store import TableStore
 
@@ -61,7 +62,7 @@ def set_watermark(
         F.lit(str(value)).alias("watermark_value"),
         F.lit(watermark_type).alias("watermark_type"),
         F.lit(batch_id or uuid.uuid4().hex).alias("batch_id"),
-        F.lit(ts).cast("timestamp").alias("updated_at"),
+        ts_lit(ts).alias("updated_at"),
     )
     store.append("control", TABLE, df, partition_by=["source_table"], idempotent=False)
 

@@ -49,3 +49,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "total_revenue_usd" in df.columns
+
+
+@pytest.mark.parametrize(
+    "name", ["incremental_orders", "bronze_append_history", "watermark_latest", "dedupe_fx_composite", "gold_monthly_revenue"]
+)
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
