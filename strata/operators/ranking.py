@@ -1,5 +1,8 @@
 """Dense rank within a group, descending -- split for hot groups.
 
+``dense_rank_desc`` measures the largest group and picks the plain window
+when every group fits one task, else the split form.
+
 ``dense_rank() over (partition by g order by v desc)`` sends every row of
 a group to one task; a group holding a third of all rows would make that
 task the whole job.  The split form computes the same ranks with no
@@ -37,7 +40,35 @@ def dense_rank_desc_window(df: DataFrame, group_col: str, value_col: str, out_co
     return df.withColumn(out_col, F.dense_rank().over(w))
 
 
+# A group with up to this many rows is ranked by the plain window in one
+# task (a sort of a few million narrow rows); larger groups are split.
+MAX_ROWS_PER_TASK = 4_000_000
+
+
 def dense_rank_desc(
+    df: DataFrame,
+    group_col: str,
+    value_col: str,
+    out_col: str,
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    num_ranges: int | None = None,
+) -> DataFrame:
+    """Dense rank of ``value_col`` (descending, NULLs last) within
+    ``group_col``; no task ever holds more than ``max_rows_per_task`` rows
+    of one group.
+
+    The size of the largest group is measured first (a grouped count
+    reduced to one number, so nothing unbounded reaches the driver).  When
+    every group fits one task the plain window is exact and cheapest;
+    otherwise the range-split form below is used for all groups.
+    """
+    largest = df.groupBy(group_col).count().agg(F.max("count")).first()[0] or 0
+    if largest <= max_rows_per_task:
+        return dense_rank_desc_window(df, group_col, value_col, out_col)
+    return dense_rank_desc_split(df, group_col, value_col, out_col, num_ranges)
+
+
+def dense_rank_desc_split(
     df: DataFrame,
     group_col: str,
     value_col: str,

@@ -90,7 +90,7 @@ def test_product_performance_ranks_and_shares(spark):
 
 
 def test_split_dense_rank_equals_window_form_with_a_hot_group(spark):
-    from strata.operators.ranking import dense_rank_desc, dense_rank_desc_window
+    from strata.operators.ranking import dense_rank_desc, dense_rank_desc_split, dense_rank_desc_window
 
     # group 'hot' holds most rows, with repeated and NULL values
     df = spark.range(3000).selectExpr(
@@ -98,7 +98,13 @@ def test_split_dense_rank_equals_window_form_with_a_hot_group(spark):
         "CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 < 9 THEN 'warm' ELSE NULL END AS g",
         "CASE WHEN id % 97 = 0 THEN NULL ELSE (id * 7919) % 500 END AS v",
     )
-    split = dense_rank_desc(df, "g", "v", "r", num_ranges=13)
+    split = dense_rank_desc_split(df, "g", "v", "r", num_ranges=13)
     plain = dense_rank_desc_window(df, "g", "v", "r")
     assert split.count() == 3000
     assert split.exceptAll(plain.select(*split.columns)).count() == 0
+    # the adaptive entry point splits once the largest group is too big
+    forced = dense_rank_desc(df, "g", "v", "r", max_rows_per_task=1000, num_ranges=7)
+    assert "_rank_pid" in forced._jdf.queryExecution().optimizedPlan().toString()
+    small = dense_rank_desc(df, "g", "v", "r")
+    assert "_rank_pid" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert forced.exceptAll(plain.select(*forced.columns)).count() == 0
