@@ -39,10 +39,13 @@ def flag_known(
     key is usually already partitioned by the dimension's dedupe), so it
     adds no shuffle of its own.
     """
-    keys = dim.select(F.col(right_key).alias("_probe_key")).distinct()
-    keys = _maybe_broadcast(keys.withColumn(flag_col, F.lit(True)), broadcast)
-    joined = df.join(keys, df[left_key] == keys["_probe_key"], "left").drop("_probe_key")
-    return joined.withColumn(flag_col, F.coalesce(F.col(flag_col), F.lit(False)))
+    keys = dim.select(F.col(right_key).alias("_probe_key"), F.lit(True).alias("_probe_hit"))
+    keys = _maybe_broadcast(keys.distinct(), broadcast)
+    joined = df.join(keys, df[left_key] == keys["_probe_key"], "left")
+    return joined.select(
+        *[df[c] for c in df.columns],
+        F.coalesce(keys["_probe_hit"], F.lit(False)).alias(flag_col),
+    )
 
 
 def attach(
