@@ -1,8 +1,8 @@
 """V-*: silver transforms as pure functions.
 
-Each returns a ``Silver`` with the flagged candidate rows; ``good`` and
-``quarantine`` are filters of that one frame, so a writer that persists
-``flagged`` (or checkpoints it) evaluates dedupe, joins and checks once.
+Each returns a ``Silver``: ``flagged`` holds every candidate row with its
+failed checks, ``quarantine`` is a filter of it, and a writer that
+persists ``flagged`` evaluates dedupe, joins and checks once.
 
 Order of work per table: split off NULL-key rows (they bypass D1 and are
 quarantined by the key's not-null check, H4), D1 on the rest, FK probes
@@ -11,8 +11,8 @@ and FX lookup, checks.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,46 +24,80 @@ from strata.operators.quality import FAILED, DQCheck, flag_dq
 from strata.plans import checks as C
 
 
-@dataclass(frozen=True)
 class Silver:
-    flagged: DataFrame
+    """A silver table's rows, flagged by its checks.
+
+    ``keyed`` holds the deduplicated rows whose key is set, ``nulls`` the
+    rows whose (checked) key is NULL; ``finish`` turns candidates into
+    flagged rows (lookups + checks).  NULL-key rows always fail the key's
+    not-null check, so ``good`` is built from ``keyed`` alone: its plan has
+    no union and keeps the dedupe's hash partitioning on the key, which
+    later joins on that key reuse instead of shuffling again.
+    """
 
-    @property
+    def __init__(
+        self,
+        keyed: DataFrame,
+        nulls: DataFrame | None,
+        finish: Callable[[DataFrame], DataFrame],
+    ):
+        self._keyed, self._nulls, self._finish = keyed, nulls, finish
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        cand = self._keyed if self._nulls is None else self._keyed.unionByName(self._nulls)
+        return self._finish(cand)
+
+    @cached_property
     def good(self) -> DataFrame:
-        return self.flagged.where(F.col(FAILED) == "").drop(FAILED)
+        return self._finish(self._keyed).where(F.col(FAILED) == "").drop(FAILED)
 
     @property
     def quarantine(self) -> DataFrame:
         return self.flagged.where(F.col(FAILED) != "")
 
+    @classmethod
+    def of(cls, flagged: DataFrame) -> Silver:
+        """Wrap an already flagged frame (e.g. a checkpoint of one)."""
+        return cls(flagged, None, lambda df: df)
+
 
-def _latest_then_check(
+def _candidates(
     bronze: DataFrame,
     key_cols: Sequence[str],
     not_null_keys: Sequence[str],
     tie_breakers: Sequence[str] = (),
     order_col: str = INGESTED_AT,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     if not_null_keys:
         keyed, null_keyed = split_null_keys(bronze, not_null_keys)
-        return dedupe_latest(keyed, key_cols, order_col, tie_breakers).unionByName(null_keyed)
-    return dedupe_latest(bronze, key_cols, order_col, tie_breakers)
+        return dedupe_latest(keyed, key_cols, order_col, tie_breakers), null_keyed
+    return dedupe_latest(bronze, key_cols, order_col, tie_breakers), None
 
 
-def _finish(candidates: DataFrame, checks: Sequence[DQCheck], helpers: Sequence[str]) -> Silver:
-    return Silver(flag_dq(candidates, checks).drop(*helpers))
+def _silver(
+    cands: tuple[DataFrame, DataFrame | None],
+    enrich: Callable[[DataFrame], DataFrame] | None,
+    checks: Sequence[DQCheck],
+    helpers: Sequence[str],
+) -> Silver:
+    def finish(cand: DataFrame) -> DataFrame:
+        enriched = enrich(cand) if enrich else cand
+        return flag_dq(enriched, checks).drop(*helpers)
+
+    return Silver(cands[0], cands[1], finish)
 
 
 def silver_customers(
     bronze: DataFrame, as_of: dt.date, tie_breakers: Sequence[str] = ()
 ) -> Silver:
-    cand = _latest_then_check(bronze, ["customer_id"], ["customer_id"], tie_breakers)
-    return _finish(cand, C.customer_checks(as_of), [])
+    cands = _candidates(bronze, ["customer_id"], ["customer_id"], tie_breakers)
+    return _silver(cands, None, C.customer_checks(as_of), [])
 
 
 def silver_products(bronze: DataFrame, tie_breakers: Sequence[str] = ()) -> Silver:
-    cand = _latest_then_check(bronze, ["product_id"], ["product_id"], tie_breakers)
-    return _finish(cand, C.product_checks(), [])
+    cands = _candidates(bronze, ["product_id"], ["product_id"], tie_breakers)
+    return _silver(cands, None, C.product_checks(), [])
 
 
 FX_KEYS = ["rate_date", "base_currency", "quote_currency"]
@@ -72,8 +106,8 @@ FX_KEYS = ["rate_date", "base_currency", "quote_currency"]
 def silver_exchange_rates(bronze: DataFrame, tie_breakers: Sequence[str] = ()) -> Silver:
     # Only rate_date has a not-null check; NULL quote/base rows still
     # go through D1 as one group per remaining key values.
-    cand = _latest_then_check(bronze, FX_KEYS, ["rate_date"], tie_breakers)
-    return _finish(cand, C.fx_checks(), [])
+    cands = _candidates(bronze, FX_KEYS, ["rate_date"], tie_breakers)
+    return _silver(cands, None, C.fx_checks(), [])
 
 
 def silver_orders(
@@ -88,19 +122,21 @@ def silver_orders(
 
     ``customers`` and ``exchange_rates`` are the *good* silver frames.
     """
-    cand = _latest_then_check(bronze, ["order_id"], ["order_id"], tie_breakers)
-    cand = flag_known(
-        cand, customers, "customer_id", "customer_id", C.KNOWN_CUSTOMER, broadcast_customers
-    )
-    cand = attach(
-        cand,
-        exchange_rates,
-        on=[("order_date", "rate_date"), ("currency_code", "quote_currency")],
-        columns=["rate"],
-        broadcast=broadcast_fx,
-    )
-    cand = fx_to_usd(cand.withColumn(FX_RATE, fx_rate_column()), ["order_total", "shipping_cost"])
-    return _finish(cand, C.order_checks(), [C.KNOWN_CUSTOMER, "rate"])
+    def enrich(cand: DataFrame) -> DataFrame:
+        cand = flag_known(
+            cand, customers, "customer_id", "customer_id", C.KNOWN_CUSTOMER, broadcast_customers
+        )
+        cand = attach(
+            cand,
+            exchange_rates,
+            on=[("order_date", "rate_date"), ("currency_code", "quote_currency")],
+            columns=["rate"],
+            broadcast=broadcast_fx,
+        )
+        return fx_to_usd(cand.withColumn(FX_RATE, fx_rate_column()), ["order_total", "shipping_cost"])
+
+    cands = _candidates(bronze, ["order_id"], ["order_id"], tie_breakers)
+    return _silver(cands, enrich, C.order_checks(), [C.KNOWN_CUSTOMER, "rate"])
 
 
 def silver_order_items(
@@ -114,18 +150,21 @@ def silver_order_items(
     J4 (product exists) -> C1 -> checks.  ``orders``/``products`` are the
     good silver frames.  J3 is a fact-to-fact join: it shuffles on
     order_id (AQE splits a hot order's partition)."""
-    cand = _latest_then_check(bronze, ["order_item_id"], ["order_item_id"], tie_breakers)
     known_orders = orders.select(
         "order_id", "order_date", FX_RATE, F.lit(True).alias(C.KNOWN_ORDER)
     )
-    cand = attach(
-        cand,
-        known_orders,
-        on=[("order_id", "order_id")],
-        columns=["order_date", FX_RATE, C.KNOWN_ORDER],
-    ).withColumn(C.KNOWN_ORDER, F.coalesce(F.col(C.KNOWN_ORDER), F.lit(False)))
-    cand = flag_known(
-        cand, products, "product_id", "product_id", C.KNOWN_PRODUCT, broadcast_products
-    )
-    cand = fx_to_usd(cand, ["line_total"])
-    return _finish(cand, C.order_item_checks(), [C.KNOWN_ORDER, C.KNOWN_PRODUCT, FX_RATE])
+
+    def enrich(cand: DataFrame) -> DataFrame:
+        cand = attach(
+            cand,
+            known_orders,
+            on=[("order_id", "order_id")],
+            columns=["order_date", FX_RATE, C.KNOWN_ORDER],
+        ).withColumn(C.KNOWN_ORDER, F.coalesce(F.col(C.KNOWN_ORDER), F.lit(False)))
+        cand = flag_known(
+            cand, products, "product_id", "product_id", C.KNOWN_PRODUCT, broadcast_products
+        )
+        return fx_to_usd(cand, ["line_total"])
+
+    cands = _candidates(bronze, ["order_item_id"], ["order_item_id"], tie_breakers)
+    return _silver(cands, enrich, C.order_item_checks(), [C.KNOWN_ORDER, C.KNOWN_PRODUCT, FX_RATE])

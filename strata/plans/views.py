@@ -14,16 +14,34 @@ from strata.sources import testdata
 # Fixed clock for reproducible results on the driver's tables: all of
 # their dates end before it.
 AS_OF = dt.date(2001, 12, 31)
+# Largest dimension (rows) broadcast to every task; same rule as the
+# pipeline, which takes the count observed when the dimension was written.
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 class TestdataLake:
     """Bronze views -> silver splits -> gold marts, lazily."""
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, materialize: bool = False
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        as_of: dt.date = AS_OF,
+        materialize: bool = False,
+        max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     ):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.materialize = materialize
+        self.max_broadcast_rows = max_broadcast_rows
+        self._counts: dict[str, int] = {}
+
+    def proven_small(self, name: str) -> bool:
+        """Broadcast a dimension only on proof: its bronze row count (an
+        upper bound of the silver rows) is at most ``max_broadcast_rows``.
+        The count reads at most that many rows plus one."""
+        if name not in self._counts:
+            self._counts[name] = self.bronze[name].limit(self.max_broadcast_rows + 1).count()
+        return self._counts[name] <= self.max_broadcast_rows
 
     def _keep(self, result: silver.Silver) -> silver.Silver:
         """With ``materialize``, evaluate a silver table once (reliable
@@ -32,7 +50,7 @@ class TestdataLake:
         if not self.materialize:
             return result
         ensure_checkpoint_dir(self.spark)
-        return silver.Silver(result.flagged.checkpoint(eager=True))
+        return silver.Silver.of(result.flagged.checkpoint(eager=True))
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
@@ -53,7 +71,13 @@ class TestdataLake:
     @cached_property
     def orders(self) -> silver.Silver:
         return self._keep(
-            silver.silver_orders(self.bronze["orders"], self.customers.good, self.exchange_rates.good)
+            silver.silver_orders(
+                self.bronze["orders"],
+                self.customers.good,
+                self.exchange_rates.good,
+                broadcast_customers=self.proven_small("customers"),
+                broadcast_fx=self.proven_small("exchange_rates"),
+            )
         )
 
     @cached_property
@@ -64,6 +88,7 @@ class TestdataLake:
                 self.orders.good,
                 self.products.good,
                 tie_breakers=testdata.ITEM_TIE_BREAKERS,
+                broadcast_products=self.proven_small("products"),
             )
         )
 
