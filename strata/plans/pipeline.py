@@ -97,6 +97,23 @@ def write_silver(
         flagged.unpersist()
 
 
+def read_silver_between(
+    store: TableStore, name: str, start: dt.date, end: dt.date
+) -> DataFrame:
+    """Silver rows whose business date is in ``[start, end]``.
+
+    The date predicate alone cannot prune the month directories, so the
+    matching ``_month`` range is added: Spark then lists and reads only
+    those partitions (``PartitionFilters`` in the plan), and the sorted
+    files let row-group statistics skip the rest of the edge months."""
+    date_col, _ = SILVER_LAYOUT[name]
+    df = store.read("silver", name)
+    return df.where(
+        F.col(MONTH).between(start.strftime("%Y-%m"), end.strftime("%Y-%m"))
+        & F.col(date_col).between(F.lit(start), F.lit(end))
+    )
+
+
 def _bronze(store: TableStore, name: str) -> DataFrame:
     return store.read("bronze", name)
 

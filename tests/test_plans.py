@@ -69,3 +69,17 @@ def test_daily_sales_aggregates_items_before_the_join(spark):
     logical = gold.daily_sales(orders, items)._jdf.queryExecution().optimizedPlan().toString()
     join_at = logical.index("Join LeftOuter")
     assert "Aggregate [order_id" in logical[join_at:]
+
+
+def test_silver_reads_by_date_prune_month_partitions(spark, store):
+    from strata.plans.pipeline import read_silver_between, write_silver
+
+    rows = [order(i, day=dt.date(2026, m, 5)) for i, m in enumerate([1, 2, 3, 4], start=1)]
+    customers = silver.silver_customers(frame(spark, CUSTOMERS, [customer(1)]), dt.date(2026, 12, 31)).good
+    rates = silver.silver_exchange_rates(frame(spark, FX, [fx("EUR", "0.8")])).good
+    result = silver.silver_orders(frame(spark, ORDERS, rows), customers, rates)
+    assert write_silver(store, "orders", result, dt.datetime(2026, 12, 31)) == (4, 0)
+    df = read_silver_between(store, "orders", dt.date(2026, 2, 1), dt.date(2026, 3, 31))
+    assert sorted(r["order_id"] for r in df.collect()) == [2, 3]
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(_month" in p and "2026-02" in p
