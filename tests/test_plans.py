@@ -83,3 +83,39 @@ def test_silver_reads_by_date_prune_month_partitions(spark, store):
     assert sorted(r["order_id"] for r in df.collect()) == [2, 3]
     p = plan(df)
     assert "PartitionFilters: [isnotnull(_month" in p and "2026-02" in p
+
+
+def test_hot_order_is_split_by_adaptive_skew_join(spark):
+    """One order holds a third of all items: AQE splits its partition of
+    the item -> order join instead of sending it to one task."""
+    from fixtures import ITEMS, PRODUCTS, item, product
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 3000
+        items = frame(spark, ITEMS, [item(i, oid=(0 if i % 3 == 0 else i)) for i in range(1, n + 1)])
+        orders_rows = [order(i) for i in range(0, n + 1)]
+        customers = silver.silver_customers(frame(spark, CUSTOMERS, [customer(1)]), dt.date(2026, 12, 31)).good
+        rates = silver.silver_exchange_rates(frame(spark, FX, [fx("EUR", "0.8")])).good
+        orders = silver.silver_orders(frame(spark, ORDERS, orders_rows), customers, rates).good
+        products = silver.silver_products(frame(spark, PRODUCTS, [product(1)])).good
+        good = silver.silver_order_items(items, orders, products).good
+        assert len(good.collect()) == n  # executes this plan, so AQE finalises it
+        final = good._jdf.queryExecution().executedPlan().toString()
+        assert "isSkewJoin=true" in final or "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
