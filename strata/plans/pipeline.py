@@ -28,6 +28,7 @@ from strata.plans.bronze import ExtractResult, SourceSpec, extract
 from strata.plans.checks import GATE_THRESHOLDS_PCT
 from strata.plans.gate import dq_gate
 from strata.plans.validate import GOLD_MARTS, validate_outputs
+from strata.session import ensure_checkpoint_dir
 from strata.sources.store import TableStore
 
 PROCESSED_AT = "_silver_processed_at"
@@ -173,12 +174,17 @@ def run_silver(store: TableStore, cfg: PipelineConfig) -> dict[str, tuple[int, i
 def build_marts(store: TableStore, as_of: dt.date) -> dict[str, DataFrame]:
     orders, items = _good(store, "orders"), _good(store, "order_items")
     customers, products = _good(store, "customers"), _good(store, "products")
+    # The per-product item aggregate feeds two marts: evaluate the item
+    # scan once and keep the (one row per product) result in the shared
+    # checkpoint folder.
+    ensure_checkpoint_dir(store.spark)
+    sales = gold.sales_by_product(items).checkpoint(eager=True)
     return {
         "daily_sales": gold.daily_sales(orders, items),
         "customer_360": gold.customer_360(customers, orders, as_of),
         "monthly_revenue": gold.monthly_revenue(orders),
-        "inventory_summary": gold.inventory_summary(products, items),
-        "product_performance": gold.product_performance(products, items),
+        "inventory_summary": gold.inventory_summary(products, items, sales),
+        "product_performance": gold.product_performance(products, items, sales),
     }
 
 

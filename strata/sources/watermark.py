@@ -37,14 +37,24 @@ def latest(store: TableStore) -> DataFrame:
 
 
 def get_watermark(store: TableStore, source_table: str) -> str | None:
-    """The stored value, or None before the first successful extraction."""
-    rows = (
-        latest(store)
+    """The stored value, or None before the first successful extraction.
+
+    The log is partitioned by ``source_table``, so the filter prunes to
+    one directory; the latest entry is a single ``max_by`` aggregate (one
+    row to the driver)."""
+    if not store.exists("control", TABLE):
+        return None
+    row = (
+        log(store)
         .where(F.col("source_table") == source_table)
-        .select("watermark_value")
-        .collect()
+        .agg(
+            F.max_by(
+                "watermark_value", F.struct(F.col("updated_at"), F.col("batch_id"))
+            ).alias("v")
+        )
+        .first()
     )
-    return rows[0][0] if rows else None
+    return row["v"] if row else None
 
 
 def set_watermark(
