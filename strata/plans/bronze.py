@@ -96,7 +96,9 @@ def extract(
         if before is not None and spec.overlap:
             # An overlap re-read must never move the watermark backwards.
             after = _max_text(spark, df, after, before, spec.watermark_col)
-        wm.set_watermark(store, spec.table, after, batch_id=batch_id, updated_at=run_ts)
+        # logged at wall-clock time (not the logical run time), so the
+        # latest entry is always the latest write, also for replays
+        wm.set_watermark(store, spec.table, after, batch_id=batch_id)
     elif not existed:
         store.drop_if_empty("bronze", spec.table)
     return ExtractResult(spec.table, rows, before, after, batch_id)

@@ -47,10 +47,11 @@ def test_jdbc_incremental_two_runs_then_empty_then_replay(spark, store):
 
     # Replaying batch b2 after resetting its watermark re-reads and
     # replaces that batch's partition only: no duplicate rows.
-    wm.set_watermark(store, "orders", "2026-01-02 00:00:00", updated_at=t(7))
+    wm.set_watermark(store, "orders", "2026-01-02 00:00:00")
     r4 = extract(spark, store, spec, run_ts=t(5), batch_id="b2")
-    assert r4.rows == 1
+    assert (r4.rows, r4.watermark_before, r4.watermark_after) == (1, "2026-01-02 00:00:00", "2026-01-04 00:00:00")
     assert store.read("bronze", "orders").count() == 3
+    assert wm.get_watermark(store, "orders") == "2026-01-04 00:00:00"
 
 
 def test_jdbc_watermark_filter_is_pushed_to_the_database(spark):
