@@ -397,6 +397,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT customer_id, first_name, last_name, email, country, city, signup_date, "
             "customer_segment, is_active FROM c_good"
         ),
+        "quarantine_customers": _q(
+            "SELECT customer_id, first_name, last_name, email, country, city, signup_date, "
+            "customer_segment, is_active, _dq_failed_checks FROM c_flag WHERE _dq_failed_checks <> ''"
+        ),
         "silver_products": _q(
             "SELECT product_id, product_name, category, subcategory, brand, unit_cost, list_price, "
             "is_active FROM p_good"

@@ -108,6 +108,10 @@ def silver_customers(spark, sf_dir):
     return _lake(spark, sf_dir).customers.good.select(*CUSTOMER_COLS)
 
 
+def quarantine_customers(spark, sf_dir):
+    return _lake(spark, sf_dir).customers.quarantine.select(*CUSTOMER_COLS, FAILED)
+
+
 def silver_products(spark, sf_dir):
     return _lake(spark, sf_dir).products.good.select(*PRODUCT_COLS)
 
@@ -254,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "silver_order_items": silver_order_items,
     "quarantine_order_items": quarantine_order_items,
     "silver_customers": silver_customers,
+    "quarantine_customers": quarantine_customers,
     "silver_products": silver_products,
     "quarantine_products": quarantine_products,
     "silver_exchange_rates": silver_exchange_rates,
