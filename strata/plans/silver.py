@@ -56,11 +56,6 @@ class Silver:
     def quarantine(self) -> DataFrame:
         return self.flagged.where(F.col(FAILED) != "")
 
-    @classmethod
-    def of(cls, flagged: DataFrame) -> Silver:
-        """Wrap an already flagged frame (e.g. a checkpoint of one)."""
-        return cls(flagged, None, lambda df: df)
-
 
 def _candidates(
     bronze: DataFrame,
