@@ -174,6 +174,11 @@ class TableStore:
         self._write_text(f"{target}/{_SCHEMA}", df.schema.json())
         for old in self._versions(layer, name)[: -self.keep_versions]:
             self._delete(f"{base}/{old}")
+        # leftovers of earlier attempts that never committed
+        committed = set(self._versions(layer, name))
+        for child in self._children(base):
+            if child.startswith(_VERSION_PREFIX) and child < version and child not in committed:
+                self._delete(f"{base}/{child}")
         return target
 
     def append(

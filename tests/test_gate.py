@@ -58,3 +58,17 @@ def test_empty_rebuild_reads_back_with_its_schema(spark, store):
     store.replace("silver", "t", df, partition_by=["m"])
     back = store.read("silver", "t")
     assert back.count() == 0 and back.columns == ["id", "s", "m"]
+
+
+def test_failed_rebuild_is_invisible_and_cleaned_up(spark, store):
+    import os
+
+    store.replace("gold", "m", spark.range(3))
+    base = store.table_path("gold", "m")
+    # a crashed attempt: a version directory without the commit marker
+    os.makedirs(os.path.join(base, "_v=000000000000001-deadbeef"))
+    assert store.read("gold", "m").count() == 3
+    store.replace("gold", "m", spark.range(5))
+    assert store.read("gold", "m").count() == 5
+    assert "_v=000000000000001-deadbeef" not in os.listdir(base)
+    assert len([c for c in os.listdir(base) if c.startswith("_v=")]) == 2
