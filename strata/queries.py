@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,18 @@ ITEM_COLS = [
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Lazy plans of one session are reused across queries (a weak reference:
+# a stopped and replaced session starts afresh).  Only plan construction
+# is shared -- every query still executes over the whole tables.
+_LAKES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def _lake(spark: SparkSession, sf_dir: str) -> TestdataLake:
-    return TestdataLake(spark, sf_dir)
+    per_session = _LAKES.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        per_session[key] = TestdataLake(spark, key)
+    return per_session[key]
 
 
 def gold_daily_sales(spark, sf_dir):
