@@ -26,7 +26,7 @@ from strata.operators.quality import FAILED
 from strata.plans import gold, silver
 from strata.plans.bronze import ExtractResult, SourceSpec, extract
 from strata.plans.checks import GATE_THRESHOLDS_PCT
-from strata.plans.gate import dq_gate
+from strata.plans.gate import dq_gate_observed
 from strata.plans.validate import GOLD_MARTS, validate_outputs
 from strata.session import ensure_checkpoint_dir
 from strata.sources.store import TableStore
@@ -208,7 +208,7 @@ def run_pipeline(
     store.ensure_layers()
     bronze = [extract(spark, store, spec, run_ts=run_ts) for spec in sources]
     counts = run_silver(store, cfg)
-    gate = dq_gate(store, cfg.thresholds)
+    gate = dq_gate_observed(spark, counts, cfg.thresholds)
     run_gold(store, cfg)
     checked = validate_outputs(store, GOLD_MARTS)
     return PipelineResult(bronze, counts, gate, checked)

@@ -72,3 +72,14 @@ def test_failed_rebuild_is_invisible_and_cleaned_up(spark, store):
     assert store.read("gold", "m").count() == 5
     assert "_v=000000000000001-deadbeef" not in os.listdir(base)
     assert len([c for c in os.listdir(base) if c.startswith("_v=")]) == 2
+
+
+def test_gate_on_observed_counts_matches_store_counts(spark, store):
+    store.replace("silver", "orders", spark.range(99).selectExpr("id AS order_id"))
+    store.replace("quarantine", "orders", spark.range(2).selectExpr("id AS order_id"))
+    with pytest.raises(GateFailed) as a:
+        gate.dq_gate(store, {"orders": 1.0})
+    with pytest.raises(GateFailed) as b:
+        gate.dq_gate_observed(spark, {"orders": (99, 2)}, {"orders": 1.0})
+    assert str(a.value) == str(b.value)
+    assert gate.dq_gate_observed(spark, {"orders": (99, 1)}, {"orders": 1.0})[0]["passed"]
