@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import chat, mixing, quality_rules
 from .common import table
 
 
@@ -15,6 +15,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.with_probe(spark, sf_dir))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op7_chat_formatting": op7_chat_formatting,
+    "op9_mixing": op9_mixing,
 }
