@@ -7,14 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, quality_rules
+from . import bpe, chat, mixing, quality_rules, token_files
 from .common import table
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.with_probe(spark, sf_dir))
 
@@ -24,7 +32,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op3_quality_rules": op3_quality_rules,
+    "op4_bpe": op4_bpe,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_mixing": op9_mixing,
 }
