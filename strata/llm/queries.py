@@ -7,10 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, quality_rules, token_files
+from . import bpe, chat, mixing, quality_rules, substring, token_files
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_files": op2_token_files,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe": op4_bpe,
