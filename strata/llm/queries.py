@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, quality_rules, substring, token_files
+from . import bpe, chat, mixing, ngram_join, quality_rules, substring, token_files, topk
 from .common import table
 
 
@@ -27,10 +27,18 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.with_probe(spark, sf_dir))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,8 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe": op4_bpe,
+    "op5_maxscore_topk": op5_maxscore_topk,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
 }
