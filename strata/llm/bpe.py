@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,9 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .common import Words, slices, words_of
+from .id_cache import IdCache
 
-#: Distinct units, and as many fragments, that a worker remembers.
-CACHE_ENTRIES = 500_000
+#: Distinct fragments of cut units that a worker remembers.
+CACHE_ENTRIES = 100_000
 #: Bytes of text encoded together.
 ENCODE_BYTES = 2 << 20
 
@@ -111,7 +111,7 @@ class BoundaryEncoder:
         #: Pairs of byte symbols that some token holds side by side.
         self.inside = {t[i : i + 2] for t in bare for i in range(len(t) - 1)}
         self.ends, self.inner = self._model(spec, True), self._model(spec, False)
-        self.units, self.fragments = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
+        self.units, self.fragments = IdCache(), Recent(CACHE_ENTRIES)
         self.raw_cut = self._raw_cuts()
         #: 256 x 256: are these two ASCII letters that no token holds side by side?
         self.letter_cut = np.zeros((256, 256), bool)
@@ -167,25 +167,18 @@ class BoundaryEncoder:
             out[a, b] = (chr(a) + chr(b)).lower() not in self.inside
         return out
 
-    def encode_units(self, units: list[bytes], plain: list[bool]) -> list[bytes]:
-        """Ids of each unit of raw text, as little-endian 32-bit bytes.
-        ``plain`` ones are ASCII letters without a cut: one fragment each."""
-        self.units.trim()
+    def encode_units(self, units: list[bytes], plain: list[bool]) -> list[list[int]]:
+        """Ids of each unit of raw text.  ``plain`` ones are ASCII letters
+        without a cut: one fragment each."""
+        out: list[list[int]] = [[]] * len(units)
+        simple = [i for i, p in enumerate(plain) if p]
+        texts = [(units[i].lower() if self.lowers else units[i]).decode() for i in simple]
+        for i, e in zip(simple, self.ends.encode_batch_fast(texts, add_special_tokens=False)):
+            out[i] = e.ids
         self.fragments.trim()
-        known, parts = self.units, self.fragments
-        out = [known[u] for u in units]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        simple = [units[i] for i in new if plain[i]]
-        texts = [(u.lower() if self.lowers else u).decode() for u in simple]
-        for u, e in zip(simple, self.ends.encode_batch_fast(texts, add_special_tokens=False)):
-            known[u] = array("I", e.ids).tobytes()
-        for i in new:
-            if plain[i]:
-                out[i] = known[units[i]]
-        new = [i for i in new if not plain[i]]
-        plans, missing = [], set()
-        for i in new:
-            plan = []
+        parts, plans, missing = self.fragments, {}, set()
+        for i in (i for i, p in enumerate(plain) if not p):
+            plan = plans[i] = []
             for piece in self._pieces(units[i].decode("utf-8", "replace")):
                 if isinstance(piece, int):
                     plan.append(piece)
@@ -193,38 +186,28 @@ class BoundaryEncoder:
                 cut = self.cuts(piece)
                 last = len(cut) - 1
                 plan += [(k == last, p) for k, p in enumerate(cut)]
-            plans.append(plan)
             missing.update(k for k in plan if not isinstance(k, int) and parts[k] is None)
         for end, model in ((True, self.ends), (False, self.inner)):
             todo = [p for e, p in missing if e == end]
             for p, e in zip(todo, model.encode_batch_fast(todo, add_special_tokens=False)):
-                parts[end, p] = array("I", e.ids).tobytes()
-        for i, plan in zip(new, plans):
-            out[i] = known[units[i]] = b"".join(
-                [k.to_bytes(4, "little") if isinstance(k, int) else parts[k] for k in plan]
-            )
+                parts[end, p] = e.ids
+        for i, plan in plans.items():
+            out[i] = [x for k in plan for x in ([k] if isinstance(k, int) else parts[k])]
         return out
 
     def encode_texts(self, texts: pa.Array) -> list[bytes]:
         w = words_of(texts)
         if not len(w.start):
             return [b""] * len(texts)
-        # Units: words, cut further where raw text may be.
         start, end, edges = split_further(w, self.raw_cut)
-        hashes = w._replace(start=start, end=end).hashes()
-        _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = w.data.tobytes()
-        a, b = start[first], end[first]
         other = np.zeros(len(w.data) + 1, np.int64)
         np.cumsum(~_LETTER[w.data], out=other[1:])
         pairs = np.zeros(len(w.data) + 1, np.int64)  # pairs[p]: cuts before position p
         np.cumsum(self.letter_cut[w.data[:-1], w.data[1:]], out=pairs[2:])
-        plain = (other[b] == other[a]) & (pairs[b] == pairs[a + 1])
-        distinct = np.empty(len(first), object)
-        distinct[:] = self.encode_units([raw[x:y] for x, y in zip(a.tolist(), b.tolist())], plain.tolist())
-        per_unit = distinct[back]
-        edges = edges.tolist()
-        return [b"".join(per_unit[a:b].tolist()) for a, b in zip(edges[:-1], edges[1:])]
+        plain = (other[end] == other[start]) & (pairs[end] == pairs[start + 1])
+        return self.units.encode(
+            w.data, start, end, edges, lambda new, unit: self.encode_units(new, plain[unit].tolist())
+        )
 
     def decode(self, ids: bytes) -> bytes:
         """The library's text of the ids: without a decoder, tokens joined by a space."""

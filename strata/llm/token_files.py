@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import struct
 import uuid
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_ENTRIES, ENCODE_BYTES, Recent, letter_mark_cuts, vocabulary
-from .common import _BYTE_VALUE, range_hash, saved, slices, text_bytes, work_path
+from .bpe import ENCODE_BYTES, letter_mark_cuts, vocabulary
+from .common import saved, slices, text_bytes, work_path
+from .id_cache import IdCache
 
 MAGIC = b"IDPACK01"
 BLOCK_IDS = 1 << 16
@@ -148,7 +148,7 @@ class LibraryTokenizer:
 
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
-        self.known = Recent(CACHE_ENTRIES)
+        self.known = IdCache()
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         if any(c.isspace() for s in special for c in s):
             raise ValueError("special tokens with white space are not supported")
@@ -181,20 +181,12 @@ class LibraryTokenizer:
         if not len(data):
             return [b""] * len(texts)
         start, end, edges = self.fragments(data, t0, t1)
-        _, first, back = np.unique(range_hash(_BYTE_VALUE[data], start, end), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        self.known.trim()
-        known = self.known
-        parts = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
-        out = [known[p] for p in parts]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        found = self.tok.encode_batch_fast([parts[i].decode("utf-8", "replace") for i in new], add_special_tokens=False)
-        for i, e in zip(new, found):
-            out[i] = known[parts[i]] = array("I", e.ids).tobytes()
-        distinct = np.empty(len(first), object)
-        distinct[:] = out
-        per_part, edges = distinct[back], edges.tolist()
-        return [b"".join(per_part[a:b].tolist()) for a, b in zip(edges[:-1], edges[1:])]
+
+        def new(parts: list[bytes], _: np.ndarray) -> Iterator[list[int]]:
+            texts = [p.decode("utf-8", "replace") for p in parts]
+            return (e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False))
+
+        return self.known.encode(data, start, end, edges, new)
 
 
 @lru_cache(maxsize=4)
@@ -259,8 +251,8 @@ def read(manifest: DataFrame, batch_ids: int = 1 << 20) -> DataFrame:
                     )
                     a = b
 
-    # A file a task: its rows are few, so they are dealt out by count.
-    spread = manifest.repartition(F.col("path"))
+    # A file a task, dealt out in turn; with the number given Spark keeps it.
+    spread = manifest.repartition(max(1, manifest.count()))
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
