@@ -250,7 +250,9 @@ def encode(
             yield pa.RecordBatch.from_arrays(columns, names=names + [ids_col] + [decoded_col] * bool(decoded_col))
 
     fields = [docs.schema[c] for c in names] + [StructField(ids_col, BinaryType())]
-    return docs.mapInArrow(run, StructType(fields + [StructField(decoded_col, StringType())] * bool(decoded_col)))
+    if decoded_col:
+        fields.append(StructField(decoded_col, StringType()))
+    return docs.mapInArrow(run, StructType(fields))
 
 
 def digest(docs: DataFrame, file: str = "word_bpe_49k.json") -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, ngram_join, quality_rules, substring, token_files, topk
+from . import bpe, chat, mil_quality, mixing, ngram_join, quality_rules, substring, token_files, topk
 from .common import table
 
 
@@ -43,6 +43,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_files": op2_token_files,
@@ -52,4 +62,6 @@ QUERIES = {
     "op7_chat_formatting": op7_chat_formatting,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
+    "op10_mil_quality": op10_mil_quality,
+    "pipeline": pipeline,
 }
