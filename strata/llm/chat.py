@@ -41,6 +41,7 @@ class Template:
             "assistant": ("[OUT] ", "</s>"),
         }
     )
+    #: The role between the first two is escaped up to the ``]`` that begins the second.
     other: tuple[str, str, str] = ("[TURN ", "] ", " [/TURN]")
     learned: tuple[str, ...] = ("assistant",)
     #: What no text may hold unescaped.
@@ -61,6 +62,8 @@ class Template:
         for c in self.controls:
             if c[0] not in "[<" or re.search(r"[\[<\\]", c[1:]):
                 raise ValueError(f"control string {c!r} must begin with [ or < and hold no other")
+        if not self.other[1].startswith("]"):
+            raise ValueError("the role of an unnamed turn ends with a ]")
         for m in [x[0] for x in self.markers.values()] + [self.other[0]]:
             if not any(m.startswith(c) for c in self.controls):
                 raise ValueError(f"the opening {m!r} must begin with a control string")

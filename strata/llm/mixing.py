@@ -152,14 +152,15 @@ def plan(docs: DataFrame, text_col: str = "text", source_col: str = "source", id
     )
     in_order = Window.partitionBy("rank", "epoch").orderBy("order", P + "block")
     units = (
-        units.withColumn("at", F.row_number().over(in_order) - 1)
-        .withColumn("upto", F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        units.withColumn("upto", F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("before", F.col("upto") - F.col("words"))
         .withColumn("whole", (F.col("epoch") < F.col("epochs")) | (F.col("upto") <= F.col("rest")))
         .where(F.col("whole") | ((F.col("before") < F.col("rest")) & (F.col("rest") > 0)))
         .withColumn("missing", F.when(~F.col("whole"), F.col("rest") - F.col("before")))
     )
-    units = saved(units.select("rank", P + "block", "epoch", "whole", "missing", "target", F.col("at") + F.col("epoch") * F.col("n_blocks")).toDF("rank", P + "block", "epoch", "whole", "missing", "target", "unit"))
+    # A hash leaves some blocks empty: units are numbered as they are.
+    number = F.row_number().over(Window.partitionBy("rank").orderBy("epoch", "order", P + "block")) - 1
+    units = saved(units.select("rank", P + "block", "epoch", "whole", "missing", number.cast("long").alias("unit")))
 
     # The block that is taken in part: the key up to which its documents go.
     part = units.where(~F.col("whole")).select("rank", P + "block", "missing")

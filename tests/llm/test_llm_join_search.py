@@ -1,0 +1,139 @@
+import numpy as np
+from llm_brute import SF, jaccard_components
+
+from strata.llm import ngram_join, topk
+from strata.llm.components import components
+from strata.llm.ngram_join import Settings, groups, link_groups, one_per_group
+from strata.llm.queries import op5_maxscore_topk, op8_ngram_join
+
+
+def test_op8_equals_brute_force(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = sorted(jaccard_components(docs))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op8_ngram_join(spark, SF).collect())
+    assert got == want and any(k != c for k, _, c in want)
+
+
+def near_copies():
+    rng = np.random.default_rng(4)
+    bases = [[f"w{x}" for x in rng.integers(0, 400, n)] for n in (60, 60, 25, 9)]
+    docs = []
+    for i in range(120):
+        w = list(bases[i % 4])
+        for _ in range(int(rng.integers(0, 4))):
+            w[rng.integers(0, len(w))] = f"v{rng.integers(0, 50)}"
+        docs.append((i, " ".join(w[: len(w) - i % 3])))
+    return docs
+
+
+def test_blocks_of_a_hot_centre_lose_no_link(spark):
+    docs = near_copies()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(jaccard_components(docs))
+    for s in (Settings(), Settings(block_tokens=150, chunk_tokens=100), Settings(block_tokens=40, extra=4)):
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(df, s=s).collect())
+        assert got == want
+
+
+def test_odd_rows_and_one_per_group(spark):
+    rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b"), (5, "q w e r t"), (5, "q w e r t"), (None, "Q w e r t"), (None, "u"), (6, "x " * 5000), (7, "x " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as root", "2 as n", "3 as h1")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(df).collect()), key=str)
+    assert got == sorted(
+        [(1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 1, 3), (5, 1, 5), (5, 1, 5), (None, 1, 5), (None, 1, None), (6, 1, 6), (7, 1, 6)], key=str
+    )
+    kept = one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "5", "6", "None"]
+    assert groups(df.limit(0)).count() == 0 and one_per_group(df.limit(0)).count() == 0
+
+
+def test_trie_links_equal_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        sets, group = [], []
+        for g in range(int(rng.integers(1, 4))):
+            bases = [set(rng.integers(0, 60, int(rng.integers(3, 30))).tolist()) for _ in range(3)]
+            for _ in range(int(rng.integers(1, 10))):
+                x = set(bases[rng.integers(0, 3)])
+                for _ in range(int(rng.integers(0, 5))):
+                    x ^= {int(rng.integers(0, 80))}
+                sets.append(x or {1})
+                group.append(g * 7 + 3)
+        names = rng.permutation(1000)[: len(sets)] - 500
+        tokens = np.concatenate([np.array(sorted(x), np.uint64) for x in sets])
+        a, b = link_groups(np.array(group), names, np.ones(len(sets), bool), tokens, np.array([len(x) for x in sets]))
+        label = list(range(len(sets)))
+
+        def find(i):
+            while label[i] != i:
+                i = label[i]
+            return i
+
+        for i in range(len(sets)):
+            for j in range(i):
+                o = len(sets[i] & sets[j])
+                if group[i] == group[j] and 100 * o >= 75 * (len(sets[i]) + len(sets[j]) - o):
+                    label[find(i)] = find(j)
+        members = {}
+        for i in range(len(sets)):
+            members.setdefault(find(i), []).append(i)
+        want = {int(names[i]): min(int(names[k]) for k in v) for v in members.values() if len(v) > 1 for i in v}
+        assert dict(zip(a.tolist(), b.tolist())) == want
+
+
+def test_prefixes_keep_enough_shared_tokens():
+    s = Settings()
+    for n in range(1, 400):
+        m = ngram_join.least_overlap(n)
+        assert 4 * m >= 3 * n > 4 * (m - 1)
+        assert n - m + ngram_join.extra_tokens(n, s) <= n
+
+
+def test_components_of_long_chains(spark):
+    pairs = [(i, i + 1) for i in range(0, 40)] + [(i, i + 2) for i in range(100, 130)] + [(7, 7), (500, 501), (500, 501)]
+    rng = np.random.default_rng(0)
+    rng.shuffle(pairs)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in pairs], "a long, b long")
+    got = {r["node"]: r["root"] for r in components(df).collect()}
+    want = {i: 0 for i in range(1, 41)} | {i: 100 + i % 2 for i in range(102, 132)} | {501: 500}
+    assert got == want
+    assert components(df.limit(0)).count() == 0
+
+
+def brute_topk(rows, k=20):
+    ids = [i for i, _ in rows]
+    x = np.floor(64 * np.array([v for _, v in rows], np.float64)).astype(np.int64)
+    out = set()
+    for q, i in enumerate(ids):
+        if i % 20 == 0:
+            score = x @ x[q]
+            best = sorted((-int(score[j]), ids[j]) for j in range(len(ids)) if j != q)[:k]
+            out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(best)}
+    return out
+
+
+def test_op5_equals_brute_force(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in op5_maxscore_topk(spark, SF).collect()}
+    assert got == brute_topk(rows)
+
+
+def test_topk_over_many_cells(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(300)]  # many ties
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for s in (topk.Settings(), topk.Settings(shard_rows=40, block_queries=4, step=2), topk.Settings(step=1, sparse=1.0)):
+        found = topk.nearest(df, df["vec_id"] % 20 == 0, s=s)
+        assert {(r["query_id"], r["rank"], r["id"], r["score"]) for r in found.collect()} == brute_topk(rows)
+
+
+def test_topk_of_odd_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (20, None), (40, [None, 1.0]), (60, [float("nan"), 1.0]), (61, [float("inf"), 1.0]),
+            (1, [0.5, 0.5]), (2, [0.5, 0.5]), (None, [0.5, 0.5]), (80, [3.0]), (100, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as id", "2 as v")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.digest(df).where("query_id = 0").collect())
+    assert got == [(0, 1, 80, 12288), (0, 2, 1, 6144), (0, 3, 2, 6144), (0, 4, None, 6144), (0, 5, 100, 0)]
+    assert topk.digest(df.limit(0)).count() == 0
+    big = spark.createDataFrame([(0, [3e5, -3e5]), (1, [3e5, 1.0]), (2, [-3e5, 1.0])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in topk.digest(big).orderBy("rank").collect()] == [(1, 19200000 * 19200000 - 19200000 * 64), (2, -19200000 * 19200000 - 19200000 * 64)]
