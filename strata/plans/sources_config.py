@@ -114,7 +114,8 @@ def retail_sources(config: Mapping) -> list[SourceSpec]:
         fx_path = config["exchange_rates_csv"]
         specs.append(
             SourceSpec("exchange_rates", LABELS["exchange_rates"],
-                       lambda s, p=fx_path: files.exchange_rates_csv(s, p), watermark_col="rate_date")
+                       lambda s, p=fx_path: files.exchange_rates_csv(s, p), watermark_col="rate_date",
+                       keep_unmarked=True)
         )
     return specs
 

@@ -14,6 +14,15 @@ conventions only:
     Spark's output committer).  A failed rebuild therefore never exposes
     a half-written table and the previous version stays readable.
 
+A reader that still holds a plan on a version keeps it until
+``keep_versions`` newer ones are committed (2 unless set otherwise): raise
+it where plans outlive rebuilds.  One writer per table at a time: a rebuild
+removes what earlier attempts left uncommitted.
+
+Append tables record their schema beside the data, so partition values
+read back with the type they were written with (a batch id ``0001`` stays
+text).
+
 The root must be shared storage on a cluster (HDFS, object store); the
 filesystem calls go through Hadoop's ``FileSystem`` of that path.
 """
@@ -22,7 +31,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,7 +130,13 @@ class TableStore:
             # an empty rebuild: no data files, only the recorded schema
             schema = StructType.fromJson(json.loads(self._read_text(f"{path}/{_SCHEMA}")))
             return empty_frame(self.spark, schema)
-        return self.spark.read.parquet(path)
+        schema = None if path.rsplit("/", 1)[-1].startswith(_VERSION_PREFIX) else self._recorded(path)
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(path)
+
+    def _recorded(self, path: str) -> StructType | None:
+        at = f"{path}/{_SCHEMA}"
+        return StructType.fromJson(json.loads(self._read_text(at))) if self._exists(at) else None
 
     def _read_text(self, p: str) -> str:
         fs, path = self._path(p)
@@ -147,6 +162,12 @@ class TableStore:
         finally:
             out.close()
 
+    def remember(self, path: str, text: str) -> str:
+        """The text kept at ``path``; ``text`` is kept there first if none is."""
+        if not self._exists(path):
+            self._write_text(path, text)
+        return self._read_text(path)
+
     def read_or_empty(self, layer: str, name: str, schema: StructType | str) -> DataFrame:
         """K7 for readers: a missing table reads as empty with ``schema``."""
         if self.exists(layer, name):
@@ -196,6 +217,12 @@ class TableStore:
         if not partition_by:
             raise ValueError("append tables need partition columns")
         path = self.table_path(layer, name)
+        have = self._recorded(path)
+        new = [f for f in df.schema.fields if have is None or f.name not in have.names]
+        if new:  # the partition columns last, as they are read
+            fields = [f for f in (have.fields if have else []) + new if f.name not in partition_by]
+            parts = [next(f for f in df.schema.fields if f.name == c) for c in partition_by]
+            self._write_text(f"{path}/{_SCHEMA}", StructType(fields + parts).json())
         writer = df.write.partitionBy(*partition_by)
         if idempotent:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -204,6 +231,13 @@ class TableStore:
         writer.parquet(path)
         return path
 
+    def drop_partition(self, layer: str, name: str, values: Mapping[str, str]) -> None:
+        """Remove one partition of an append table, if it is there."""
+        part = "/".join(f"{k}={v}" for k, v in values.items())
+        path = f"{self.table_path(layer, name)}/{part}"
+        if self._exists(path):
+            self._delete(path)
+
     def drop_if_empty(self, layer: str, name: str) -> None:
         """Remove a table directory that holds no data files (an empty
         first write leaves only the commit marker)."""

@@ -36,25 +36,27 @@ def latest(store: TableStore) -> DataFrame:
     return dedupe_latest(log(store), ["source_table"], "updated_at", ["batch_id"])
 
 
-def get_watermark(store: TableStore, source_table: str) -> str | None:
-    """The stored value, or None before the first successful extraction.
+def current(store: TableStore, source_table: str) -> tuple[str | None, str | None]:
+    """(value, batch that set it), or (None, None) before the first
+    successful extraction.
 
     The log is partitioned by ``source_table``, so the filter prunes to
     one directory; the latest entry is a single ``max_by`` aggregate (one
     row to the driver)."""
     if not store.exists("control", TABLE):
-        return None
+        return None, None
+    newest = F.struct("updated_at", "batch_id")
     row = (
         log(store)
         .where(F.col("source_table") == source_table)
-        .agg(
-            F.max_by(
-                "watermark_value", F.struct(F.col("updated_at"), F.col("batch_id"))
-            ).alias("v")
-        )
+        .agg(F.max_by(F.struct("watermark_value", "batch_id"), newest).alias("at"))
         .first()
     )
-    return row["v"] if row else None
+    return (row["at"][0], row["at"][1]) if row and row["at"] else (None, None)
+
+
+def get_watermark(store: TableStore, source_table: str) -> str | None:
+    return current(store, source_table)[0]
 
 
 def set_watermark(
@@ -65,6 +67,8 @@ def set_watermark(
     batch_id: str | None = None,
     updated_at: dt.datetime | None = None,
 ) -> None:
+    if value is None:
+        raise ValueError("a watermark needs a value")
     ts = updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     # one row built in the JVM from literals
     df = store.spark.range(1).select(

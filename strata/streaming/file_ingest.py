@@ -6,19 +6,25 @@ processes everything that arrived since the last run and stops.
 
 Exactly once: the stream checkpoint (on the store's shared storage)
 records the files each micro-batch took; the bronze write partitions by
-``_batch_id = stream-<epoch>`` with dynamic partition overwrite, so an
-epoch replayed after a failure replaces its own rows instead of adding
-them twice.  ``maxFilesPerTrigger`` bounds each micro-batch.
+day and ``_batch_id = <stream id>-<epoch>`` with dynamic partition
+overwrite, so an epoch replayed after a failure replaces its own rows
+instead of adding them twice.  The stream id is drawn when a checkpoint is
+new and kept in it, so two streams, or one that lost its checkpoint, never
+share a batch id; the day of an epoch is kept there too, so a replay after
+midnight rewrites the same partition.  ``maxFilesPerTrigger`` bounds each
+micro-batch.  Two streams into one table need two checkpoints.
 """
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.audit import BATCH_ID, add_audit_columns, add_ingested_date
+from strata.operators.audit import BATCH_ID, INGESTED_DATE, add_audit_columns
 from strata.plans.bronze import BRONZE_PARTITIONS
 from strata.sources.store import TableStore
 
@@ -51,13 +57,23 @@ def ingest_landed_files(
     if transform is not None:
         stream = transform(stream)
 
+    location = checkpoint or f"{store.root}/_streams/{table}"
+    stream_id = store.remember(f"{location}/strata/stream", uuid.uuid4().hex[:12])
+    taken: dict[int, int] = {}
+
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        out = add_ingested_date(add_audit_columns(batch, source_label)).withColumn(
-            BATCH_ID, F.lit(f"stream-{epoch_id:010d}")
+        today = dt.datetime.now(dt.timezone.utc).date().isoformat()
+        day = store.remember(f"{location}/strata/day-{epoch_id:010d}", today)
+        rows = Observation(f"{stream_id}_{epoch_id}_{uuid.uuid4().hex[:6]}")
+        out = (
+            add_audit_columns(batch, source_label)
+            .observe(rows, F.count(F.lit(1)).alias("n"))
+            .withColumn(INGESTED_DATE, F.lit(day).cast("date"))
+            .withColumn(BATCH_ID, F.lit(f"{stream_id}-{epoch_id:010d}"))
         )
         store.append("bronze", table, out, BRONZE_PARTITIONS)
+        taken[epoch_id] = int(rows.get["n"])
 
-    location = checkpoint or f"{store.root}/_streams/{table}"
     query = (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", location)
@@ -68,7 +84,4 @@ def ingest_landed_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    progress = [p for p in query.recentProgress if p.get("numInputRows") is not None]
-    rows = sum(int(p["numInputRows"]) for p in progress)
-    batches = sum(1 for p in progress if int(p["numInputRows"]) > 0)
-    return StreamIngestResult(table, rows, batches)
+    return StreamIngestResult(table, sum(taken.values()), sum(1 for n in taken.values() if n))

@@ -5,6 +5,7 @@ import os
 import tempfile
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans.bronze import SourceSpec, extract
@@ -45,15 +46,91 @@ def test_jdbc_incremental_two_runs_then_empty_then_replay(spark, store):
     assert {r["_batch_id"] for r in bronze.collect()} == {"b1", "b2"}
     assert {"_bronze_ingested_at", "_bronze_source", "_bronze_ingested_date"} <= set(bronze.columns)
 
-    # Replaying batch b2 after resetting its watermark re-reads and
-    # replaces that batch's partition only: no duplicate rows.
-    wm.set_watermark(store, "orders", "2026-01-02 00:00:00")
-    r4 = extract(spark, store, spec, run_ts=t(5), batch_id="b2")
-    assert (r4.rows, r4.watermark_before, r4.watermark_after) == (1, "2026-01-02 00:00:00", "2026-01-04 00:00:00")
-    assert store.read("bronze", "orders").count() == 3
+    # Replaying batch b2 re-reads its own interval into its own partition,
+    # also after midnight and after a later (empty) batch.
+    r4 = extract(spark, store, spec, run_ts=t(9), batch_id="b2")
+    assert (r4.rows, r4.watermark_after) == (1, "2026-01-04 00:00:00")
+    again = store.read("bronze", "orders")
+    assert again.count() == 3 and {str(r["_bronze_ingested_date"]) for r in again.collect()} == {"2026-01-03", "2026-01-05"}
     assert wm.get_watermark(store, "orders") == "2026-01-04 00:00:00"
 
 
+def _ids(store, table="t"):
+    return sorted(r["id"] for r in store.read("bronze", table).collect())
+
+
+def _numbers(spark_rows):
+    return SourceSpec("t", "numbers", lambda s: s.createDataFrame([(i,) for i in spark_rows], "id INT"), watermark_col="id")
+
+
+def test_one_batch_id_twice_keeps_all_rows(spark, store):
+    extract(spark, store, _numbers([1, 2, 3]), batch_id="daily")
+    r = extract(spark, store, _numbers([1, 2, 3, 4, 5]), batch_id="daily")
+    assert _ids(store) == [1, 2, 3, 4, 5] and (r.rows, r.watermark_after) == (5, "5")
+
+
+def test_replaying_an_older_batch_takes_no_later_rows(spark, store):
+    extract(spark, store, _numbers([1, 2]), batch_id="a")
+    extract(spark, store, _numbers([1, 2, 3, 4]), batch_id="b")
+    extract(spark, store, _numbers([1, 2, 3, 4, 5]), batch_id="a")
+    assert _ids(store) == [1, 2, 3, 4] and wm.get_watermark(store, "t") == "4"
+    extract(spark, store, _numbers([1, 2, 3, 4, 5]), batch_id="c")
+    assert _ids(store) == [1, 2, 3, 4, 5]
+
+
+def test_a_batch_that_died_before_its_mark_is_taken_up_or_dropped(spark, store, monkeypatch):
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    for next_id in (None, "next"):
+        extract(spark, store, _numbers([1, 2]))
+        with monkeypatch.context() as m:
+            m.setattr(wm, "set_watermark", die)
+            with pytest.raises(RuntimeError):
+                extract(spark, store, _numbers([1, 2, 3]))
+        extract(spark, store, _numbers([1, 2, 3, 4]), batch_id=next_id)
+        assert _ids(store) == [1, 2, 3, 4]
+        store._delete(store.table_path("bronze", "t"))
+        for control in ("watermarks", "batches"):
+            store._delete(store.table_path("control", control))
+
+
+def test_partition_values_keep_their_type(spark, store):
+    extract(spark, store, _numbers([1]), batch_id="0001")
+    extract(spark, store, _numbers([1, 2]), batch_id="20260110")
+    extract(spark, store, _numbers([1, 2, 3]), batch_id="12e4")
+    assert {r["_batch_id"] for r in store.read("bronze", "t").collect()} == {"0001", "20260110", "12e4"}
+
+
+def test_a_batch_without_marks_sets_none(spark, store):
+    spec = lambda rows: SourceSpec("t", "s", lambda s: s.createDataFrame(rows, "id INT, x INT"), watermark_col="id")
+    r = extract(spark, store, spec([(None, 1)]), batch_id="a")
+    assert r.rows == 1 and r.watermark_after is None and wm.get_watermark(store, "t") is None
+    r = extract(spark, store, spec([(None, 1), (7, 2)]), batch_id="b")
+    assert r.watermark_after == "7"
+    assert extract(spark, store, spec([(7, 2), (8, 3)]), batch_id="c").rows == 1
+
+
+def test_overlap_of_a_numeric_mark(spark, store):
+    spec = lambda rows: SourceSpec("t", "s", lambda s: s.createDataFrame([(i,) for i in rows], "id INT"), watermark_col="id", overlap="2")
+    extract(spark, store, spec([1, 5, 6]), batch_id="a")
+    r = extract(spark, store, spec([1, 4, 5, 6, 7]), batch_id="b")
+    assert (r.rows, r.watermark_after) == (3, "7")  # 5 and 6 again, 7 new
+
+
+def test_malformed_rate_dates_reach_the_quarantine_on_every_run(spark, store):
+    from strata.plans import silver
+
+    p = _write_csv("rate_date,base_currency,quote_currency,rate\n2024-01-01,USD,EUR,0.92\noops,USD,GBP,0.7\n")
+    spec = SourceSpec("exchange_rates", "fx-csv", lambda s: files.exchange_rates_csv(s, p), watermark_col="rate_date", keep_unmarked=True)
+    extract(spark, store, spec, batch_id="b1")
+    with open(p, "a") as fh:
+        fh.write("2024-01-02,USD,EUR,0.93\nbroken,USD,CHF,0.8\n")
+    extract(spark, store, spec, batch_id="b2")
+    bad = silver.silver_exchange_rates(store.read("bronze", "exchange_rates")).quarantine.collect()
+    assert {r["quote_currency"] for r in bad} == {"GBP", "CHF"}
+
+
 def test_jdbc_watermark_filter_is_pushed_to_the_database(spark):
     url = _derby_url()
     _seed_orders(spark, url, [(1, 1, dt.datetime(2026, 1, 1), 10)])
