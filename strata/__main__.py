@@ -1,9 +1,17 @@
-"""Command line: run the medallion pipeline against configured sources.
+"""Command line: the whole pipeline, one layer, or one table of it.
 
-    python -m strata run --config sources.json --store hdfs:///lake \\
-        [--as-of 2026-01-31] [--max-broadcast-rows 2000000]
-    python -m strata gate --store hdfs:///lake
-    python -m strata validate --store hdfs:///lake
+    python -m strata run      --config lake.json --store hdfs:///lake [--as-of 2026-01-31]
+    python -m strata extract  --config lake.json --store hdfs:///lake [TABLE ...] [--batch-id ID]
+    python -m strata silver   --store hdfs:///lake [TABLE ...] [--config lake.json] [--as-of ...]
+    python -m strata gold     --store hdfs:///lake [MART ...] [--as-of ...]
+    python -m strata gate     --store hdfs:///lake [--config lake.json]
+    python -m strata validate --store hdfs:///lake [MART ...]
+    python -m strata sql      --store hdfs:///lake "SELECT ... FROM silver_orders"
+
+The config file names the sources (``strata.plans.sources_config``) and may
+hold the pipeline's settings:
+
+    {"pipeline": {"thresholds": {"orders": 2.0}, "tie_breakers": {"orders": ["order_ts"]}}, ...}
 """
 from __future__ import annotations
 
@@ -12,39 +20,85 @@ import datetime as dt
 import json
 import sys
 
+from strata.plans.bronze import extract
+from strata.plans.checks import GATE_THRESHOLDS_PCT
 from strata.plans.gate import GateFailed, dq_gate
-from strata.plans.pipeline import PipelineConfig, run_pipeline
+from strata.plans.gold import MARTS
+from strata.plans.pipeline import SILVER_LAYOUT, PipelineConfig, run_gold, run_pipeline, run_silver
 from strata.plans.sources_config import retail_sources
 from strata.plans.validate import ValidationFailed, validate_outputs
 from strata.session import get_session
 from strata.sources.store import TableStore
 
 
-def main(argv: list[str] | None = None) -> int:
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata")
     sub = p.add_subparsers(dest="cmd", required=True)
-    run = sub.add_parser("run")
-    run.add_argument("--config", required=True)
-    run.add_argument("--store", required=True)
-    run.add_argument("--as-of", type=dt.date.fromisoformat)
-    run.add_argument("--max-broadcast-rows", type=int, default=2_000_000)
-    for name in ("gate", "validate"):
-        sub.add_parser(name).add_argument("--store", required=True)
-    args = p.parse_args(argv)
+    for name in ("run", "extract", "silver", "gold", "gate", "validate", "sql"):
+        c = sub.add_parser(name)
+        c.add_argument("--store", required=True)
+        c.add_argument("--config", required=name in ("run", "extract"))
+        c.add_argument("--as-of", type=dt.date.fromisoformat)
+        c.add_argument("--run-ts", type=dt.datetime.fromisoformat)
+        c.add_argument("--batch-id")
+        if name == "sql":
+            c.add_argument("names", nargs=1, metavar="statement")
+        elif name not in ("run", "gate"):
+            c.add_argument("names", nargs="*")
+    return p
+
+
+def _known(names: list[str], all_: list[str]) -> list[str]:
+    unknown = sorted(set(names) - set(all_))
+    if unknown:
+        raise SystemExit(f"unknown: {', '.join(unknown)}; there are {', '.join(all_)}")
+    return names or all_
 
+
+def settings(args: argparse.Namespace, config: dict) -> PipelineConfig:
+    own = config.get("pipeline", {})
+    return PipelineConfig(
+        as_of=args.as_of,
+        run_ts=args.run_ts,
+        thresholds={**GATE_THRESHOLDS_PCT, **own.get("thresholds", {})},
+        tie_breakers=own.get("tie_breakers", {}),
+    )
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = _parser().parse_args(argv)
+    config = {}
+    if args.config:
+        with open(args.config) as fh:
+            config = json.load(fh)
+    cfg = settings(args, config)
     spark = get_session("strata-" + args.cmd)
     store = TableStore(spark, args.store)
+    out: object = None
     try:
         if args.cmd == "run":
-            with open(args.config) as fh:
-                sources = retail_sources(json.load(fh))
-            cfg = PipelineConfig(as_of=args.as_of, max_broadcast_rows=args.max_broadcast_rows)
-            result = run_pipeline(spark, store, sources, cfg)
-            print(json.dumps({"silver": result.silver, "gate": result.gate}, default=str))
+            result = run_pipeline(spark, store, retail_sources(config), cfg)
+            out = {"silver": result.silver, "gate": result.gate}
+        elif args.cmd == "extract":
+            store.ensure_layers()
+            specs = {s.table: s for s in retail_sources(config)}
+            out = [
+                vars(extract(spark, store, specs[n], run_ts=args.run_ts, batch_id=args.batch_id))
+                for n in _known(args.names, list(specs))
+            ]
+        elif args.cmd == "silver":
+            out = run_silver(store, cfg, _known(args.names, list(SILVER_LAYOUT)))
+        elif args.cmd == "gold":
+            run_gold(store, cfg, out := _known(args.names, MARTS))
         elif args.cmd == "gate":
-            print(json.dumps(dq_gate(store), default=str))
+            out = dq_gate(store, cfg.thresholds)
+        elif args.cmd == "validate":
+            out = validate_outputs(store, _known(args.names, MARTS))
         else:
-            print(json.dumps(validate_outputs(store), default=str))
+            store.create_views()
+            spark.sql(args.names[0]).show(truncate=False)
+        if out is not None:
+            print(json.dumps(out, default=str))
     except (GateFailed, ValidationFailed) as e:
         print(str(e), file=sys.stderr)
         return 2

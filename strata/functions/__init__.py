@@ -4,7 +4,6 @@ from strata.functions.money import (
     cents,
     half_up_ratio_pct,
     money_from_cents,
-    round_money,
 )
 
-__all__ = ["avg_money", "cents", "half_up_ratio_pct", "money_from_cents", "round_money"]
+__all__ = ["avg_money", "cents", "half_up_ratio_pct", "money_from_cents"]

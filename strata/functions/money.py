@@ -16,11 +16,6 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def round_money(col: Column | str) -> Column:
-    """Half-up rounding to cents (Spark's ``round`` on doubles)."""
-    return F.round(_c(col), 2)
-
-
 def cents(col: Column | str) -> Column:
     """A cent-rounded double amount as whole cents (bigint)."""
     return F.round(_c(col) * 100).cast("bigint")
@@ -55,3 +50,12 @@ def half_up_ratio_pct(num_cents: Column | str, den_cents: Column | str) -> Colum
     num, den = _c(num_cents), _c(den_cents)
     hundredths = _div(num.cast("decimal(38,0)") * 20000 + den, den * 2)
     return F.when(den > 0, hundredths / F.lit(100))
+
+
+def growth_pct(before_cents: Column | str, now_cents: Column | str) -> Column:
+    """``round((now - before) / before * 100, 2)`` computed exactly, half
+    away from zero, for integers; NULL when ``before`` is 0 or NULL."""
+    before, now = (_c(c).cast("decimal(38,0)") for c in (before_cents, now_cents))
+    size = _div(F.abs(now - before) * 20000 + F.abs(before), F.abs(before) * 2)
+    sign = F.when((now >= before) == (before > 0), 1).otherwise(-1)
+    return F.when(before != 0, size * sign / F.lit(100))

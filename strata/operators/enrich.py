@@ -1,12 +1,8 @@
 """J1-J4 lookups and C1 currency conversion.
 
-Join strategy is left to Spark unless the caller has *proved* a side is
-small: ``broadcast=True`` is meant for callers that know the dimension's
-row count (the pipeline passes it from the counts observed when that
-silver table was written).  Otherwise Spark broadcasts only below
-``spark.sql.autoBroadcastJoinThreshold`` (static estimate) or its AQE
-counterpart (actual shuffle size), and sort-merge joins beyond it, with
-AQE splitting skewed partitions of the probe side.
+Join strategies are Spark's: a side below ``autoBroadcastJoinThreshold``
+(estimated, or measured by AQE after its shuffle) is broadcast, everything
+else is a sort-merge join whose skewed probe partitions AQE splits.
 """
 from __future__ import annotations
 
@@ -19,28 +15,18 @@ USD = "USD"
 FX_RATE = "fx_rate_to_usd"
 
 
-def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
-    return F.broadcast(df) if broadcast else df
-
-
-def flag_known(
-    df: DataFrame,
-    dim: DataFrame,
-    left_key: str,
-    right_key: str,
-    flag_col: str,
-    broadcast: bool = False,
-) -> DataFrame:
+def flag_known(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, flag_col: str) -> DataFrame:
     """Add boolean ``flag_col``: does ``df.left_key`` exist in ``dim.right_key``?
 
     A left join against the dimension's *distinct* keys, so the probe
-    never multiplies rows and reads only the key column.  The distinct
-    shares its exchange with a sort-merge join on the same key (and the
-    key is usually already partitioned by the dimension's dedupe), so it
-    adds no shuffle of its own.
+    never multiplies rows and reads only the key column.  AQE splits a
+    skewed partition only where both sides are freshly shuffled; the keys
+    usually arrive partitioned by the dimension's dedupe, so they are
+    rebalanced first: a hot key of ``df`` then spans several tasks, for one
+    more shuffle of the narrow key column.
     """
-    keys = dim.select(F.col(right_key).alias("_probe_key"), F.lit(True).alias("_probe_hit"))
-    keys = _maybe_broadcast(keys.distinct(), broadcast)
+    keys = dim.select(F.col(right_key).alias("_probe_key")).distinct().hint("rebalance")
+    keys = keys.withColumn("_probe_hit", F.lit(True))
     joined = df.join(keys, df[left_key] == keys["_probe_key"], "left")
     return joined.select(
         *[df[c] for c in df.columns],
@@ -53,7 +39,6 @@ def attach(
     dim: DataFrame,
     on: Sequence[tuple[str, str]],
     columns: Sequence[str | Column],
-    broadcast: bool = False,
 ) -> DataFrame:
     """Left join carrying ``columns`` of ``dim``; ``on`` pairs are
     (df column, dim column).  The dimension must be unique on its keys
@@ -61,7 +46,6 @@ def attach(
     right_names = [r for _, r in on]
     carried = [F.col(c) if isinstance(c, str) else c for c in columns]
     side = dim.select(*[F.col(r).alias(f"_rk_{i}") for i, r in enumerate(right_names)], *carried)
-    side = _maybe_broadcast(side, broadcast)
     cond = None
     for i, (left, _) in enumerate(on):
         term = df[left] == side[f"_rk_{i}"]

@@ -1,111 +1,52 @@
-"""Dense rank within a group, descending -- split for hot groups.
-
-``dense_rank_desc`` measures the largest group and picks the plain window
-when every group fits one task, else the split form.
+"""Dense rank within a group, descending, with no group in one task.
 
 ``dense_rank() over (partition by g order by v desc)`` sends every row of
 a group to one task; a group holding a third of all rows would make that
-task the whole job.  The split form computes the same ranks with no
-group in one task:
+task the whole job.  Here a group's values fall into buckets that keep
+their order (64 for each doubling of the value), and:
 
 1. ``distinct (g, v)``: a grouped aggregate (map-side combined), so
    repeated values collapse before any shuffle; the dense rank of ``v``
    is its row number among the distinct values of ``g``.
-2. Range-partition the distinct pairs by ``(g, v desc)``: Spark samples
-   the keys and cuts balanced ranges, so a hot group spans many
-   partitions.  ``spark_partition_id()`` then orders the pieces.
-3. Local row number within ``(g, partition)`` plus an offset: the number
-   of distinct values of ``g`` in all earlier partitions, computed on the
-   tiny ``(g, partition) -> count`` table (at most partitions + groups
-   rows) with a running sum.
-4. Join the ranks back on ``(g, v)``.
+2. Local row number within ``(g, bucket)`` plus an offset: the number of
+   distinct values of ``g`` in higher buckets, from a running sum over the
+   small ``(g, bucket) -> count`` table.
+3. Join the ranks back on ``(g, v)``.
 
-The range-split pairs are checkpointed (reliable, in the session's
-checkpoint folder) before they feed both the local ranks and the counts,
-so both see one and the same split, also under task retries.
+The buckets are a function of the value alone, so the plan is lazy and
+every recomputation of a task gives the same ranks.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
-
-_PID, _LOCAL, _CNT, _OFF = "_rank_pid", "_rank_local", "_rank_cnt", "_rank_off"
-
-
-def dense_rank_desc_window(df: DataFrame, group_col: str, value_col: str, out_col: str) -> DataFrame:
-    """The plain window form (one task per group)."""
-    w = Window.partitionBy(group_col).orderBy(F.col(value_col).desc())
-    return df.withColumn(out_col, F.dense_rank().over(w))
-
+_BUCKET, _LOCAL, _CNT, _OFF = "_rank_bucket", "_rank_local", "_rank_cnt", "_rank_off"
+BUCKETS_PER_DOUBLING = 64
 
-# A group with up to this many rows is ranked by the plain window in one
-# task (a sort of a few million narrow rows); larger groups are split.
-MAX_ROWS_PER_TASK = 4_000_000
 
+def value_bucket(value: Column) -> Column:
+    """An integer that never falls as the (numeric) value rises; NULL for NULL."""
+    v = value.cast("double")
+    size = F.floor(F.log2(F.abs(v) + 1) * BUCKETS_PER_DOUBLING)
+    return F.when(v < 0, -size - 1).otherwise(size).cast("int")
 
-def dense_rank_desc(
-    df: DataFrame,
-    group_col: str,
-    value_col: str,
-    out_col: str,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
-    num_ranges: int | None = None,
-) -> DataFrame:
-    """Dense rank of ``value_col`` (descending, NULLs last) within
-    ``group_col``; no task ever holds more than ``max_rows_per_task`` rows
-    of one group.
 
-    The size of the largest group is measured first (a grouped count
-    reduced to one number, so nothing unbounded reaches the driver).  When
-    every group fits one task the plain window is exact and cheapest;
-    otherwise the range-split form below is used for all groups.
-    """
-    largest = df.groupBy(group_col).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_rows_per_task:
-        return dense_rank_desc_window(df, group_col, value_col, out_col)
-    return dense_rank_desc_split(df, group_col, value_col, out_col, num_ranges)
-
-
-def dense_rank_desc_split(
-    df: DataFrame,
-    group_col: str,
-    value_col: str,
-    out_col: str,
-    num_ranges: int | None = None,
-) -> DataFrame:
-    """Dense rank of ``value_col`` (descending, NULLs last) within
-    ``group_col``, without placing any group in a single task."""
+def dense_rank_desc(df: DataFrame, group_col: str, value_col: str, out_col: str) -> DataFrame:
+    """Dense rank of the numeric ``value_col`` (descending, NULLs last)
+    within ``group_col`` (NULLs are a group)."""
     g, v = F.col(group_col), F.col(value_col)
-    values = df.select(group_col, value_col).distinct()
-    ranged = (
-        values.repartitionByRange(num_ranges, g.asc_nulls_first(), v.desc_nulls_last())
-        if num_ranges
-        else values.repartitionByRange(g.asc_nulls_first(), v.desc_nulls_last())
-    ).withColumn(_PID, F.spark_partition_id())
-    # Local ranks and per-range counts must see the *same* range split.
-    # ``ranged`` feeds both, and a DataFrame used twice is evaluated twice
-    # unless Spark happens to reuse the exchange; a reliable checkpoint
-    # (shared checkpoint folder) fixes the partition ids once.
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    local = ranged.withColumn(
-        _LOCAL,
-        F.row_number().over(Window.partitionBy(group_col, _PID).orderBy(v.desc_nulls_last())),
+    values = df.select(group_col, value_col).distinct().withColumn(_BUCKET, value_bucket(v))
+    local = values.withColumn(
+        _LOCAL, F.row_number().over(Window.partitionBy(group_col, _BUCKET).orderBy(v.desc_nulls_last()))
     )
-    counts = ranged.groupBy(group_col, _PID).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.partitionBy(group_col).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(before), F.lit(0))).drop(_CNT)
-    o = offsets.withColumnRenamed(group_col, "_off_g").withColumnRenamed(_PID, "_off_pid")
+    counts = values.groupBy(g.alias("_off_g"), F.col(_BUCKET).alias("_off_b")).agg(F.count(F.lit(1)).alias(_CNT))
+    higher = Window.partitionBy("_off_g").orderBy(F.col("_off_b").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(higher), F.lit(0))).drop(_CNT)
     ranks = local.join(
-        o, local[group_col].eqNullSafe(o["_off_g"]) & (local[_PID] == o["_off_pid"]), "inner"
-    ).select(group_col, value_col, (F.col(_OFF) + F.col(_LOCAL)).cast("int").alias(out_col))
-    return _join_back(df, ranks, group_col, value_col)
-
-
-def _join_back(df: DataFrame, ranks: DataFrame, group_col: str, value_col: str) -> DataFrame:
-    """Equi-join on (g, v) that also matches NULL values (null-safe)."""
-    r = ranks.withColumnRenamed(group_col, "_rk_g").withColumnRenamed(value_col, "_rk_v")
-    cond = df[group_col].eqNullSafe(r["_rk_g"]) & df[value_col].eqNullSafe(r["_rk_v"])
-    return df.join(r, cond, "left").drop("_rk_g", "_rk_v")
+        offsets, g.eqNullSafe(F.col("_off_g")) & F.col(_BUCKET).eqNullSafe(F.col("_off_b"))
+    ).select(
+        g.alias("_rk_g"), v.alias("_rk_v"), (F.col(_OFF) + F.col(_LOCAL)).cast("int").alias(out_col)
+    )
+    cond = df[group_col].eqNullSafe(ranks["_rk_g"]) & df[value_col].eqNullSafe(ranks["_rk_v"])
+    return df.join(ranks, cond, "left").drop("_rk_g", "_rk_v")

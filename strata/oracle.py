@@ -243,17 +243,19 @@ g_customer_360 AS (
 ),
 g_monthly_base AS (
   SELECT strftime(order_date, '%Y-%m') AS year_month,
-         CAST(sum({cents('order_total_usd')}) AS BIGINT) / 100 AS total_revenue_usd,
+         CAST(sum({cents('order_total_usd')}) AS BIGINT) AS now_cents,
          count(order_id) AS order_count,
          {avg_money(f"sum({cents('order_total_usd')})", 'count(order_total_usd)')} AS avg_order_value_usd
   FROM o_good GROUP BY 1
 ),
 g_monthly_revenue AS (
-  SELECT *, CASE WHEN prev_month_revenue_usd IS NOT NULL AND prev_month_revenue_usd <> 0
-                 THEN round((total_revenue_usd - prev_month_revenue_usd) / prev_month_revenue_usd * 100, 2)
-            END AS mom_revenue_growth_pct
-  FROM (SELECT *, lag(total_revenue_usd) OVER (ORDER BY year_month) AS prev_month_revenue_usd
-        FROM g_monthly_base)
+  SELECT year_month, now_cents / 100 AS total_revenue_usd, order_count, avg_order_value_usd,
+         before_cents / 100 AS prev_month_revenue_usd,
+         CASE WHEN before_cents <> 0 THEN
+           CASE WHEN now_cents >= before_cents THEN 1 ELSE -1 END
+           * ((CAST(abs(now_cents - before_cents) AS HUGEINT) * 20000 + before_cents) // (2 * before_cents)) / 100
+         END AS mom_revenue_growth_pct
+  FROM (SELECT *, lag(now_cents) OVER (ORDER BY year_month) AS before_cents FROM g_monthly_base)
 ),
 g_sales AS (
   SELECT product_id, sum(quantity) AS units, sum({cents('line_total_usd')}) AS rev_cents

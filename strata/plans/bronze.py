@@ -40,14 +40,20 @@ class SourceSpec:
     interval (``'1 day'``) or, for a numeric mark, a number; D1 in silver
     drops the repeats.  ``keep_unmarked``: also take rows whose watermark
     column is NULL, on every run -- for files, where a malformed value
-    reads as NULL and has to reach the quarantine."""
+    reads as NULL and has to reach the quarantine.  ``filters``: ``read``
+    takes a second argument, the filter to apply, and can plan its scan by
+    the rows that pass it."""
 
     table: str
     source: str
-    read: Callable[[SparkSession], DataFrame]
+    read: Callable[..., DataFrame]
     watermark_col: str | None = None
     overlap: str | None = None
     keep_unmarked: bool = False
+    filters: bool = False
+
+    def rows(self, spark: SparkSession, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return self.read(spark, keep) if self.filters else keep(self.read(spark))
 
 
 @dataclass(frozen=True)
@@ -86,14 +92,14 @@ def extract(
 ) -> ExtractResult:
     if spec.watermark_col is None:
         rows = Observation(f"bronze_{spec.table}")
-        df = add_audit_columns(spec.read(spark), spec.source, run_ts)
+        df = add_audit_columns(spec.rows(spark, lambda df: df), spec.source, run_ts)
         store.replace("bronze", spec.table, df.observe(rows, F.count(F.lit(1)).alias("rows")))
         return ExtractResult(spec.table, int(rows.get["rows"]), None, None, batch_id or "")
 
     before, mark_batch = wm.current(store, spec.table)
     day = (run_ts or dt.datetime.now(dt.timezone.utc)).date()
     batch = batches.open_batch(store, spec.table, batch_id, before, mark_batch, day)
-    df = add_audit_columns(_within(spec.read(spark), spec, batch), spec.source, run_ts)
+    df = add_audit_columns(spec.rows(spark, lambda df: _within(df, spec, batch)), spec.source, run_ts)
     seen = Observation(f"bronze_{spec.table}_{batch.batch_id}")
     observed = df.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.max(spec.watermark_col).cast("string").alias("wm")

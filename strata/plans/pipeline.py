@@ -1,15 +1,11 @@
 """Bronze -> silver -> gate -> gold -> validation, as plain calls.
 
-Each silver table is evaluated once: the flagged frame (dedupe, joins,
-checks) is persisted, then written twice -- good rows to silver
-(clustered by month and business date), failed rows to quarantine (always
-rewritten, also when empty, H3) -- with row counts observed on the
-writes.  Written silver tables cut the lineage between jobs, so a lost
-executor only recomputes the current job's stages.
-
-Broadcasts are decided from those observed counts: a dimension is
-broadcast only when its silver row count is at most
-``max_broadcast_rows``; above that the join stays a shuffle join.
+Each silver table is one job: the flagged frame (dedupe, joins, checks) is
+written once, good rows and quarantine as two partitions of one version
+(clustered by month and business date), with both counts observed on the
+write.  A row is in exactly one of them, whatever is recomputed.  Written
+silver tables cut the lineage between jobs, so a lost executor only
+recomputes the current job's stages.
 """
 from __future__ import annotations
 
@@ -17,7 +13,6 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +22,7 @@ from strata.plans import gold, silver
 from strata.plans.bronze import ExtractResult, SourceSpec, extract
 from strata.plans.checks import GATE_THRESHOLDS_PCT
 from strata.plans.gate import dq_gate_observed
-from strata.plans.validate import GOLD_MARTS, validate_outputs
+from strata.plans.validate import validate_outputs
 from strata.session import ensure_checkpoint_dir
 from strata.sources.store import TableStore
 
@@ -50,7 +45,6 @@ class PipelineConfig:
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
     thresholds: Mapping[str, float] = field(default_factory=lambda: dict(GATE_THRESHOLDS_PCT))
-    max_broadcast_rows: int = 2_000_000
     tie_breakers: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def clock(self) -> tuple[dt.date, dt.datetime]:
@@ -69,33 +63,25 @@ class PipelineResult:
 def write_silver(
     store: TableStore, name: str, result: silver.Silver, run_ts: dt.datetime
 ) -> tuple[int, int]:
-    """K3 + K4 from one evaluation of the flagged frame."""
-    date_col, keys = SILVER_LAYOUT[name]
-    flagged = result.flagged.withColumn(PROCESSED_AT, ts_lit(run_ts))
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good_obs, bad_obs = Observation(f"good_{name}"), Observation(f"bad_{name}")
-        good = (
-            flagged.where(F.col(FAILED) == "")
-            .drop(FAILED)
-            .withColumn(MONTH, F.date_format(F.col(date_col), "yyyy-MM"))
-        )
-        # Range partitioning on (month, date, key) splits even a month or a
-        # day that holds a third of the rows over many tasks; each file is
-        # sorted by date for row-group pruning.  The count is observed
-        # after the exchange: the range partitioner's sampling job runs
-        # the plan below it a second time and would count rows twice.
-        clustered = (
-            good.repartitionByRange(F.col(MONTH), F.col(date_col), *[F.col(k) for k in keys])
-            .sortWithinPartitions(MONTH, date_col)
-            .observe(good_obs, F.count(F.lit(1)).alias("n"))
-        )
-        store.replace("silver", name, clustered, partition_by=[MONTH])
-        bad = flagged.where(F.col(FAILED) != "").observe(bad_obs, F.count(F.lit(1)).alias("n"))
-        store.replace("quarantine", name, bad)
-        return int(good_obs.get["n"]), int(bad_obs.get["n"])
-    finally:
-        flagged.unpersist()
+    """K3 + K4 in one pass: (good, quarantined) rows."""
+    date_col, _ = SILVER_LAYOUT[name]
+    counts = Observation(f"silver_{name}")
+    flagged = (
+        result.flagged.withColumn(PROCESSED_AT, ts_lit(run_ts))
+        .withColumn("_good", F.col(FAILED) == "")
+        .withColumn(MONTH, F.date_format(F.col(date_col), "yyyy-MM"))
+    )
+    # Rebalancing by (good, month) puts a month into few files; AQE splits a
+    # month that holds a third of the rows and merges small ones, from the
+    # sizes it has measured, so nothing below runs a second time.  Each file
+    # is sorted by date for row-group pruning.
+    clustered = (
+        flagged.hint("rebalance", "_good", MONTH)
+        .sortWithinPartitions("_good", MONTH, date_col)
+        .observe(counts, F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"))
+    )
+    store.replace_split(name, clustered, "_good", FAILED, [MONTH])
+    return int(counts.get["good"]), int(counts.get["bad"])
 
 
 def read_silver_between(
@@ -123,74 +109,54 @@ def _good(store: TableStore, name: str) -> DataFrame:
     return store.read("silver", name).drop(PROCESSED_AT, MONTH)
 
 
-def run_silver(store: TableStore, cfg: PipelineConfig) -> dict[str, tuple[int, int]]:
-    as_of, run_ts = cfg.clock()
-    tb = cfg.tie_breakers
-    counts: dict[str, tuple[int, int]] = {}
-    counts["products"] = write_silver(
-        store, "products", silver.silver_products(_bronze(store, "products"), tb.get("products", ())), run_ts
-    )
-    counts["customers"] = write_silver(
-        store,
-        "customers",
-        silver.silver_customers(_bronze(store, "customers"), as_of, tb.get("customers", ())),
-        run_ts,
-    )
-    counts["exchange_rates"] = write_silver(
-        store,
-        "exchange_rates",
-        silver.silver_exchange_rates(_bronze(store, "exchange_rates"), tb.get("exchange_rates", ())),
-        run_ts,
-    )
-    small = lambda t: counts[t][0] <= cfg.max_broadcast_rows
-    counts["orders"] = write_silver(
-        store,
-        "orders",
-        silver.silver_orders(
-            _bronze(store, "orders"),
-            _good(store, "customers"),
-            _good(store, "exchange_rates"),
-            tb.get("orders", ()),
-            broadcast_customers=small("customers"),
-            broadcast_fx=small("exchange_rates"),
-        ),
-        run_ts,
-    )
-    counts["order_items"] = write_silver(
-        store,
-        "order_items",
-        silver.silver_order_items(
-            _bronze(store, "order_items"),
-            _good(store, "orders"),
-            _good(store, "products"),
-            tb.get("order_items", ()),
-            broadcast_products=small("products"),
-        ),
-        run_ts,
-    )
-    return counts
+def build_silver(store: TableStore, name: str, cfg: PipelineConfig) -> silver.Silver:
+    """One silver table from bronze and the stored silver tables it looks up."""
+    as_of, _ = cfg.clock()
+    bronze, ties = _bronze(store, name), cfg.tie_breakers.get(name, ())
+    if name == "customers":
+        return silver.silver_customers(bronze, as_of, ties)
+    if name == "products":
+        return silver.silver_products(bronze, ties)
+    if name == "exchange_rates":
+        return silver.silver_exchange_rates(bronze, ties)
+    if name == "orders":
+        return silver.silver_orders(bronze, _good(store, "customers"), _good(store, "exchange_rates"), ties)
+    return silver.silver_order_items(bronze, _good(store, "orders"), _good(store, "products"), ties)
 
 
-def build_marts(store: TableStore, as_of: dt.date) -> dict[str, DataFrame]:
-    orders, items = _good(store, "orders"), _good(store, "order_items")
-    customers, products = _good(store, "customers"), _good(store, "products")
-    # The per-product item aggregate feeds two marts: evaluate the item
-    # scan once and keep the (one row per product) result in the shared
-    # checkpoint folder.
-    ensure_checkpoint_dir(store.spark)
-    sales = gold.sales_by_product(items).checkpoint(eager=True)
+def run_silver(store: TableStore, cfg: PipelineConfig, names: Sequence[str] = tuple(SILVER_LAYOUT)) -> dict[str, tuple[int, int]]:
+    """Rebuilds the named tables, dimensions before the facts that probe them."""
+    _, run_ts = cfg.clock()
     return {
-        "daily_sales": gold.daily_sales(orders, items),
-        "customer_360": gold.customer_360(customers, orders, as_of),
-        "monthly_revenue": gold.monthly_revenue(orders),
-        "inventory_summary": gold.inventory_summary(products, items, sales),
-        "product_performance": gold.product_performance(products, items, sales),
+        name: write_silver(store, name, build_silver(store, name, cfg), run_ts)
+        for name in SILVER_LAYOUT
+        if name in names
+    }
+
+
+def build_marts(store: TableStore, as_of: dt.date, names: Sequence[str] = tuple(gold.MARTS)) -> dict[str, DataFrame]:
+    """The named marts from the stored silver tables."""
+    sales = None
+    if {"inventory_summary", "product_performance"} & set(names):
+        sales = gold.sales_by_product(_good(store, "order_items"))
+        if len({"inventory_summary", "product_performance"} & set(names)) == 2:
+            # It feeds two marts: one scan of the items, one row per product
+            # kept in the shared checkpoint folder.
+            ensure_checkpoint_dir(store.spark)
+            sales = sales.checkpoint(eager=True)
+    build = {
+        "daily_sales": lambda: gold.daily_sales(_good(store, "orders"), _good(store, "order_items")),
+        "customer_360": lambda: gold.customer_360(_good(store, "customers"), _good(store, "orders"), as_of),
+        "monthly_revenue": lambda: gold.monthly_revenue(_good(store, "orders")),
+        "inventory_summary": lambda: gold.inventory_summary(_good(store, "products"), sales),
+        "product_performance": lambda: gold.product_performance(_good(store, "products"), sales),
     }
+    return {name: build[name]() for name in gold.MARTS if name in names}
 
 
-def run_gold(store: TableStore, cfg: PipelineConfig) -> None:
+def run_gold(store: TableStore, cfg: PipelineConfig, names: Sequence[str] = tuple(gold.MARTS)) -> None:
     as_of, run_ts = cfg.clock()
-    for name, df in build_marts(store, as_of).items():
+    for name, df in build_marts(store, as_of, names).items():
         store.replace("gold", name, df.withColumn(COMPUTED_AT, ts_lit(run_ts)))
 
 
@@ -210,5 +176,5 @@ def run_pipeline(
     counts = run_silver(store, cfg)
     gate = dq_gate_observed(spark, counts, cfg.thresholds)
     run_gold(store, cfg)
-    checked = validate_outputs(store, GOLD_MARTS)
+    checked = validate_outputs(store)
     return PipelineResult(bronze, counts, gate, checked)

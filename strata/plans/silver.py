@@ -17,11 +17,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.audit import INGESTED_AT
+from strata.operators.audit import BATCH_ID, INGESTED_AT, INGESTED_DATE, SOURCE
 from strata.operators.dedupe import dedupe_latest, split_null_keys
 from strata.operators.enrich import FX_RATE, attach, flag_known, fx_rate_column, fx_to_usd
 from strata.operators.quality import FAILED, DQCheck, flag_dq
-from strata.plans import checks as C
+from strata.plans.checks import KNOWN, checks_of
 
 
 class Silver:
@@ -57,42 +57,41 @@ class Silver:
         return self.flagged.where(F.col(FAILED) != "")
 
 
-def _candidates(
-    bronze: DataFrame,
-    key_cols: Sequence[str],
-    not_null_keys: Sequence[str],
-    tie_breakers: Sequence[str] = (),
-    order_col: str = INGESTED_AT,
-) -> tuple[DataFrame, DataFrame | None]:
-    if not_null_keys:
-        keyed, null_keyed = split_null_keys(bronze, not_null_keys)
-        return dedupe_latest(keyed, key_cols, order_col, tie_breakers), null_keyed
-    return dedupe_latest(bronze, key_cols, order_col, tie_breakers), None
+def _ties(bronze: DataFrame, key_cols: Sequence[str], first: Sequence[str]) -> list[str]:
+    """What decides between rows of one ingestion time: the caller's columns,
+    then the batch, then every business column.  Rows that tie in all of
+    them are equal, so the winner is fixed however often it is recomputed."""
+    own = [c for c in (BATCH_ID, *sorted(bronze.columns)) if c in bronze.columns]
+    return list(dict.fromkeys([*first, *[c for c in own if c not in (*key_cols, INGESTED_AT, SOURCE, INGESTED_DATE)]]))
 
 
 def _silver(
-    cands: tuple[DataFrame, DataFrame | None],
-    enrich: Callable[[DataFrame], DataFrame] | None,
+    bronze: DataFrame,
+    key_cols: Sequence[str],
+    not_null_keys: Sequence[str],
+    tie_breakers: Sequence[str],
     checks: Sequence[DQCheck],
-    helpers: Sequence[str],
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
+    helpers: Sequence[str] = (),
+    null_keyed: DataFrame | None = None,
 ) -> Silver:
+    keyed, nulls = split_null_keys(bronze, not_null_keys)
+    cands = dedupe_latest(keyed, key_cols, INGESTED_AT, _ties(bronze, key_cols, tie_breakers))
+
     def finish(cand: DataFrame) -> DataFrame:
-        enriched = enrich(cand) if enrich else cand
-        return flag_dq(enriched, checks).drop(*helpers)
+        return flag_dq(enrich(cand) if enrich else cand, checks).drop(*helpers)
 
-    return Silver(cands[0], cands[1], finish)
+    return Silver(cands, nulls if null_keyed is None else null_keyed, finish)
 
 
-def silver_customers(
-    bronze: DataFrame, as_of: dt.date, tie_breakers: Sequence[str] = ()
-) -> Silver:
-    cands = _candidates(bronze, ["customer_id"], ["customer_id"], tie_breakers)
-    return _silver(cands, None, C.customer_checks(as_of), [])
+def silver_customers(bronze: DataFrame, as_of: dt.date, tie_breakers: Sequence[str] = ()) -> Silver:
+    key = ["customer_id"]
+    return _silver(bronze, key, key, tie_breakers, checks_of("customers", as_of))
 
 
 def silver_products(bronze: DataFrame, tie_breakers: Sequence[str] = ()) -> Silver:
-    cands = _candidates(bronze, ["product_id"], ["product_id"], tie_breakers)
-    return _silver(cands, None, C.product_checks(), [])
+    key = ["product_id"]
+    return _silver(bronze, key, key, tie_breakers, checks_of("products"))
 
 
 FX_KEYS = ["rate_date", "base_currency", "quote_currency"]
@@ -101,65 +100,64 @@ FX_KEYS = ["rate_date", "base_currency", "quote_currency"]
 def silver_exchange_rates(bronze: DataFrame, tie_breakers: Sequence[str] = ()) -> Silver:
     # Only rate_date has a not-null check; NULL quote/base rows still
     # go through D1 as one group per remaining key values.
-    cands = _candidates(bronze, FX_KEYS, ["rate_date"], tie_breakers)
-    return _silver(cands, None, C.fx_checks(), [])
+    return _silver(bronze, FX_KEYS, ["rate_date"], tie_breakers, checks_of("exchange_rates"))
 
 
 def silver_orders(
     bronze: DataFrame,
-    customers: DataFrame,
+    customers: DataFrame | None,
     exchange_rates: DataFrame,
     tie_breakers: Sequence[str] = (),
-    broadcast_customers: bool = False,
-    broadcast_fx: bool = False,
 ) -> Silver:
     """D1 -> J1 (customer exists) -> J2 (rate of the order date) -> C1 -> checks.
 
     ``customers`` and ``exchange_rates`` are the *good* silver frames.
+    Without ``customers`` J1 and its check are left out: for consumers that
+    sum per customer first and join the good customers themselves.
     """
     def enrich(cand: DataFrame) -> DataFrame:
-        cand = flag_known(
-            cand, customers, "customer_id", "customer_id", C.KNOWN_CUSTOMER, broadcast_customers
-        )
+        if customers is not None:
+            cand = flag_known(cand, customers, "customer_id", "customer_id", KNOWN["customer_id"])
         cand = attach(
             cand,
             exchange_rates,
             on=[("order_date", "rate_date"), ("currency_code", "quote_currency")],
             columns=["rate"],
-            broadcast=broadcast_fx,
         )
         return fx_to_usd(cand.withColumn(FX_RATE, fx_rate_column()), ["order_total", "shipping_cost"])
 
-    cands = _candidates(bronze, ["order_id"], ["order_id"], tie_breakers)
-    return _silver(cands, enrich, C.order_checks(), [C.KNOWN_CUSTOMER, "rate"])
+    key = ["order_id"]
+    checks = checks_of("orders", implied=("customer_id",) if customers is None else ())
+    return _silver(bronze, key, key, tie_breakers, checks, enrich, [KNOWN["customer_id"], "rate"])
 
 
 def silver_order_items(
     bronze: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
+    orders: DataFrame | None,
+    products: DataFrame | None,
     tie_breakers: Sequence[str] = (),
-    broadcast_products: bool = False,
+    null_keyed: DataFrame | None = None,
 ) -> Silver:
     """D1 -> J3 (order exists; carries order_date and its rate) ->
     J4 (product exists) -> C1 -> checks.  ``orders``/``products`` are the
-    good silver frames.  J3 is a fact-to-fact join: it shuffles on
-    order_id (AQE splits a hot order's partition)."""
-    known_orders = orders.select(
-        "order_id", "order_date", FX_RATE, F.lit(True).alias(C.KNOWN_ORDER)
-    )
+    good silver frames; without one of them its join and check are left out
+    (see ``silver_orders``; without ``orders`` there is no USD amount).
+    ``null_keyed``: the rows without a key, where the caller can read them
+    with a filter on source columns."""
 
     def enrich(cand: DataFrame) -> DataFrame:
-        cand = attach(
-            cand,
-            known_orders,
-            on=[("order_id", "order_id")],
-            columns=["order_date", FX_RATE, C.KNOWN_ORDER],
-        ).withColumn(C.KNOWN_ORDER, F.coalesce(F.col(C.KNOWN_ORDER), F.lit(False)))
-        cand = flag_known(
-            cand, products, "product_id", "product_id", C.KNOWN_PRODUCT, broadcast_products
-        )
-        return fx_to_usd(cand, ["line_total"])
-
-    cands = _candidates(bronze, ["order_item_id"], ["order_item_id"], tie_breakers)
-    return _silver(cands, enrich, C.order_item_checks(), [C.KNOWN_ORDER, C.KNOWN_PRODUCT, FX_RATE])
+        if orders is not None:
+            known = orders.select("order_id", "order_date", FX_RATE, F.lit(True).alias(KNOWN["order_id"]))
+            cand = attach(
+                cand, known, on=[("order_id", "order_id")], columns=["order_date", FX_RATE, KNOWN["order_id"]]
+            ).withColumn(KNOWN["order_id"], F.coalesce(F.col(KNOWN["order_id"]), F.lit(False)))
+        if products is not None:
+            cand = flag_known(cand, products, "product_id", "product_id", KNOWN["product_id"])
+        return cand if orders is None else fx_to_usd(cand, ["line_total"])
+
+    implied = tuple(k for k, side in (("order_id", orders), ("product_id", products)) if side is None)
+    key = ["order_item_id"]
+    return _silver(
+        bronze, key, key, tie_breakers, checks_of("order_items", implied=implied), enrich,
+        [KNOWN["order_id"], KNOWN["product_id"], FX_RATE], null_keyed,
+    )

@@ -65,33 +65,33 @@ def _actual(df: DataFrame, column: str) -> str:
     raise KeyError(column)
 
 
-def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, props: Mapping) -> tuple:
-    """(min, max) of a numeric column.  A DataFrame aggregate, which Spark
-    pushes into the database (``pushDownAggregate``) with the dialect's
-    identifier quoting -- no SQL text is assembled here."""
-    df = jdbc.jdbc_scan(spark, url, table, props)
-    col = _actual(df, column)
-    row = df.agg(F.min(col), F.max(col)).first()
+def jdbc_bounds(df: DataFrame, column: str) -> tuple:
+    """(min, max) of a numeric column over the rows of ``df``.  A DataFrame
+    aggregate over a JDBC read, which Spark pushes into the database
+    together with the frame's filter (``pushDownAggregate``)."""
+    row = df.agg(F.min(column), F.max(column)).first()
     return row[0], row[1]
 
 
 def _jdbc_reader(conn: Mapping, table: str, split_col: str):
-    def read(spark: SparkSession) -> DataFrame:
-        return lowercase_columns(_read(spark))
+    """``read(spark, keep)``: the rows that ``keep`` (frame -> filtered
+    frame) lets through, read in parallel.  The strides divide the rows that
+    are wanted, not the table: an incremental read would otherwise find all
+    its new rows in the last one."""
 
-    def _read(spark: SparkSession) -> DataFrame:
+    def read(spark: SparkSession, keep=lambda df: df) -> DataFrame:
         props = _props(conn)
+        whole = jdbc.jdbc_scan(spark, conn["url"], table, props)
         parts = int(conn.get("partitions", 0) or 0)
         if parts > 1:
-            lo, hi = jdbc_bounds(spark, conn["url"], table, split_col, props)
+            column = _actual(whole, split_col)
+            lo, hi = jdbc_bounds(keep(lowercase_columns(whole)), split_col)
             if lo is not None and hi is not None and hi > lo:
-                col = _actual(jdbc.jdbc_scan(spark, conn["url"], table, props), split_col)
-                return jdbc.jdbc_scan(
-                    spark, conn["url"], table, props,
-                    partition_column=col, lower_bound=int(lo),
-                    upper_bound=int(hi) + 1, num_partitions=parts,
+                whole = jdbc.jdbc_scan(
+                    spark, conn["url"], table, props, partition_column=column,
+                    lower_bound=int(lo), upper_bound=int(hi) + 1, num_partitions=parts,
                 )
-        return jdbc.jdbc_scan(spark, conn["url"], table, props)
+        return keep(lowercase_columns(whole))
 
     return read
 
@@ -102,7 +102,7 @@ def retail_sources(config: Mapping) -> list[SourceSpec]:
         if conn_key in config:
             specs.append(
                 SourceSpec(table, LABELS[conn_key], _jdbc_reader(config[conn_key], table, split_col),
-                           watermark_col=wm_col, overlap=config.get("overlap", {}).get(table))
+                           watermark_col=wm_col, overlap=config.get("overlap", {}).get(table), filters=True)
             )
     if "products_csv" in config:
         products_path = config["products_csv"]

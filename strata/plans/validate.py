@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.plans.gold import MARTS
 from strata.sources.store import TableStore
 
-GOLD_MARTS = ["daily_sales", "customer_360", "monthly_revenue", "inventory_summary", "product_performance"]
 
 
 class ValidationFailed(RuntimeError):
@@ -31,7 +31,7 @@ def validate_frames(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def validate_outputs(store: TableStore, names: Sequence[str] = GOLD_MARTS) -> list[dict]:
+def validate_outputs(store: TableStore, names: Sequence[str] = MARTS) -> list[dict]:
     problems, present = [], {}
     for n in names:
         if store.exists("gold", n):

@@ -13,32 +13,16 @@ from strata.sources import testdata
 # Fixed clock for reproducible results on the driver's tables: all of
 # their dates end before it.
 AS_OF = dt.date(2001, 12, 31)
-# Largest dimension (rows) broadcast to every task; same rule as the
-# pipeline, which takes the count observed when the dimension was written.
-MAX_BROADCAST_ROWS = 2_000_000
 
 
-class TestdataLake:
-    """Bronze views -> silver splits -> gold marts, lazily."""
+class RetailLake:
+    """Bronze views -> silver splits -> gold marts, lazily.  Marts that sum
+    per order, customer or product take their rows before the look-up of
+    that same key and join the other side's good rows after the sum, so a
+    hot key is one row by the time it is joined."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        sf_dir: str,
-        as_of: dt.date = AS_OF,
-        max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    ):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self.max_broadcast_rows = max_broadcast_rows
-        self._counts: dict[str, int] = {}
-
-    def proven_small(self, name: str) -> bool:
-        """Broadcast a dimension only on proof: its bronze row count (an
-        upper bound of the silver rows) is at most ``max_broadcast_rows``.
-        The count reads at most that many rows plus one."""
-        if name not in self._counts:
-            self._counts[name] = self.bronze[name].limit(self.max_broadcast_rows + 1).count()
-        return self._counts[name] <= self.max_broadcast_rows
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
@@ -56,47 +40,51 @@ class TestdataLake:
     def exchange_rates(self) -> silver.Silver:
         return silver.silver_exchange_rates(self.bronze["exchange_rates"])
 
+    def _orders(self, customers: DataFrame | None) -> silver.Silver:
+        return silver.silver_orders(self.bronze["orders"], customers, self.exchange_rates.good)
+
+    def _items(self, orders: DataFrame | None, products: DataFrame | None) -> silver.Silver:
+        return silver.silver_order_items(
+            self.bronze["order_items"], orders, products, testdata.ITEM_TIE_BREAKERS,
+            null_keyed=testdata.order_items_without_key(self.spark, self.sf_dir),
+        )
+
     @cached_property
     def orders(self) -> silver.Silver:
-        return silver.silver_orders(
-            self.bronze["orders"],
-            self.customers.good,
-            self.exchange_rates.good,
-            broadcast_customers=self.proven_small("customers"),
-            broadcast_fx=self.proven_small("exchange_rates"),
-        )
+        return self._orders(self.customers.good)
 
     @cached_property
     def order_items(self) -> silver.Silver:
-        return silver.silver_order_items(
-            self.bronze["order_items"],
-            self.orders.good,
-            self.products.good,
-            tie_breakers=testdata.ITEM_TIE_BREAKERS,
-            broadcast_products=self.proven_small("products"),
-        )
+        return self._items(self.orders.good, self.products.good)
+
+    @cached_property
+    def sales_by_product(self) -> DataFrame:
+        """Sums of the items whose order is good; the marts join the good products."""
+        return gold.sales_by_product(self._items(self.orders.good, None).good)
 
     def silver(self, name: str) -> silver.Silver:
         return getattr(self, name)
 
     def daily_sales(self) -> DataFrame:
-        return gold.daily_sales(self.orders.good, self.order_items.good)
+        # The join with the good orders stands for the items' order check.
+        return gold.daily_sales(self.orders.good, self._items(None, self.products.good).good)
 
     def customer_360(self) -> DataFrame:
-        return gold.customer_360(self.customers.good, self.orders.good, self.as_of)
+        # The join with the good customers stands for the orders' customer check.
+        return gold.customer_360(self.customers.good, self._orders(None).good, self.as_of)
 
     def monthly_revenue(self) -> DataFrame:
         return gold.monthly_revenue(self.orders.good)
 
     def inventory_summary(self) -> DataFrame:
-        return gold.inventory_summary(self.products.good, self.order_items.good)
+        return gold.inventory_summary(self.products.good, self.sales_by_product)
 
     def product_performance(self) -> DataFrame:
-        return gold.product_performance(self.products.good, self.order_items.good)
+        return gold.product_performance(self.products.good, self.sales_by_product)
 
     def mart(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
 
-MARTS = ["daily_sales", "customer_360", "monthly_revenue", "inventory_summary", "product_performance"]
+MARTS = gold.MARTS
 SILVER_TABLES = ["products", "customers", "exchange_rates", "orders", "order_items"]

@@ -22,7 +22,7 @@ from strata.operators.quality import FAILED, dq_counts
 from strata.plans import gate, validate
 from strata.plans.bronze import SourceSpec, extract
 from strata.plans.silver import FX_KEYS
-from strata.plans.views import MARTS, SILVER_TABLES, TestdataLake
+from strata.plans.views import MARTS, SILVER_TABLES, RetailLake
 from strata.session import checkpoint_root
 from strata.sources import live, testdata
 from strata.sources import watermark as wm
@@ -47,11 +47,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 _LAKES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> TestdataLake:
+def _lake(spark: SparkSession, sf_dir: str) -> RetailLake:
     per_session = _LAKES.setdefault(spark, {})
     key = sf_dir.rstrip("/")
     if key not in per_session:
-        per_session[key] = TestdataLake(spark, key)
+        per_session[key] = RetailLake(spark, key)
     return per_session[key]
 
 

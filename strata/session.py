@@ -1,13 +1,15 @@
 """K9: session factory.
 
-All settings are explicit arguments; no host names or credentials are
-baked in.  On a cluster the launcher's own configuration wins: values
-passed here are only defaults for keys the caller did not set.
+No host names or credentials are baked in.  What the launcher set
+(``spark-submit --conf``, a properties file) stays: the defaults below fill
+in only keys it left unset, and a session that already runs is taken as it
+is.  Settings passed in ``conf`` are the caller's and are applied.
 """
 from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults chosen for correctness first (UTC, ANSI on) and then for scale:
@@ -22,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoints are removed when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -35,9 +39,12 @@ def get_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    merged = dict(DEFAULT_CONF)
-    merged.update(conf or {})
-    for key, value in merged.items():
+    settings = dict(conf or {})
+    if SparkSession.getActiveSession() is None:
+        SparkContext._ensure_initialized()  # so that SparkConf sees what the launcher passed
+        launched = SparkConf()
+        settings = {k: v for k, v in DEFAULT_CONF.items() if not launched.contains(k)} | settings
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
@@ -47,8 +54,9 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) do we pick a
-    private temporary folder.
+    Where the session leaves it unset a local master gets a private
+    temporary folder; on a cluster that would be another disk on each
+    machine, so it is an error there.
     """
     return ensure_checkpoint_dir(spark)
 
@@ -60,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -38,7 +38,11 @@ def jdbc_scan(
     if fetch_size:
         reader = reader.option("fetchsize", str(fetch_size))
     if predicates:
-        return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties or {}))
+        # same options as a plain scan; the predicates make the partitions
+        options = {**(properties or {}), "pushDownAggregate": "true"}
+        if fetch_size:
+            options["fetchsize"] = str(fetch_size)
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
     if partition_column is not None:
         if lower_bound is None or upper_bound is None or not num_partitions:
             raise ValueError("partition_column needs lower_bound, upper_bound, num_partitions")

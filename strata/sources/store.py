@@ -23,6 +23,10 @@ Append tables record their schema beside the data, so partition values
 read back with the type they were written with (a batch id ``0001`` stays
 text).
 
+A silver table and its quarantine are written together (``replace_split``):
+one version directory, partitioned by whether a row passed.  Readers of
+either layer see their side of it.
+
 The root must be shared storage on a cluster (HDFS, object store); the
 filesystem calls go through Hadoop's ``FileSystem`` of that path.
 """
@@ -41,6 +45,7 @@ LAYERS = ("bronze", "silver", "gold", "quarantine", "control")
 _VERSION_PREFIX = "_v="
 _SUCCESS = "_SUCCESS"
 _SCHEMA = "_strata_schema.json"
+_PASSED = "_passed"
 
 
 class TableNotFound(LookupError):
@@ -99,7 +104,19 @@ class TableStore:
         names = sorted(c for c in self._children(base) if c.startswith(_VERSION_PREFIX))
         return [n for n in names if self._exists(f"{base}/{n}/{_SUCCESS}")]
 
+    def _side(self, layer: str, name: str) -> str | None:
+        """The directory of a split version that holds the layer's rows."""
+        if layer not in ("silver", "quarantine"):
+            return None
+        versions = self._versions("silver", name)
+        if not versions or not self._exists(f"{(at := self.table_path('silver', name))}/{versions[-1]}/{layer}{_SCHEMA}"):
+            return None
+        return f"{at}/{versions[-1]}/{_PASSED}={'true' if layer == 'silver' else 'false'}"
+
     def current_path(self, layer: str, name: str) -> str | None:
+        side = self._side(layer, name)
+        if side is not None:
+            return side
         base = self.table_path(layer, name)
         versions = self._versions(layer, name)
         if versions:
@@ -126,6 +143,12 @@ class TableStore:
         path = self.current_path(layer, name)
         if path is None:
             raise TableNotFound(f"{layer}.{name}")
+        if path.rsplit("/", 1)[-1].startswith(f"{_PASSED}="):
+            recorded = f"{path.rsplit('/', 1)[0]}/{layer}{_SCHEMA}"
+            schema = StructType.fromJson(json.loads(self._read_text(recorded)))
+            if not self._has_data(path):
+                return empty_frame(self.spark, schema)
+            return self.spark.read.schema(schema).option("basePath", path).parquet(path)
         if not self._has_data(path) and self._exists(f"{path}/{_SCHEMA}"):
             # an empty rebuild: no data files, only the recorded schema
             schema = StructType.fromJson(json.loads(self._read_text(f"{path}/{_SCHEMA}")))
@@ -181,6 +204,7 @@ class TableStore:
         name: str,
         df: DataFrame,
         partition_by: Sequence[str] = (),
+        retire: bool = True,
     ) -> str:
         """K1/K3/K4/K5: write a new version, then retire old ones."""
         base = self.table_path(layer, name)
@@ -193,6 +217,12 @@ class TableStore:
         # The schema travels with the version, so an empty rebuild (no data
         # files) still reads back with its columns.
         self._write_text(f"{target}/{_SCHEMA}", df.schema.json())
+        if retire:
+            self._retire(layer, name, target)
+        return target
+
+    def _retire(self, layer: str, name: str, target: str) -> None:
+        base, version = target.rsplit("/", 1)
         for old in self._versions(layer, name)[: -self.keep_versions]:
             self._delete(f"{base}/{old}")
         # leftovers of earlier attempts that never committed
@@ -200,7 +230,37 @@ class TableStore:
         for child in self._children(base):
             if child.startswith(_VERSION_PREFIX) and child < version and child not in committed:
                 self._delete(f"{base}/{child}")
-        return target
+
+    def remove(self) -> None:
+        """The whole store (scratch stores of queries)."""
+        self._delete(self.root)
+
+    def tables(self) -> list[tuple[str, str]]:
+        """(layer, table) of all committed tables."""
+        found = [(layer, t) for layer in LAYERS for t in sorted(self._children(f"{self.root}/{layer}"))]
+        found += [("quarantine", t) for layer, t in found if layer == "silver"]
+        return [x for x in dict.fromkeys(found) if self.exists(*x)]
+
+    def create_views(self) -> list[str]:
+        """A temporary view ``<layer>_<table>`` for each committed table, so
+        SQL can name it."""
+        names = []
+        for layer, table in self.tables():
+            self.read(layer, table).createOrReplaceTempView(f"{layer}_{table}")
+            names.append(f"{layer}_{table}")
+        return names
+
+    def replace_split(self, name: str, df: DataFrame, passed: str, reason: str, partition_by: Sequence[str]) -> str:
+        """K3 + K4 in one write: rows whose boolean ``passed`` is true become
+        the silver table (without ``reason``), the others its quarantine
+        (without ``partition_by``)."""
+        rest = [f for f in df.schema.fields if f.name not in (passed, reason, *partition_by)]
+        parts = [df.schema[c] for c in partition_by]
+        version = self.replace("silver", name, df.withColumnRenamed(passed, _PASSED), [_PASSED, *partition_by], retire=False)
+        self._write_text(f"{version}/quarantine{_SCHEMA}", StructType(rest + [df.schema[reason]]).json())
+        self._write_text(f"{version}/silver{_SCHEMA}", StructType(rest + parts).json())
+        self._retire("silver", name, version)
+        return version
 
     def append(
         self,

@@ -71,7 +71,7 @@ def _products(spark, rows):
 def test_inventory_unsold_product_and_zero_price(spark):
     products = _products(spark, [(1, "A", "5.00", "10.00"), (2, "A", "0.00", "0.00"), (3, "A", "1.00", "3.00")])
     items = spark.createDataFrame([(1, 1, 1, 4, 40.0)], ITEMS)
-    got = {r["product_id"]: r.asDict() for r in gold.inventory_summary(products, items).collect()}
+    got = {r["product_id"]: r.asDict() for r in gold.inventory_summary(products, gold.sales_by_product(items)).collect()}
     assert (got[1]["lifetime_units_sold"], got[1]["lifetime_revenue_usd"], float(got[1]["margin_pct"])) == (4, 40.0, 50.0)
     assert (got[2]["lifetime_units_sold"], got[2]["lifetime_revenue_usd"], got[2]["margin_pct"]) == (0, 0.0, None)
     assert float(got[3]["margin_pct"]) == 66.67
@@ -81,7 +81,7 @@ def test_product_performance_ranks_and_shares(spark):
     products = _products(spark, [(1, "A", "1", "2"), (2, "A", "1", "2"), (3, "A", "1", "2"),
                                  (4, "B", "1", "2"), (5, None, "1", "2")])
     items = spark.createDataFrame([(1, 1, 1, 1, 30.0), (2, 1, 2, 1, 30.0), (3, 1, 3, 1, 15.0), (4, 1, 5, 1, 9.0)], ITEMS)
-    got = {r["product_id"]: r.asDict() for r in gold.product_performance(products, items).collect()}
+    got = {r["product_id"]: r.asDict() for r in gold.product_performance(products, gold.sales_by_product(items)).collect()}
     assert 5 not in got  # NULL category vanishes (inner-join semantics)
     assert [got[i]["rank_in_category"] for i in (1, 2, 3)] == [1, 1, 2]  # dense, ties share
     assert [got[i]["pct_of_category_revenue"] for i in (1, 2, 3)] == [40.0, 40.0, 20.0]
@@ -89,22 +89,41 @@ def test_product_performance_ranks_and_shares(spark):
     assert (got[4]["revenue_usd"], got[4]["pct_of_category_revenue"], got[4]["rank_in_category"]) == (0.0, 0.0, 1)
 
 
-def test_split_dense_rank_equals_window_form_with_a_hot_group(spark):
-    from strata.operators.ranking import dense_rank_desc, dense_rank_desc_split, dense_rank_desc_window
+def test_dense_rank_equals_the_window_form_with_a_hot_group(spark):
+    from pyspark.sql import Window
 
-    # group 'hot' holds most rows, with repeated and NULL values
+    from strata.operators.ranking import dense_rank_desc, value_bucket
+
+    # group 'hot' holds most rows, with repeated, negative and NULL values
     df = spark.range(3000).selectExpr(
         "id",
         "CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 < 9 THEN 'warm' ELSE NULL END AS g",
-        "CASE WHEN id % 97 = 0 THEN NULL ELSE (id * 7919) % 500 END AS v",
+        "CASE WHEN id % 97 = 0 THEN NULL ELSE (id * 7919) % 500 - 60 END AS v",
     )
-    split = dense_rank_desc_split(df, "g", "v", "r", num_ranges=13)
-    plain = dense_rank_desc_window(df, "g", "v", "r")
+    split = dense_rank_desc(df, "g", "v", "r")
+    plain = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
     assert split.count() == 3000
     assert split.exceptAll(plain.select(*split.columns)).count() == 0
-    # the adaptive entry point splits once the largest group is too big
-    forced = dense_rank_desc(df, "g", "v", "r", max_rows_per_task=1000, num_ranges=7)
-    assert "_rank_pid" in forced._jdf.queryExecution().optimizedPlan().toString()
-    small = dense_rank_desc(df, "g", "v", "r")
-    assert "_rank_pid" not in small._jdf.queryExecution().optimizedPlan().toString()
-    assert forced.exceptAll(plain.select(*forced.columns)).count() == 0
+    # buckets never change the order of values
+    wide = spark.range(-500, 500).select((F.col("id") * F.abs(F.col("id")) * 7919).alias("v"))
+    rows = wide.select("v", value_bucket(F.col("v")).alias("b")).orderBy("v").collect()
+    assert all(x["b"] <= y["b"] for x, y in zip(rows, rows[1:])) and rows[0]["b"] < rows[-1]["b"]
+
+
+def test_growth_is_exact_half_away_from_zero(spark):
+    from fractions import Fraction
+    from random import Random
+
+    from strata.functions.money import growth_pct
+
+    rng = Random(5)
+    pairs = [(0, 5), (None, 5), (7, 7), (8, 5), (800, 801), (-4, 3)] + [(rng.randint(1, 10**11), rng.randint(0, 10**11)) for _ in range(300)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i INT, a BIGINT, b BIGINT")
+    got = {r["i"]: r["g"] for r in df.select("i", growth_pct("a", "b").alias("g")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        if not a:
+            assert got[i] is None
+            continue
+        exact = Fraction(b - a, a) * 10_000
+        size = (2 * abs(exact.numerator) + exact.denominator) // (2 * exact.denominator)
+        assert got[i] == (size if exact >= 0 else -size) / 100

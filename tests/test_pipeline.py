@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from strata.plans.lake_sources import lake_config, lake_sources
 from strata.plans.gate import GateFailed
 from strata.plans.pipeline import run_pipeline
-from strata.plans.views import MARTS, TestdataLake
+from strata.plans.views import MARTS, RetailLake
 
 RUN = dt.datetime(2002, 1, 1, 6, 0, 0)
 
@@ -35,7 +35,7 @@ def test_full_run_matches_single_plan_marts(spark, store):
     relaxed = {t: 100.0 for t in ["products", "customers", "exchange_rates", "orders", "order_items"]}
     result = run_pipeline(spark, store, sources(SF_SMALL), config(thresholds=relaxed))
     assert {r["mart"] for r in result.gold} == set(MARTS)
-    lake = TestdataLake(spark, SF_SMALL)
+    lake = RetailLake(spark, SF_SMALL)
     for m in MARTS:
         stored = store.read("gold", m).drop("_gold_computed_at")
         direct = lake.mart(m)

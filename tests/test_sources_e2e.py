@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 from strata.operators.dedupe import dedupe_latest
 from strata.plans.pipeline import PipelineConfig, run_pipeline
 from strata.plans.sources_config import retail_sources
-from strata.plans.views import MARTS, TestdataLake
+from strata.plans.views import MARTS, RetailLake
 from strata.sources import testdata
 
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -67,7 +67,7 @@ def test_jdbc_and_csv_sources_through_the_pipeline(spark, store):
     assert by_table["order_items"].rows == 0 and by_table["customers"].rows == 0
     assert by_table["exchange_rates"].rows == 0 and by_table["products"].rows > 0
 
-    lake = TestdataLake(spark, SF_SMALL)
+    lake = RetailLake(spark, SF_SMALL)
     for m in MARTS:
         stored = store.read("gold", m).drop("_gold_computed_at")
         direct = lake.mart(m)
