@@ -9,6 +9,8 @@ like the Spark side, so results compare bit for bit.
 """
 from __future__ import annotations
 
+from strata.sources.broken import variants
+
 EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 
 BRONZE = r"""
@@ -377,8 +379,72 @@ SELECT 'exchange_rates', CAST(max(rate_date) AS VARCHAR) FROM b_fx
 """
 
 
+ITEMS_AUDIT = """
+SELECT 'tpch-lineitem' AS bronze_source, '2002-01-01 00:00:00' AS bronze_ingested_at, '2002-01-01' AS bronze_ingested_date,
+       'b1' AS batch_id, count(*) AS "rows", count(*) AS rows_reported, CAST(sum(quantity) AS BIGINT) AS quantity,
+       min(order_item_id) AS first_id, max(order_item_id) AS last_id
+FROM b_items
+"""
+
+CUSTOMERS_SECOND = """
+SELECT customer_id, first_name, last_name, email, country, city, signup_date, customer_segment, is_active
+FROM b_customers WHERE customer_id > (SELECT max(customer_id) FROM b_customers WHERE customer_id < 100)
+"""
+
+PRODUCTS = "SELECT product_id, product_name, category, subcategory, brand, unit_cost, list_price, is_active FROM b_products"
+
+FX_CSV = """
+SELECT rate_date, base_currency, quote_currency, rate, 1 AS copies FROM b_fx
+UNION ALL
+SELECT DISTINCT CAST(NULL AS DATE), base_currency, quote_currency, CAST(1 AS DECIMAL(12,6)), 2 FROM b_fx
+"""
+
+STORE_ORDERS = f"""
+SELECT strftime(order_date, '%Y-%m') AS "month", count(*) AS "rows",
+       CAST(sum({cents('order_total_usd')}) AS BIGINT) AS total_cents,
+       min(order_date) AS first_date, max(order_date) AS last_date
+FROM o_good GROUP BY 1
+"""
+
+MARTS = " UNION ALL ".join(
+    f"SELECT '{m}' AS mart, count(*) AS \"rows\", CAST(sum({cents(c)}) AS BIGINT) AS revenue_cents FROM g_{m}"
+    for m, c in [
+        ("daily_sales", "total_revenue_usd"), ("customer_360", "lifetime_revenue_usd"), ("monthly_revenue", "total_revenue_usd"),
+        ("inventory_summary", "lifetime_revenue_usd"), ("product_performance", "revenue_usd"),
+    ]
+)
+
+
+def _all_fire() -> str:
+    """The silver SQL over tables that also hold the broken rows."""
+    names = {"customers": "b_customers", "products": "b_products", "exchange_rates": "b_fx", "orders": "b_orders", "order_items": "b_items"}
+    ctes, unions = BRONZE.strip(), []
+    for table, view in names.items():
+        ctes = ctes.replace(f"{view} AS (", f"raw_{view} AS (")
+        extra = [
+            f"SELECT * REPLACE ({', '.join(f'{v} AS {c}' for c, v in change.items())}) FROM raw_{view} WHERE {which}"
+            for change, which in variants(table)
+        ]
+        unions.append(f"{view} AS (SELECT * FROM raw_{view} UNION ALL {' UNION ALL '.join(extra)})")
+    flags = {"customers": "c_flag", "products": "p_flag", "exchange_rates": "fx_flag", "orders": "o_flag", "order_items": "i_flag"}
+    counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", _dq_failed_checks AS failed, count(*) AS \"rows\" FROM {f} GROUP BY 2" for t, f in flags.items()
+    )
+    return "WITH " + ctes + ", " + ", ".join(unions) + "," + SILVER + "\n" + counts
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "bronze_replay_history": _q(BRONZE_HISTORY),
+        "bronze_items_audit": _q(ITEMS_AUDIT),
+        "bronze_customers_incremental": _q(CUSTOMERS_SECOND),
+        "bronze_products_csv": _q(PRODUCTS),
+        "bronze_fx_csv": _q(FX_CSV),
+        "checks_all_fire": _all_fire(),
+        "silver_store_orders": _q(STORE_ORDERS),
+        "quarantine_store_orders": _q("SELECT order_id, customer_id, order_date, _dq_failed_checks FROM o_flag WHERE _dq_failed_checks <> ''"),
+        "gate_from_store": _q(GATE_REPORT),
+        "pipeline_marts": _q(MARTS),
         "dedupe_fx_composite": _q(FX_COMPOSITE),
         "dq_gate_report": _q(GATE_REPORT),
         "validate_outputs": _q(VALIDATE),

@@ -3,10 +3,15 @@
 Each runs the library's operators over the *whole* driver tables (via
 the bronze-shaped views); none samples, caps or filters rows to be cheap.
 Audit clock columns (``_bronze_*``, ``_silver_processed_at``) are left
-out of the outputs because they are not data.
+out of the outputs because they are not data, except where they are asked
+for.  Queries about stores write scratch stores under the shared folder;
+what they return is checkpointed and the store removed at once, but for the
+one built by the whole pipeline, which a session's queries share and which
+goes when the process ends.
 """
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import uuid
 import weakref
@@ -16,15 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.clock import ts_lit
+from strata.functions.money import cents
 from strata.operators.audit import INGESTED_AT
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.quality import FAILED, dq_counts
-from strata.plans import gate, validate
+from strata.plans import gate, silver, validate
 from strata.plans.bronze import SourceSpec, extract
+from strata.plans.lake_sources import lake_config, lake_sources
+from strata.plans.pipeline import run_pipeline
 from strata.plans.silver import FX_KEYS
-from strata.plans.views import MARTS, SILVER_TABLES, RetailLake
+from strata.plans.views import AS_OF, MARTS, SILVER_TABLES, RetailLake
 from strata.session import checkpoint_root
-from strata.sources import live, testdata
+from strata.sources import broken, files, live, testdata
 from strata.sources import watermark as wm
 from strata.sources.store import TableStore
 
@@ -165,16 +173,41 @@ def dq_gate_report(spark, sf_dir):
         dq_counts(lake.silver(t).flagged).select(F.lit(t).alias("table"), "good", "quarantined")
         for t in SILVER_TABLES
     ]
-    counts = parts[0]
+    return gate.gate_report(_union(parts))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
     for p in parts[1:]:
-        counts = counts.unionByName(p)
-    return gate.gate_report(counts)
+        out = out.unionByName(p)
+    return out
 
 
 def validate_outputs(spark, sf_dir):
-    """Q7 over the five marts: (mart, has_rows)."""
-    lake = _lake(spark, sf_dir)
-    return validate.validate_frames({m: lake.mart(m) for m in MARTS})
+    """Q7 over the five stored marts: (mart, has_rows)."""
+    store = _pipeline_store(spark, sf_dir)
+    return validate.validate_frames({m: store.read("gold", m) for m in MARTS})
+
+
+def checks_all_fire(spark, sf_dir):
+    """The five checked tables, whole, plus rows that fixed rules break so
+    that each of the 24 checks fails: failed checks and rows per table."""
+    rows = {t: broken.with_broken_rows(v, t) for t, v in testdata.bronze_views(spark, sf_dir).items()}
+    made = {
+        "customers": silver.silver_customers(rows["customers"], AS_OF),
+        "products": silver.silver_products(rows["products"]),
+        "exchange_rates": silver.silver_exchange_rates(rows["exchange_rates"]),
+    }
+    made["orders"] = silver.silver_orders(rows["orders"], made["customers"].good, made["exchange_rates"].good)
+    made["order_items"] = silver.silver_order_items(
+        rows["order_items"], made["orders"].good, made["products"].good, testdata.ITEM_TIE_BREAKERS
+    )
+    return _union(
+        [
+            s.flagged.groupBy(F.lit(t).alias("table"), F.col(FAILED).alias("failed")).agg(F.count(F.lit(1)).alias("rows"))
+            for t, s in made.items()
+        ]
+    )
 
 
 def live_customer_orders(spark, sf_dir):
@@ -199,63 +232,200 @@ def _scratch_store(spark, name: str) -> TableStore:
     return store
 
 
-def _two_run_extraction(spark, sf_dir, name: str) -> TableStore:
+def _and_remove(store: TableStore, result: DataFrame) -> DataFrame:
+    """The result, kept in the shared checkpoint folder, without its store."""
+    kept = result.checkpoint(eager=True)
+    store.remove()
+    return kept
+
+
+T1, T2 = dt.datetime(2002, 1, 1), dt.datetime(2002, 1, 2)
+
+
+def _orders_source(sf_dir: str, whole: bool) -> SourceSpec:
+    def read(s):
+        rows = testdata.source_frame(testdata.orders(s, sf_dir))
+        return rows if whole else rows.where(F.col("order_date") < F.lit(FIRST_RUN_CUTOFF))
+
+    return SourceSpec("orders", "tpch-orders", read, watermark_col="order_ts")
+
+
+def _fx_source(sf_dir: str, whole: bool) -> SourceSpec:
+    def read(s):
+        rows = testdata.source_frame(testdata.exchange_rates(s, sf_dir))
+        return rows if whole else rows.where(F.col("rate_date") < F.lit(FIRST_RUN_CUTOFF))
+
+    return SourceSpec("exchange_rates", "tpch-fx", read, watermark_col="rate_date")
+
+
+def _two_runs(spark, sf_dir, name: str, *sources) -> TableStore:
+    """Extracts the sources as of the cutoff (batch b1), then whole (b2)."""
     store = _scratch_store(spark, name)
-    orders_all = lambda s: testdata.source_frame(testdata.orders(s, sf_dir))
-    fx_all = lambda s: testdata.source_frame(testdata.exchange_rates(s, sf_dir))
-    first = [
-        SourceSpec("orders", "tpch-orders",
-                   lambda s: orders_all(s).where(F.col("order_date") < F.lit(FIRST_RUN_CUTOFF)),
-                   watermark_col="order_ts"),
-        SourceSpec("exchange_rates", "tpch-fx",
-                   lambda s: fx_all(s).where(F.col("rate_date") < F.lit(FIRST_RUN_CUTOFF)),
-                   watermark_col="rate_date"),
-    ]
-    second = [
-        SourceSpec("orders", "tpch-orders", orders_all, watermark_col="order_ts"),
-        SourceSpec("exchange_rates", "tpch-fx", fx_all, watermark_col="rate_date"),
-    ]
-    t1, t2 = dt.datetime(2002, 1, 1), dt.datetime(2002, 1, 2)
-    for spec in first:
-        extract(spark, store, spec, run_ts=t1, batch_id="b1")
-    for spec in second:
-        extract(spark, store, spec, run_ts=t2, batch_id="b2")
-    # Replaying the second batch must not add rows (idempotent append)
-    # and finds nothing new past the watermark.
-    for spec in second:
-        extract(spark, store, spec, run_ts=t2, batch_id="b2")
+    for whole, ts, batch in ((False, T1, "b1"), (True, T2, "b2")):
+        for source in sources:
+            extract(spark, store, source(sf_dir, whole), run_ts=ts, batch_id=batch)
     return store
 
 
-def bronze_append_history(spark, sf_dir):
-    """K2/B-orders: rows and order-time range appended per batch."""
-    store = _two_run_extraction(spark, sf_dir, "bronze_append_history")
+def _history(store: TableStore) -> DataFrame:
     return (
         store.read("bronze", "orders")
-        .groupBy("_batch_id")
+        .groupBy(F.col("_batch_id").alias("batch_id"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.min("order_ts").alias("min_order_ts"),
             F.max("order_ts").alias("max_order_ts"),
         )
-        .withColumnRenamed("_batch_id", "batch_id")
     )
 
 
+def bronze_append_history(spark, sf_dir):
+    """K2/B-orders: rows and order-time range appended per batch."""
+    store = _two_runs(spark, sf_dir, "bronze_append_history", _orders_source)
+    return _and_remove(store, _history(store))
+
+
+def bronze_replay_history(spark, sf_dir):
+    """Both batches again, after the watermark has moved on and a day later:
+    the same rows in the same batches."""
+    store = _two_runs(spark, sf_dir, "bronze_replay_history", _orders_source)
+    for batch in ("b2", "b1"):
+        extract(spark, store, _orders_source(sf_dir, True), run_ts=T2 + dt.timedelta(days=1), batch_id=batch)
+    return _and_remove(store, _history(store))
+
+
 def incremental_orders(spark, sf_dir):
     """The orders the second run extracted (past the watermark)."""
-    store = _two_run_extraction(spark, sf_dir, "incremental_orders")
-    return (
-        store.read("bronze", "orders")
-        .where(F.col("_batch_id") == "b2")
-        .select("order_id", "customer_id", "order_ts", "order_status", "currency_code", "order_total")
+    store = _two_runs(spark, sf_dir, "incremental_orders", _orders_source)
+    rows = store.read("bronze", "orders").where(F.col("_batch_id") == "b2")
+    return _and_remove(
+        store, rows.select("order_id", "customer_id", "order_ts", "order_status", "currency_code", "order_total")
     )
 
 
 def watermark_latest(spark, sf_dir):
     """The current watermark of each source after both runs."""
-    store = _two_run_extraction(spark, sf_dir, "watermark_latest")
-    return wm.latest(store).select("source_table", "watermark_value")
+    store = _two_runs(spark, sf_dir, "watermark_latest", _orders_source, _fx_source)
+    return _and_remove(store, wm.latest(store).select("source_table", "watermark_value"))
+
+
+def bronze_items_audit(spark, sf_dir):
+    """B-items, P1, P2, A8: what the audit columns say of one extraction,
+    beside the rows it reported itself."""
+    store = _scratch_store(spark, "bronze_items_audit")
+    spec = next(s for s in lake_sources(sf_dir) if s.table == "order_items")
+    seen = extract(spark, store, spec, run_ts=T1, batch_id="b1")
+    stamps = ["_bronze_source", "_bronze_ingested_at", "_bronze_ingested_date", "_batch_id"]
+    rows = store.read("bronze", "order_items").groupBy(*[F.col(c).cast("string").alias(c[1:]) for c in stamps])
+    return _and_remove(
+        store,
+        rows.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.lit(seen.rows).cast("bigint").alias("rows_reported"),
+            F.sum("quantity").alias("quantity"),
+            F.min("order_item_id").alias("first_id"),
+            F.max("order_item_id").alias("last_id"),
+        ),
+    )
+
+
+def bronze_customers_incremental(spark, sf_dir):
+    """S3, B-customers: a numeric watermark; the rows of the second run."""
+    store = _scratch_store(spark, "bronze_customers_incremental")
+    for limit, ts, batch in ((100, T1, "b1"), (None, T2, "b2")):
+        def read(s, limit=limit):
+            rows = testdata.source_frame(testdata.customers(s, sf_dir))
+            return rows if limit is None else rows.where(F.col("customer_id") < limit)
+
+        extract(spark, store, SourceSpec("customers", "tpch-customer", read, watermark_col="customer_id"), T1, batch)
+    rows = store.read("bronze", "customers").where(F.col("_batch_id") == "b2")
+    return _and_remove(store, rows.select(*CUSTOMER_COLS))
+
+
+def bronze_products_csv(spark, sf_dir):
+    """The products as a CSV file, refreshed in full twice."""
+    store = _scratch_store(spark, "bronze_products_csv")
+    path = f"{store.root}/landing"
+    flag = F.when(F.col("is_active"), "1").otherwise("0").alias("is_active")
+    columns = [c.split()[0] for c in files.PRODUCTS_SCHEMA.split(", ")]
+    rows = testdata.products(spark, sf_dir)
+    rows.select(*[flag if c == "is_active" else c for c in columns]).write.csv(path, header=True)
+    spec = SourceSpec("products", "products-csv", lambda s: files.products_csv(s, path))
+    for ts in (T1, T2):
+        extract(spark, store, spec, run_ts=ts)
+    return _and_remove(store, store.read("bronze", "products").select(F.col("product_id").cast("bigint"), *columns[1:]))
+
+
+def bronze_fx_csv(spark, sf_dir):
+    """S5, B-fx: a growing CSV file with one malformed date a currency.  Each
+    rate arrives once; the malformed ones on both runs, for the quarantine."""
+    store = _scratch_store(spark, "bronze_fx_csv")
+    rates = testdata.source_frame(testdata.exchange_rates(spark, sf_dir)).withColumn("rate_date", F.col("rate_date").cast("string"))
+    bad = rates.select(F.lit("no date").alias("rate_date"), "base_currency", "quote_currency", F.lit(1).cast("decimal(12,6)").alias("rate")).distinct()
+    for k, (rows, ts) in enumerate(((rates.where(F.col("rate_date") < str(FIRST_RUN_CUTOFF)), T1), (rates, T2))):
+        path = f"{store.root}/landing/{k}"
+        rows.unionByName(bad).write.csv(path, header=True)
+        spec = SourceSpec("exchange_rates", "fx-csv", lambda s, p=path: files.exchange_rates_csv(s, p), "rate_date", keep_unmarked=True)
+        extract(spark, store, spec, run_ts=ts, batch_id=f"b{k + 1}")
+    rows = store.read("bronze", "exchange_rates")
+    return _and_remove(store, rows.groupBy(*FX_KEYS, "rate").agg(F.count(F.lit(1)).alias("copies")))
+
+
+# -- the stored tables of one whole pipeline run -----------------------------
+
+_STORES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _pipeline_store(spark, sf_dir: str) -> TableStore:
+    """R1 over the driver's tables (gate thresholds lifted: two tables fail
+    it by design), run once a session."""
+    per_session = _STORES.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        store = _scratch_store(spark, "pipeline")
+        run_pipeline(spark, store, lake_sources(sf_dir), lake_config(T1, gate=False))
+        atexit.register(lambda: store.remove() if spark.sparkContext._jsc is not None else None)
+        per_session[key] = store
+    return per_session[key]
+
+
+def silver_store_orders(spark, sf_dir):
+    """K3, O1: the stored silver orders by month directory."""
+    rows = _pipeline_store(spark, sf_dir).read("silver", "orders")
+    return rows.groupBy(F.col("_month").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(cents("order_total_usd")).alias("total_cents"),
+        F.min("order_date").alias("first_date"),
+        F.max("order_date").alias("last_date"),
+    )
+
+
+def quarantine_store_orders(spark, sf_dir):
+    """K4: the stored quarantine of the orders, read back."""
+    return _pipeline_store(spark, sf_dir).read("quarantine", "orders").select("order_id", "customer_id", "order_date", FAILED)
+
+
+def gate_from_store(spark, sf_dir):
+    """Q6: the gate's report from the stored silver and quarantine tables."""
+    return gate.gate_report(gate.store_counts(_pipeline_store(spark, sf_dir), SILVER_TABLES))
+
+
+MART_MONEY = {
+    "daily_sales": "total_revenue_usd", "customer_360": "lifetime_revenue_usd", "monthly_revenue": "total_revenue_usd",
+    "inventory_summary": "lifetime_revenue_usd", "product_performance": "revenue_usd",
+}
+
+
+def pipeline_marts(spark, sf_dir):
+    """Rows and revenue of the stored marts."""
+    store = _pipeline_store(spark, sf_dir)
+    return _union(
+        [
+            store.read("gold", m).agg(F.count(F.lit(1)).alias("rows"), F.sum(cents(c)).alias("revenue_cents"))
+            .select(F.lit(m).alias("mart"), "rows", "revenue_cents")
+            for m, c in MART_MONEY.items()
+        ]
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -284,4 +454,14 @@ QUERIES: dict[str, Query] = {
     "bronze_append_history": bronze_append_history,
     "incremental_orders": incremental_orders,
     "watermark_latest": watermark_latest,
+    "bronze_replay_history": bronze_replay_history,
+    "bronze_items_audit": bronze_items_audit,
+    "bronze_customers_incremental": bronze_customers_incremental,
+    "bronze_products_csv": bronze_products_csv,
+    "bronze_fx_csv": bronze_fx_csv,
+    "checks_all_fire": checks_all_fire,
+    "silver_store_orders": silver_store_orders,
+    "quarantine_store_orders": quarantine_store_orders,
+    "gate_from_store": gate_from_store,
+    "pipeline_marts": pipeline_marts,
 }
