@@ -208,5 +208,5 @@ def digest(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id",
         *[F.col(PREFIX + c).alias(c) for c in COUNTS[:5]],
-        *[F.col(PREFIX + c).alias(c) for c in ("base_failed", "kept", "host_rate", "host_suspect")],
+        *[F.col(PREFIX + c).alias(c) for c in ("base_failed", "kept")],
     )
