@@ -189,11 +189,15 @@ def saved(df: DataFrame) -> DataFrame:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of finished steps now: it
-    acts when the driver's JVM collects the plans nothing refers to any more."""
+    acts when the driver's JVM collects the plans nothing refers to any more.
+    The bridge to Python lets go of its references a moment after Python does."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
