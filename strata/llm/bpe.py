@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .common import Words, slices, words_of
-from .id_cache import IdCache
+from .id_cache import IdCache, library_ids
 
 #: Distinct fragments of cut units that a worker remembers.
 CACHE_ENTRIES = 100_000
 #: Bytes of text encoded together.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 1 << 20
 
 
 _LETTER = np.zeros(256, bool)
@@ -98,14 +98,14 @@ class BoundaryEncoder:
         model = spec["model"]
         if spec["pre_tokenizer"] is None or model["type"] != "BPE" or model.get("dropout"):
             raise ValueError("a pre-tokenized BPE file without dropout is needed")
-        self.whole = Tokenizer.from_file(path)
-        self.normalizer, self.pre_tokenizer = self.whole.normalizer, self.whole.pre_tokenizer
+        whole = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = whole.normalizer, whole.pre_tokenizer
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
             raise ValueError("added tokens with matching options are not supported")
         self.find_special = re.compile("|".join(f"({re.escape(s)})" for s in self.special)) if self.special else None
         self.suffix = model.get("end_of_word_suffix") or ""
-        self.tokens = [self.whole.id_to_token(i) for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
+        self.tokens = [whole.id_to_token(i) for i in range(whole.get_vocab_size(with_added_tokens=True))]
         self.token_bytes = np.array([(t or "").encode() for t in self.tokens], object)
         bare = [t[: -len(self.suffix)] if self.suffix and t.endswith(self.suffix) else t for t in model["vocab"]]
         #: Pairs of byte symbols that some token holds side by side.
@@ -173,8 +173,8 @@ class BoundaryEncoder:
         out: list[list[int]] = [[]] * len(units)
         simple = [i for i, p in enumerate(plain) if p]
         texts = [(units[i].lower() if self.lowers else units[i]).decode() for i in simple]
-        for i, e in zip(simple, self.ends.encode_batch_fast(texts, add_special_tokens=False)):
-            out[i] = e.ids
+        for i, ids in zip(simple, library_ids(self.ends, texts)):
+            out[i] = ids
         self.fragments.trim()
         parts, plans, missing = self.fragments, {}, set()
         for i in (i for i, p in enumerate(plain) if not p):
@@ -189,8 +189,8 @@ class BoundaryEncoder:
             missing.update(k for k in plan if not isinstance(k, int) and parts[k] is None)
         for end, model in ((True, self.ends), (False, self.inner)):
             todo = [p for e, p in missing if e == end]
-            for p, e in zip(todo, model.encode_batch_fast(todo, add_special_tokens=False)):
-                parts[end, p] = e.ids
+            for p, ids in zip(todo, library_ids(model, todo)):
+                parts[end, p] = ids
         for i, plan in plans.items():
             out[i] = [x for k in plan for x in ([k] if isinstance(k, int) else parts[k])]
         return out

@@ -8,18 +8,29 @@ by numpy alone.  It starts anew when it is full, which bounds its memory.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 from .common import _BYTE_VALUE, ragged, range_hash
 
 #: Units a worker remembers: some 35 bytes each.
-MOST_UNITS = 1_500_000
+MOST_UNITS = 1_000_000
 #: New units are merged into the sorted store when they are this many.
 MERGE_UNITS = 50_000
 
 
+#: Texts the library encodes at once; it returns some 2 kB for each.
+ENCODE_AT_ONCE = 4_096
+
+
+def library_ids(model, texts: list[str]) -> Iterator[list[int]]:
+    """The tokenizers library's ids of each text."""
+    for a in range(0, len(texts), ENCODE_AT_ONCE):
+        for e in model.encode_batch_fast(texts[a : a + ENCODE_AT_ONCE], add_special_tokens=False):
+            yield e.ids
+
+
 class IdCache:
     def __init__(self, most: int = MOST_UNITS):
         self.most = most

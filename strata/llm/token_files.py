@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .bpe import ENCODE_BYTES, letter_mark_cuts, vocabulary
 from .common import saved, slices, text_bytes, work_path
-from .id_cache import IdCache
+from .id_cache import IdCache, library_ids
 
 MAGIC = b"IDPACK01"
 BLOCK_IDS = 1 << 16
@@ -183,8 +183,7 @@ class LibraryTokenizer:
         start, end, edges = self.fragments(data, t0, t1)
 
         def new(parts: list[bytes], _: np.ndarray) -> Iterator[list[int]]:
-            texts = [p.decode("utf-8", "replace") for p in parts]
-            return (e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False))
+            return library_ids(self.tok, [p.decode("utf-8", "replace") for p in parts])
 
         return self.known.encode(data, start, end, edges, new)
 
