@@ -42,7 +42,7 @@ from .id_cache import IdCache, library_ids
 #: Distinct fragments of cut units that a worker remembers.
 CACHE_ENTRIES = 100_000
 #: Bytes of text encoded together.
-ENCODE_BYTES = 1 << 20
+ENCODE_BYTES = 1 << 19
 
 
 _LETTER = np.zeros(256, bool)

@@ -6,6 +6,7 @@ so words can be found on the UTF-8 bytes of a whole Arrow column at once.
 """
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Bytes of text a task looks at together; a longer document is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -95,6 +96,19 @@ class Words(NamedTuple):
         return range_hash(_BYTE_VALUE[data], self.start, self.end)
 
 
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Words of each text, without looking for their ends."""
+    data, t0, t1 = text_bytes(texts)
+    inside = _IS_WORD[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    total = np.zeros(len(data) + 1, np.int64)
+    first = t0[(t1 > t0)]
+    begins[first] = inside[first]
+    np.cumsum(begins, out=total[1:])
+    return total[t1] - total[t0]
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and each row's range; null is empty."""
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
@@ -124,6 +138,16 @@ def words_of(texts: pa.Array) -> Words:
     return Words(data, t0, t1, start, end, first)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker outlives its task, and
+    what it keeps is missing where the next one runs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in runs of about ``most`` bytes of text, one document at least."""
     for batch in batches:
@@ -135,6 +159,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
         edge = np.flatnonzero((np.diff(group) != 0) | big[1:] | big[:-1]) + 1
         for a, b in zip([0, *edge], [*edge, batch.num_rows]):
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -158,7 +183,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python 10,000 at a time unless told otherwise; of texts
+    that is tens of MB in the JVM and again in each worker.  Sessions that
+    leave the setting alone get 1,000."""
+    if not spark.sparkContext.getConf().contains(ROWS_PER_BATCH) and spark.conf.get(ROWS_PER_BATCH) == "10000":
+        spark.conf.set(ROWS_PER_BATCH, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -15,7 +15,7 @@ import numpy as np
 from .common import _BYTE_VALUE, ragged, range_hash
 
 #: Units a worker remembers: some 35 bytes each.
-MOST_UNITS = 1_000_000
+MOST_UNITS = 800_000
 #: New units are merged into the sorted store when they are this many.
 MERGE_UNITS = 50_000
 

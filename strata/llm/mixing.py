@@ -30,10 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import WORD_PATTERN, saved
+from .common import saved, slices, word_counts
 
 P = "mix__"  # columns of the plan beside the document's own
 
@@ -92,10 +94,20 @@ def split_quotas(quota: np.ndarray, shards: int, first: int, last: int, seed: in
         todo.append((lo, mid, left, start))
 
 
-def _sized(docs: DataFrame, text_col: str, source_col: str, id_col: str, mix: Mix) -> DataFrame:
-    return docs.withColumn(
-        P + "size", F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    ).withColumn(P + "key", F.xxhash64(F.lit(mix.seed), F.col(id_col).cast("string"), F.col(source_col)))
+def _with_size(docs: DataFrame, text_col: str, keep_text: bool) -> DataFrame:
+    """The documents with ``mix__size``, their number of words."""
+    names = [c for c in docs.columns if keep_text or c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            size = pa.array(word_counts(part.column(text_col)))
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [size], names=names + [P + "size"])
+
+    return docs.mapInArrow(run, StructType([docs.schema[c] for c in names] + [StructField(P + "size", LongType())]))
+
+
+def _key(id_col: str, source_col: str, mix: Mix) -> Column:
+    return F.xxhash64(F.lit(mix.seed), F.col(id_col).cast("string"), F.col(source_col))
 
 
 def _shard_plan(spark: SparkSession, quota: np.ndarray, shards: int, mix: Mix) -> DataFrame:
@@ -116,12 +128,16 @@ def _shard_plan(spark: SparkSession, quota: np.ndarray, shards: int, mix: Mix) -
     return ranges.select("rank", "shard", F.explode(F.sequence("u0", F.col("u1") - 1)).alias("unit"))
 
 
-def plan(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", mix: Mix = Mix()) -> DataFrame:
-    """The documents with ``mix__size``, ``mix__source_size``, ``mix__target``
-    and ``mix__copies``: an array of (epoch, shard), empty if not taken."""
+def plan(
+    docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", mix: Mix = Mix(),
+    sizes_too: bool = True, keep_text: bool = True,
+) -> DataFrame:
+    """The documents with ``mix__source_size``, ``mix__target`` and
+    ``mix__copies``: an array of (epoch, shard), empty if not taken; with
+    ``sizes_too`` also ``mix__size``."""
     spark = docs.sparkSession
-    narrow = _sized(docs.select(id_col, source_col, text_col), text_col, source_col, id_col, mix).select(
-        F.col(source_col).alias("source"), P + "size", P + "key"
+    narrow = _with_size(docs.select(id_col, source_col, text_col), text_col, keep_text=False).select(
+        F.col(source_col).alias("source"), P + "size", _key(id_col, source_col, mix).alias(P + "key")
     )
     # One row per source; the sort by code point is Spark's own order of strings.
     totals = [(r["source"], r["n"]) for r in narrow.groupBy("source").agg(F.sum(P + "size").alias("n")).collect()]
@@ -196,7 +212,9 @@ def plan(docs: DataFrame, text_col: str = "text", source_col: str = "source", id
     if by_block.count() <= mix.broadcast_blocks:
         by_block = F.broadcast(by_block)
 
-    rows = with_block(_sized(docs, text_col, source_col, id_col, mix), source_col)
+    # The texts pass by Python only if their sizes are asked for.
+    named = _with_size(docs, text_col, keep_text) if sizes_too else docs
+    rows = with_block(named.withColumn(P + "key", _key(id_col, source_col, mix)), source_col)
     rows = rows.join(by_block, (rows[P + "s_rank"] == F.col(P + "rank")) & (rows[P + "block"] == F.col(P + "b")), "left")
     none = F.array().cast("array<struct<epoch:int,shard:bigint>>")
     partly = F.when(
@@ -204,8 +222,7 @@ def plan(docs: DataFrame, text_col: str = "text", source_col: str = "source", id
         F.array(F.struct(F.col(P + "part")["epoch"].alias("epoch"), F.col(P + "part")["shard"].alias("shard"))),
     )
     return rows.select(
-        *[rows[c] for c in docs.columns],
-        F.col(P + "size"),
+        *[rows[c] for c in named.columns],
         F.col(P + "s_source_size").alias(P + "source_size"),
         F.col(P + "s_target").alias(P + "target"),
         F.concat(F.coalesce(F.col(P + "whole"), none), F.coalesce(partly, none)).alias(P + "copies"),
@@ -215,7 +232,7 @@ def plan(docs: DataFrame, text_col: str = "text", source_col: str = "source", id
 def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", mix: Mix = Mix()) -> DataFrame:
     """The mix: a row for each copy of a document, with ``mix__epoch`` and
     ``mix__shard``, each shard in one partition and in random order."""
-    found = plan(docs, text_col, source_col, id_col, mix)
+    found = plan(docs, text_col, source_col, id_col, mix, sizes_too=False)
     rows = found.select(*docs.columns, F.explode(P + "copies").alias(P + "copy")).select(
         *docs.columns, F.col(P + "copy")["epoch"].alias(P + "epoch"), F.col(P + "copy")["shard"].alias(P + "shard")
     )
@@ -224,7 +241,7 @@ def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", i
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    found = plan(docs.select("doc_id", "source", "text"))
+    found = plan(docs.select("doc_id", "source", "text"), keep_text=False)
     return found.select(
         "doc_id",
         F.col(P + "size").alias("size"),

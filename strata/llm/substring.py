@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import Words, free_shuffles, mix64, ragged, range_hash, saved, signed, slices, window_hash, words_of
+from .common import Words, free_shuffles, give_back, mix64, ragged, range_hash, saved, signed, slices, window_hash, words_of
 from .fm_index import FMIndex, repeated_windows
 
 P = "sub__"
@@ -53,7 +53,7 @@ class Settings:
     hot: int = 50_000
     hot_keys: int = 1_000_000
     #: Words of one FM-index.
-    index_words: int = 1_000_000
+    index_words: int = 500_000
 
     def __post_init__(self) -> None:
         if not 0 <= self.width - self.gram < 64:
@@ -154,7 +154,8 @@ def _fetch(rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
                 names=["key", "content", "twice", "words"],
             )
 
-    joined = rows.join(lists, ["h1", "h2"]).select("text", "segs")
+    # A row that is repeated whole is needed once; the join has it sorted already.
+    joined = rows.join(lists, ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("text", "segs")
     return joined.mapInArrow(run, "key long, content long, twice boolean, words array<long>")
 
 
@@ -163,7 +164,7 @@ def _search(fetched: DataFrame, s: Settings) -> DataFrame:
     streams its keys in order and indexes some at a time."""
 
     def found(keys: np.ndarray, content: np.ndarray, twice: np.ndarray, start: np.ndarray, length: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
-        _, first = np.unique(content, return_index=True)  # repeated rows fetch a copy each
+        _, first = np.unique(content, return_index=True)
         copies = np.concatenate([first, first[twice[first]]])
         n = length[copies] + 1
         at = np.concatenate([[0], np.cumsum(n)])
@@ -201,6 +202,7 @@ def _search(fetched: DataFrame, s: Settings) -> DataFrame:
         if size:
             key, content, twice, length, words = (np.concatenate(x) for x in zip(*held))
             yield found(key, content, twice, np.cumsum(length) - length, length, words)
+        give_back()
 
     return fetched.repartition("key").sortWithinPartitions("key").mapInArrow(run, "content long, mask long")
 
@@ -220,7 +222,9 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s:
     twice = keys.select("key")
     if hot:
         apart = _segment_rows(rows, s, hot, only_hot=True).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        twice = twice.join(frequent, "key", "left_anti").unionByName(apart.select("key"))
+        # Saved, so that the join below shuffles it afresh: only then can the
+        # occurrences of a hot key be split over tasks.
+        twice = saved(twice.join(frequent, "key", "left_anti").unionByName(apart.select("key")))
     seen = saved(_segment_rows(rows, s, hot).join(twice, "key", "left_semi"))
     del keys, twice, frequent
     free_shuffles(spark)
