@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mil_quality, mixing, ngram_join, quality_rules, substring, token_files, topk
+from . import bpe, chat, license_scan, mil_quality, mixing, ngram_join, quality_rules, substring, token_files, topk
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op5_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.with_probe(spark, sf_dir))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe": op4_bpe,
     "op5_maxscore_topk": op5_maxscore_topk,
+    "op6_license_scan": op6_license_scan,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
