@@ -1,5 +1,6 @@
 import numpy as np
 from llm_brute import SF, jaccard_components
+from pyspark.sql import functions as F
 
 from strata.llm import ngram_join, topk
 from strata.llm.components import components
@@ -35,6 +36,70 @@ def test_blocks_of_a_hot_centre_lose_no_link(spark):
         assert got == want
 
 
+def hot_passage(families):
+    """Different texts with one passage in common, and families of near copies with it."""
+    rng = np.random.default_rng(11)
+    passage = " ".join(f"p{i}" for i in range(30))
+    word = lambda: f"w{rng.integers(0, 1 << 40)}"
+    docs = [[word() for _ in range(60)] for _ in range(60)]
+    for size in families:
+        base = [word() for _ in range(60)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 3))):
+                w[rng.integers(0, 60)] = word()
+            docs.append(w)
+    return [(i, " ".join(w[: i % 40] + [passage] + w[i % 40 :])) for i, w in enumerate(docs)]
+
+
+def test_a_hot_passage_in_different_texts_stays_in_bounds(spark, monkeypatch):
+    most, real = [], ngram_join._walk
+
+    def walk(sets_at, s, *more, **named):
+        most.append(sets_at.groupBy("group").agg(F.sum(F.size("tokens")).alias("t")).agg(F.max("t")).first()[0] or 0)
+        return real(sets_at, s, *more, **named)
+
+    monkeypatch.setattr(ngram_join, "_walk", walk)
+    for families, s in (((), Settings(block_tokens=1200)), ((40, 25), Settings(block_tokens=1200, broadcast_tokens=0))):
+        docs = hot_passage(families)
+        most.clear()
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(spark.createDataFrame(docs, "doc_id long, text string"), s=s).collect())
+        assert got == sorted(jaccard_components(docs))
+        assert len(most) > 1 and max(most) <= 2 * s.block_tokens, most
+
+
+def test_cells_bring_every_two_together_once(spark):
+    s = Settings(block_tokens=40)
+    rows = [(7, i, 5, i % 3) for i in range(90)] + [(8, i, 5, 0) for i in range(30)] + [(9, i, 5, 1 + i % 2) for i in range(30)]
+    got = ngram_join._grid(spark.createDataFrame(rows, "group long, set long, n long, kind int"), s).collect()
+    cells = {}
+    for r in got:
+        cells.setdefault(r["group"], []).append((r["set"], r["role"]))
+    met = {}
+    for members in cells.values():
+        for i, a in members:
+            for j, b in members:
+                if i != j and (a == ngram_join.CROSSES != b or (a == b == ngram_join.PROBES and i < j)):
+                    met[min(i, j), max(i, j)] = met.get((min(i, j), max(i, j)), 0) + 1
+    want = {}
+    for g in (7, 8, 9):
+        own = [(i, k) for h, i, _, k in rows if h == g]
+        for i, a in own:
+            for j, b in own:
+                if i < j and (a != b or a == 0):
+                    want[i, j] = want.get((i, j), 0) + 1
+    assert met == want
+
+
+def test_who_waits_outside_the_largest_component_is_probed():
+    # 1 links 2 and 3; only 3 links the set that waits.
+    sets = [set(range(40)), set(range(3, 43)), set(range(36)) | set(range(80, 84)), set(range(32)) | set(range(80, 88))]
+    tokens = np.concatenate([np.array(sorted(x), np.uint64) for x in sets])
+    role = np.array([ngram_join.PROBES] * 3 + [ngram_join.JOINED])
+    a, b = link_groups(np.zeros(4, int), np.arange(4), role, tokens, np.full(4, 40))
+    assert dict(zip(a.tolist(), b.tolist())) == dict.fromkeys(range(4), 0)
+
+
 def test_odd_rows_and_one_per_group(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b"), (5, "q w e r t"), (5, "q w e r t"), (None, "Q w e r t"), (None, "u"), (6, "x " * 5000), (7, "x " * 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as root", "2 as n", "3 as h1")
