@@ -4,11 +4,14 @@ Words are compared in lower case without the punctuation around them.  The
 ``gram``-word hashes of each template are winnowed (the smallest of every
 ``window`` neighbours stays), which leaves a small inverted index, fingerprint
 -> (template, place).  All grams of a document are looked up in it, so a run of
-``gram + window - 1`` equal words is always noticed.  Hits of one template on
-about one diagonal are a candidate; there the template is aligned to the
-document (local alignment, gaps within a band), and the share of its words
-that match and the stretch of the document they span are reported when the
-share reaches ``least_coverage``.
+``gram + window - 1`` equal words is always noticed.  A template of fewer than
+``short`` words is noticed by single words too, by so many of its rarest that a
+match at the threshold has at least one of them.  Each diagonal with a hit is a
+candidate if enough words of the template stand about it; there the template is
+aligned to the document (local alignment, gaps within a band), and the share of
+its words that match and the stretch of the document they span are reported
+when the share reaches ``least_coverage``.  What is left before and behind such
+a stretch is aligned again.
 
 The templates are a fixed few kilobytes; documents are scanned where they lie,
 without a shuffle.
@@ -20,6 +23,7 @@ gives an empty table; other columns pass unchanged.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import LOWER, Words, slices, window_hash, words_of
+from .common import LOWER, Words, ragged, slices, window_hash, words_of
 from .license_templates import TEMPLATES
 
 P = "lic__"
@@ -42,6 +46,8 @@ class Settings:
     window: int = 3
     band: int = 8
     least_coverage: float = 0.75
+    #: Templates of fewer words are looked for by single words as well.
+    short: int = 30
 
 
 _PLAIN = np.zeros(256, bool)  # bytes that are no ASCII punctuation or control
@@ -71,6 +77,13 @@ class Index:
     keys: np.ndarray  # fingerprints in order
     template: np.ndarray
     place: np.ndarray
+    #: The same for single words of short templates.
+    one_keys: np.ndarray
+    one_template: np.ndarray
+    one_place: np.ndarray
+    #: All words of the templates in order, and for each template which are its own (none for what is behind).
+    vocabulary: np.ndarray
+    own: np.ndarray
 
 
 @lru_cache(maxsize=8)
@@ -86,11 +99,23 @@ def index_of(templates: tuple[tuple[str, str], ...], s: Settings) -> Index:
             if len(part):
                 best = a + int(len(part) - 1 - part[::-1].argmin())  # the last of equals, as winnowing has it
                 found.add((int(grams[best]), t, best))
-    rows = sorted(found)
-    return Index(
-        tuple(n for n, _ in templates), tuple(words), np.array([r[0] for r in rows], np.uint64),
-        np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64),
-    )
+    vocabulary, uses = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]), return_counts=True)
+    own = np.zeros((len(templates), len(vocabulary) + 1), bool)
+    single: set[tuple[int, int, int]] = set()
+    for t, word in enumerate(words):
+        number = np.searchsorted(vocabulary, word)
+        own[t, number] = True
+        if len(word) < s.short:
+            spare = len(word) - least_words(len(word), s)  # so many words may be missing
+            rare = np.argsort(uses[number], kind="stable")[: spare + 1]
+            single |= {(int(word[i]), t, int(i)) for i in rare}
+    columns = [np.array([r[i] for r in sorted(x)], kind) for x in (found, single) for i, kind in enumerate((np.uint64, np.int64, np.int64))]
+    return Index(tuple(n for n, _ in templates), tuple(words), *columns, vocabulary, own)
+
+
+def least_words(n: int, s: Settings) -> int:
+    """Words of a template of n that have to match."""
+    return max(1, math.ceil(s.least_coverage * n - 1e-9))
 
 
 def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
@@ -121,37 +146,60 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> t
     return best[1], best[2], where[1] + 1
 
 
+def _region(diagonal, n, s: Settings):
+    """Where an alignment of n words within the band of a diagonal may lie."""
+    return diagonal - 2 * s.band, diagonal + n + 2 * s.band + 1
+
+
 def matches(texts: pa.Array, index: Index, s: Settings) -> list[list[dict]]:
     """Per document: license, coverage and the span in words and code points."""
     w, place, word = bare_words(texts)
     out: list[list[dict]] = [[] for _ in range(len(texts))]
-    grams = window_hash(word, s.gram)
     doc = w.doc()
-    hit = np.flatnonzero(np.isin(grams, index.keys)) if len(grams) else np.zeros(0, np.int64)
-    hit = hit[doc[hit] == doc[hit + s.gram - 1]]
-    if not len(hit):
+    seeds: set[tuple[int, int, int]] = set()
+    for width, keys, template, at in (
+        (s.gram, index.keys, index.template, index.place), (1, index.one_keys, index.one_template, index.one_place)
+    ):
+        grams = window_hash(word, width) if width > 1 else word
+        low = np.searchsorted(keys, grams)
+        hit = np.flatnonzero(np.append(keys, np.uint64(0))[low] == grams) if len(keys) else np.zeros(0, np.int64)
+        hit = hit[doc[hit] == doc[hit + width - 1]]
+        low = low[hit]
+        times = np.searchsorted(keys, grams[hit], "right") - low
+        hit, x = np.repeat(hit, times), ragged(low, times)
+        t = template[x]
+        # Too few of the template's words in the region, too few to match.
+        lo, hi = _region(hit - at[x], np.array([len(v) for v in index.words], np.int64)[t], s)
+        lo, hi = np.clip(lo, w.first[doc[hit]], w.first[doc[hit] + 1]), np.clip(hi, w.first[doc[hit]], w.first[doc[hit] + 1])
+        near = np.searchsorted(index.vocabulary, word)
+        near[np.append(index.vocabulary, np.uint64(0))[near] != word] = len(index.vocabulary)
+        for one in np.unique(t).tolist():
+            mine = np.flatnonzero(t == one)
+            upto = np.concatenate([[0], np.cumsum(index.own[one][near])])
+            mine = mine[upto[hi[mine]] - upto[lo[mine]] >= least_words(len(index.words[one]), s)]
+            d = doc[hit[mine]]
+            seeds |= {(int(a), one, int(b)) for a, b in zip(d, hit[mine] - w.first[d] - at[x[mine]])}
+    if not seeds:
         return out
-    low, high = (np.searchsorted(index.keys, grams[hit], side) for side in ("left", "right"))
-    seeds = sorted(
-        {(int(doc[h]), int(index.template[x]), int(h - w.first[doc[h]] - index.place[x])) for h, a, b in zip(hit, low, high) for x in range(a, b)}
-    )
     all_words = np.searchsorted(words_of(texts).start, w.text_start)  # each text's first word
     points = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
-    last: tuple[int, int, int] | None = None
     found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    for d, t, diagonal in seeds:
-        if last and last[:2] == (d, t) and diagonal - last[2] <= s.band:
-            continue  # within the band of the seed before
-        last = (d, t, diagonal)
+    for d, t, diagonal in sorted(seeds):
         text = word[w.first[d] : w.first[d + 1]]
-        lo = max(0, diagonal - 2 * s.band)
-        region = text[lo : max(0, diagonal) + len(index.words[t]) + 2 * s.band + 1]
-        n, a, b = align(index.words[t], region.tolist(), diagonal - lo, s.band)
-        if n >= s.least_coverage * len(index.words[t]):
-            found.setdefault((d, t), []).append((n, lo + a, lo + b))
+        lo, hi = _region(diagonal, len(index.words[t]), s)
+        spans = found.setdefault((d, t), [])
+        todo = [(max(0, lo), min(hi, len(text)))]
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo < least_words(len(index.words[t]), s):
+                continue
+            n, a, b = align(index.words[t], text[lo:hi].tolist(), diagonal - lo, s.band)
+            if n >= least_words(len(index.words[t]), s):
+                spans.append((n, lo + a, lo + b))
+                todo += [(lo, lo + a), (lo + b, hi)]  # another copy may be as near
     for (d, t), spans in sorted(found.items()):
         taken: list[tuple[int, int]] = []
-        for n, a, b in sorted(spans, key=lambda x: (-x[0], x[1])):
+        for n, a, b in sorted(set(spans), key=lambda x: (-x[0], x[1], x[2])):
             if any(a < y and x < b for x, y in taken):
                 continue
             taken.append((a, b))

@@ -96,3 +96,23 @@ def test_alignment_against_a_full_table():
                 table[i + 1, j + 1] = max(0, table[i, j] + (2 if a[i] == b[j] else -1), table[i, j + 1] - 1, table[i + 1, j] - 1)
         n, first, end = align(a, b, 0, 20)
         assert n >= table.max() / 2 and 0 <= first < end <= 12 if table.max() else n == 0
+
+
+def test_a_short_notice_is_found_with_any_one_word_changed_or_missing():
+    for name, text in TEMPLATES.items():
+        words = text.split()
+        for i in range(len(words)) if len(words) < 30 else ():
+            for new in (["other"], []):
+                found = spans_at_threshold("a b c " + " ".join(words[:i] + new + words[i + 1 :]) + " d e f", name)
+                assert found == [(len(words) - 1) / len(words)], (name, i, new)
+
+
+def spans_at_threshold(text, name):
+    index = index_of(((name, TEMPLATES[name]),), Settings())
+    return [m["coverage"] for m in matches(pa.array([text]), index, Settings())[0]]
+
+
+def test_copies_right_behind_each_other_are_all_found():
+    for name, text in TEMPLATES.items():
+        assert spans_at_threshold(" ".join([text] * 5), name) == [1.0] * 5
+    assert [m["coverage"] for m in one("Released under an MIT License. " * 4)] == [0.8] * 4
