@@ -11,7 +11,10 @@ candidate if enough words of the template stand about it; there the template is
 aligned to the document (local alignment, gaps within a band), and the share of
 its words that match and the stretch of the document they span are reported
 when the share reaches ``least_coverage``.  What is left before and behind such
-a stretch is aligned again.
+a stretch is aligned again.  A find needs the words that tell its license from
+others (``DISTINCT``: version, NC, SA ..), in the stretch or as near as its
+missing words may be.  Of finds of different licenses the better one wins where
+it covers half of the other; an exact one always stays.
 
 The templates are a fixed few kilobytes; documents are scanned where they lie,
 without a shuffle.
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from .common import LOWER, Words, ragged, slices, window_hash, words_of
-from .license_templates import TEMPLATES
+from .license_templates import DISTINCT, TEMPLATES
 
 P = "lic__"
 
@@ -84,6 +87,8 @@ class Index:
     #: All words of the templates in order, and for each template which are its own (none for what is behind).
     vocabulary: np.ndarray
     own: np.ndarray
+    needs: tuple[tuple[tuple[int, ...], ...], ...]
+    excludes: tuple[tuple[int, ...], ...]
 
 
 @lru_cache(maxsize=8)
@@ -110,7 +115,11 @@ def index_of(templates: tuple[tuple[str, str], ...], s: Settings) -> Index:
             rare = np.argsort(uses[number], kind="stable")[: spare + 1]
             single |= {(int(word[i]), t, int(i)) for i in rare}
     columns = [np.array([r[i] for r in sorted(x)], kind) for x in (found, single) for i, kind in enumerate((np.uint64, np.int64, np.int64))]
-    return Index(tuple(n for n, _ in templates), tuple(words), *columns, vocabulary, own)
+    # The distinguishing words belong to the texts of the bank, not to another text of that name.
+    told = [DISTINCT.get(n, ((), ())) if TEMPLATES.get(n) == text else ((), ()) for n, text in templates]
+    hashes = lambda some: tuple(int(bare_words(pa.array([x]))[2][0]) for x in some)
+    needs, excludes = tuple(tuple(map(hashes, a)) for a, _ in told), tuple(hashes(b) for _, b in told)
+    return Index(tuple(n for n, _ in templates), tuple(words), *columns, vocabulary, own, needs, excludes)
 
 
 def least_words(n: int, s: Settings) -> int:
@@ -151,6 +160,14 @@ def _region(diagonal, n, s: Settings):
     return diagonal - 2 * s.band, diagonal + n + 2 * s.band + 1
 
 
+def _distinct(index: Index, t: int, text: np.ndarray, n: int, a: int, b: int) -> bool:
+    """Whether the words that tell the template's license stand in text[a:b],
+    or as far from it as the words that did not match."""
+    missing = len(index.words[t]) - n
+    about = set(text[max(0, a - missing) : b + missing].tolist())
+    return all(about.intersection(some) for some in index.needs[t]) and not set(text[a:b].tolist()).intersection(index.excludes[t])
+
+
 def matches(texts: pa.Array, index: Index, s: Settings) -> list[list[dict]]:
     """Per document: license, coverage and the span in words and code points."""
     w, place, word = bare_words(texts)
@@ -194,20 +211,29 @@ def matches(texts: pa.Array, index: Index, s: Settings) -> list[list[dict]]:
             if hi - lo < least_words(len(index.words[t]), s):
                 continue
             n, a, b = align(index.words[t], text[lo:hi].tolist(), diagonal - lo, s.band)
-            if n >= least_words(len(index.words[t]), s):
+            if n >= least_words(len(index.words[t]), s) and _distinct(index, t, text, n, lo + a, lo + b):
                 spans.append((n, lo + a, lo + b))
+            if n >= least_words(len(index.words[t]), s):
                 todo += [(lo, lo + a), (lo + b, hi)]  # another copy may be as near
+    kept: dict[int, list[tuple[float, int, int, int, int]]] = {}
     for (d, t), spans in sorted(found.items()):
         taken: list[tuple[int, int]] = []
         for n, a, b in sorted(set(spans), key=lambda x: (-x[0], x[1], x[2])):
             if any(a < y and x < b for x, y in taken):
                 continue
             taken.append((a, b))
-            f, g = w.first[d] + a, w.first[d] + b - 1
+            kept.setdefault(d, []).append((n / len(index.words[t]), n, t, a, b))
+    for d, finds in kept.items():
+        better: list[tuple[str, int, int]] = []
+        for coverage, n, t, a, b in sorted(finds, key=lambda x: (-x[0], -x[1], x[3], x[2])):
             name = index.names[t].partition("/")[0]
+            if coverage < 1 and any(other != name and 2 * (min(b, y) - max(a, x)) >= b - a for other, x, y in better):
+                continue
+            better.append((name, a, b))
+            f, g = w.first[d] + a, w.first[d] + b - 1
             out[d].append(
                 {
-                    "license": name, "template": index.names[t], "coverage": n / len(index.words[t]), "matched_words": n,
+                    "license": name, "template": index.names[t], "coverage": coverage, "matched_words": n,
                     "first_word": int(place[f] - all_words[d]), "last_word": int(place[g] - all_words[d]),
                     "start": int(points[w.start[f]] - points[w.text_start[d]]), "end": int(points[w.end[g]] - points[w.text_start[d]]),
                 }

@@ -38,3 +38,20 @@ TEMPLATES: dict[str, str] = {
     ),
 }
 # --- end of fixed values ---
+
+_GPL_KIN = ("lesser", "affero", "library")
+_CC_KINDS = ("noncommercial", "non-commercial", "sharealike", "share-alike", "noderivatives", "no-derivatives", "noderivs")
+_V2, _V3, _V4 = ("2.0", "2", "v2", "v2.0"), ("3", "3.0", "v3", "v3.0"), ("4.0", "4", "v4", "v4.0")
+
+#: What tells a license from its kin: words it needs (one of each group), words it must not have.
+DISTINCT: dict[str, tuple[tuple[tuple[str, ...], ...], tuple[str, ...]]] = {
+    "MIT/notice": ((("mit",),), ()),
+    "Apache-2.0/notice": ((("apache",), _V2), ()),
+    "GPL-3.0/notice": ((("general",), ("public",), _V3), _GPL_KIN),
+    "CC-BY-NC-4.0/notice": ((("by-nc",), _V4), ()),
+    "CC-BY-4.0/notice": ((("attribution",), _V4), _CC_KINDS),
+    "CC-BY-SA-4.0/notice": ((("attribution-sharealike",), _V4), _CC_KINDS),
+    "Apache-2.0/header": ((("apache",), _V2), ()),
+    "GPL/header": ((("general",), ("public",)), _GPL_KIN),
+    "MPL-2.0/header": ((("mozilla",), _V2), ()),
+}
