@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from strata.oracle import oracle_sql as library_sql
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "conversations"]
 
 
 def _norm(v):
@@ -29,7 +29,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(library_sql()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
