@@ -203,11 +203,12 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
     known = labels.select(F.col("doc_id").alias(P + "id"), F.col("quality").cast("int").alias(P + "y")).where(
         F.col(P + "y").isNotNull() & F.col(P + "id").isNotNull() & ~held_out(F.col(P + "id"))
     )
-    sample = known.orderBy(F.xxhash64(P + "id"), P + "id", P + "y").limit(s.train_docs)
+    sample = known.distinct().orderBy(F.xxhash64(P + "id"), P + "id", P + "y").limit(s.train_docs)
     rows = docs.select(F.col(id_col).alias(P + "doc"), F.col(text_col).alias("text"))
     # train_docs rows of 12 bytes: a bound that does not depend on the data.
     rows = rows.join(F.broadcast(sample), F.col(P + "doc") == F.col(P + "id"))
-    rows = rows.select(P + "y", P + "id", "text")
+    # A doc_id that many rows repeat is worth its texts once each.
+    rows = rows.select(P + "y", P + "id", "text", F.xxhash64("text").alias(P + "h")).dropDuplicates([P + "y", P + "id", P + "h"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -223,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
             )
 
     kind = labels.schema["doc_id"].dataType.simpleString()
-    # A doc_id that many rows repeat is worth its texts once each, and the bound holds for them too.
+    # The bound holds for a doc_id of many texts too.
     found = rows.mapInArrow(run, f"id {kind}, y int, n int, x binary").orderBy(F.xxhash64("id"), "id", "y", "x").limit(s.train_docs).collect()
     if not found:
         return 0.5

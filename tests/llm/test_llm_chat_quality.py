@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from llm_brute import SF, sha
+from pyspark.sql import functions as F
 
 from strata.llm import chat, mil_quality
 from strata.llm.chat import Template, format_conversations, read_turns
@@ -110,3 +111,15 @@ def test_gradients_match_differences():
     first, last = (mil_quality.fit(x, n, y, Settings(rounds=r, hidden=4, attention=3)) for r in (1, 150))
     loss = lambda m: -np.mean(np.log(np.where(y == 1, (p := m.forward(x, n)["score"]), 1 - p) + 1e-9))
     assert loss(last) < 0.2 < loss(first)
+
+
+def test_repeated_rows_do_not_fill_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mil_quality, "fit", lambda x, n, y, s: seen.append(y.tolist()) or 0.5)
+    ids = [r["id"] for r in spark.range(40).where(~mil_quality.held_out(F.col("id"))).collect()]
+    docs = spark.createDataFrame([(i, f"some words of {i}") for i in ids for _ in range(10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids for _ in range(10)], "doc_id long, quality int")
+    for s in (mil_quality.Settings(train_docs=1000), mil_quality.Settings(train_docs=20)):
+        mil_quality.train(docs, labels, s)
+    assert sorted(seen[0]) == sorted(i % 2 for i in ids)
+    assert len(seen[1]) == 20 and set(seen[1]) == {0, 1}
