@@ -2,8 +2,8 @@
 
 Each is a plain restatement over the raw tables: no hashes, shards, tries or
 bounds.  Without SQL: token ids (op2, op4), the mix's draws (op9), the
-classifier (op10) and the pipeline, which the tests hold against plain Python
-or the tokenizers library.
+classifier (op10), XXH64 (op13) and the pipeline, which the tests hold against
+plain Python or the tokenizers library.
 """
 
 #: One row for each word: document, place from 1, word.
@@ -144,10 +144,80 @@ SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(b) AS component_id
 FROM documents d LEFT JOIN sizes_ USING (doc_id) JOIN reach_ ON d.doc_id = reach_.a GROUP BY d.doc_id
 """
 
+def _vector_codes(rounds: int = 6) -> str:
+    """Codebooks after each round, every part compared with every entry."""
+
+    def assigned(k: int) -> str:
+        return f"""
+far{k}_ AS (
+  SELECT r, part, entry, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS d
+  FROM parts_ p JOIN book{k}_ c USING (part, pos) GROUP BY ALL
+),
+near{k}_ AS (SELECT r, part, entry, d FROM far{k}_ QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1)"""
+
+    def moved(k: int) -> str:
+        return f"""
+sums{k}_ AS (
+  SELECT part, entry, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM near{k}_ JOIN parts_ USING (r, part) GROUP BY ALL
+),
+book{k + 1}_ AS (
+  SELECT part, entry, pos, CASE WHEN n IS NULL THEN x ELSE CAST((s - ((s % n) + n) % n) / n AS BIGINT) END AS x
+  FROM book{k}_ LEFT JOIN sums{k}_ USING (part, entry, pos)
+)"""
+
+    steps = ",".join(f"{assigned(k)},{moved(k)}" for k in range(rounds)) + "," + assigned(rounds)
+    return f"""
+WITH whole_ AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+vectors_ AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r FROM whole_),
+flat_ AS (SELECT r, unnest(v) AS x, unnest(range(len(v))) AS i, len(v) // 8 AS d FROM vectors_),
+parts_ AS (SELECT r, i // d AS part, i % d AS pos, x FROM flat_),
+book0_ AS (SELECT part, r AS entry, pos, x FROM parts_ WHERE r < 16),{steps},
+whole_book_ AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS h FROM book{rounds}_),
+coded_ AS (
+  SELECT r, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds}_ GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM vectors_ JOIN coded_ USING (r), whole_book_
+"""
+
+
+SKETCHES = r"""
+WITH split_ AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+),
+all_ AS (SELECT count(*) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM split_ WHERE len(t) > 0),
+items_ AS (
+  SELECT DISTINCT item_id, text, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+terms_ AS (SELECT doc_id, r, len(t) AS n, unnest(t) AS term FROM split_),
+tf_ AS (SELECT doc_id, r, n, term, count(*) AS tf FROM terms_ WHERE term IN (SELECT term FROM items_) GROUP BY ALL),
+weights_ AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(all_.n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf_, all_ GROUP BY term
+),
+scores_ AS (
+  SELECT item_id, text, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * tf_.n * all_.n) // all_.l)))) AS BIGINT) AS score
+  FROM items_ JOIN tf_ USING (term) JOIN weights_ USING (term), all_ GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores_ WHERE score > 0 QUALIFY rank <= 50
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING,
     "op3_quality_rules": RULES,
     "op5_maxscore_topk": TOPK,
     "op7_chat_formatting": CHAT,
     "op8_ngram_join": JACCARD,
+    "op11_vector_codes": _vector_codes(),
+    "op12_sketch_search": SKETCHES,
 }

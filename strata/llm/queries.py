@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, license_scan, mil_quality, mixing, ngram_join, quality_rules, substring, token_files, topk
+from . import bpe, chat, license_scan, mil_quality, mixing, ngram_join, quality_rules, simhash, sketch_search, substring, token_files, topk, vector_codes
 from .common import table
 
 
@@ -51,6 +51,18 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_search.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,5 +80,8 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_mil_quality": op10_mil_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_sketch_search": op12_sketch_search,
+    "op13_simhash": op13_simhash,
     "pipeline": pipeline,
 }
