@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from strata.oracle import oracle_sql as library_sql
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "conversations"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "benchmark", "conversations"]
 
 
 def _norm(v):
