@@ -1,6 +1,6 @@
 """Command line: the whole pipeline, one layer, or one table of it.
 
-    python -m strata run      --config lake.json --store hdfs:///lake [--as-of 2026-01-31]
+    python -m strata run      --config lake.json --store hdfs:///lake [--as-of 2026-01-31] [--batch-id ID] [--incremental]
     python -m strata extract  --config lake.json --store hdfs:///lake [TABLE ...] [--batch-id ID]
     python -m strata silver   --store hdfs:///lake [TABLE ...] [--config lake.json] [--as-of ...]
     python -m strata gold     --store hdfs:///lake [MART ...] [--as-of ...]
@@ -40,7 +40,10 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--config", required=name in ("run", "extract"))
         c.add_argument("--as-of", type=dt.date.fromisoformat)
         c.add_argument("--run-ts", type=dt.datetime.fromisoformat)
-        c.add_argument("--batch-id")
+        if name in ("run", "extract"):
+            c.add_argument("--batch-id")
+        if name == "run":
+            c.add_argument("--incremental", action="store_true", help="rewrite the silver months that changed, merge the marts")
         if name == "sql":
             c.add_argument("names", nargs=1, metavar="statement")
         elif name not in ("run", "gate"):
@@ -62,6 +65,7 @@ def settings(args: argparse.Namespace, config: dict) -> PipelineConfig:
         run_ts=args.run_ts,
         thresholds={**GATE_THRESHOLDS_PCT, **own.get("thresholds", {})},
         tie_breakers=own.get("tie_breakers", {}),
+        incremental=getattr(args, "incremental", False) or own.get("incremental", False),
     )
 
 
@@ -77,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     out: object = None
     try:
         if args.cmd == "run":
-            result = run_pipeline(spark, store, retail_sources(config), cfg)
+            result = run_pipeline(spark, store, retail_sources(config), cfg, batch_id=args.batch_id)
             out = {"silver": result.silver, "gate": result.gate}
         elif args.cmd == "extract":
             store.ensure_layers()

@@ -98,7 +98,18 @@ def extract(
 
     before, mark_batch = wm.current(store, spec.table)
     day = (run_ts or dt.datetime.now(dt.timezone.utc)).date()
-    batch = batches.open_batch(store, spec.table, batch_id, before, mark_batch, day)
+
+    def settle(other: str, its_day: dt.date) -> str | None:
+        rows = store.read("bronze", spec.table).where((F.col(INGESTED_DATE) == F.lit(its_day)) & (F.col(BATCH_ID) == other))
+        reached = rows.agg(F.max(spec.watermark_col).cast("string")).first()[0]
+        if reached is None or (mark := _max_text(spark, rows, reached, before, spec.watermark_col)) == before:
+            return before
+        wm.set_watermark(store, spec.table, mark, rows.schema[spec.watermark_col].dataType.simpleString(), other)
+        return mark
+
+    batch = batches.open_batch(store, spec.table, batch_id, before, mark_batch, day, settle)
+    if batch.after is not None and not batch.repeated:
+        before = batch.after
     df = add_audit_columns(spec.rows(spark, lambda df: _within(df, spec, batch)), spec.source, run_ts)
     seen = Observation(f"bronze_{spec.table}_{batch.batch_id}")
     observed = df.observe(

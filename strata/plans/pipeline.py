@@ -6,12 +6,17 @@ written once, good rows and quarantine as two partitions of one version
 write.  A row is in exactly one of them, whatever is recomputed.  Written
 silver tables cut the lineage between jobs, so a lost executor only
 recomputes the current job's stages.
+
+Jobs that do not need one another run side by side: the extractions, the
+dimensions, the marts.  ``incremental`` runs refresh the silver months that
+changed and merge the marts from kept sums (``strata.plans.incremental``,
+``mart_state``) instead of rebuilding both.
 """
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +27,7 @@ from strata.plans import gold, silver
 from strata.plans.bronze import ExtractResult, SourceSpec, extract
 from strata.plans.checks import GATE_THRESHOLDS_PCT
 from strata.plans.gate import dq_gate_observed
+from strata.plans.jobs import side_by_side
 from strata.plans.validate import validate_outputs
 from strata.session import ensure_checkpoint_dir
 from strata.sources.store import TableStore
@@ -46,6 +52,7 @@ class PipelineConfig:
     run_ts: dt.datetime | None = None
     thresholds: Mapping[str, float] = field(default_factory=lambda: dict(GATE_THRESHOLDS_PCT))
     tie_breakers: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    incremental: bool = False
 
     def clock(self) -> tuple[dt.date, dt.datetime]:
         now = self.run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -105,14 +112,18 @@ def _bronze(store: TableStore, name: str) -> DataFrame:
     return store.read("bronze", name)
 
 
-def _good(store: TableStore, name: str) -> DataFrame:
+def good_rows(store: TableStore, name: str) -> DataFrame:
     return store.read("silver", name).drop(PROCESSED_AT, MONTH)
 
 
-def build_silver(store: TableStore, name: str, cfg: PipelineConfig) -> silver.Silver:
-    """One silver table from bronze and the stored silver tables it looks up."""
+_good = good_rows
+
+
+def build_silver(store: TableStore, name: str, cfg: PipelineConfig, bronze: DataFrame | None = None) -> silver.Silver:
+    """One silver table from bronze (all of it unless given) and the stored
+    silver tables it looks up."""
     as_of, _ = cfg.clock()
-    bronze, ties = _bronze(store, name), cfg.tie_breakers.get(name, ())
+    bronze, ties = _bronze(store, name) if bronze is None else bronze, cfg.tie_breakers.get(name, ())
     if name == "customers":
         return silver.silver_customers(bronze, as_of, ties)
     if name == "products":
@@ -125,13 +136,14 @@ def build_silver(store: TableStore, name: str, cfg: PipelineConfig) -> silver.Si
 
 
 def run_silver(store: TableStore, cfg: PipelineConfig, names: Sequence[str] = tuple(SILVER_LAYOUT)) -> dict[str, tuple[int, int]]:
-    """Rebuilds the named tables, dimensions before the facts that probe them."""
+    """Rebuilds the named tables, dimensions (side by side) before the facts
+    that probe them."""
     _, run_ts = cfg.clock()
-    return {
-        name: write_silver(store, name, build_silver(store, name, cfg), run_ts)
-        for name in SILVER_LAYOUT
-        if name in names
-    }
+    done: dict[str, tuple[int, int]] = {}
+    for step in (["products", "customers", "exchange_rates"], ["orders"], ["order_items"]):
+        jobs = {n: (lambda n=n: write_silver(store, n, build_silver(store, n, cfg), run_ts)) for n in step if n in names}
+        done |= side_by_side(store.spark, jobs)
+    return {n: done[n] for n in SILVER_LAYOUT if n in done}
 
 
 def build_marts(store: TableStore, as_of: dt.date, names: Sequence[str] = tuple(gold.MARTS)) -> dict[str, DataFrame]:
@@ -156,8 +168,13 @@ def build_marts(store: TableStore, as_of: dt.date, names: Sequence[str] = tuple(
 
 def run_gold(store: TableStore, cfg: PipelineConfig, names: Sequence[str] = tuple(gold.MARTS)) -> None:
     as_of, run_ts = cfg.clock()
-    for name, df in build_marts(store, as_of, names).items():
-        store.replace("gold", name, df.withColumn(COMPUTED_AT, ts_lit(run_ts)))
+    side_by_side(
+        store.spark,
+        {
+            name: (lambda name=name, df=df: store.replace("gold", name, df.withColumn(COMPUTED_AT, ts_lit(run_ts))))
+            for name, df in build_marts(store, as_of, names).items()
+        },
+    )
 
 
 def run_pipeline(
@@ -165,16 +182,31 @@ def run_pipeline(
     store: TableStore,
     sources: Sequence[SourceSpec],
     cfg: PipelineConfig | None = None,
+    batch_id: str | None = None,
 ) -> PipelineResult:
     """Bronze (all sources) -> silver (dimensions, then orders, then
     items) -> gate (raises ``GateFailed`` before any gold write) -> gold
-    -> validation (raises ``ValidationFailed``)."""
+    -> validation (raises ``ValidationFailed``).  ``batch_id`` names the
+    batches of this run's extractions."""
     cfg = cfg or PipelineConfig()
+    if cfg.run_ts is None:  # one clock for all jobs of the run
+        cfg = replace(cfg, run_ts=cfg.clock()[1])
     _, run_ts = cfg.clock()
     store.ensure_layers()
-    bronze = [extract(spark, store, spec, run_ts=run_ts) for spec in sources]
-    counts = run_silver(store, cfg)
+    bronze = side_by_side(
+        spark, {s.table: (lambda s=s: extract(spark, store, s, run_ts=run_ts, batch_id=batch_id)) for s in sources}
+    )
+    if cfg.incremental:
+        from strata.plans import incremental, mart_state
+
+        refreshed = incremental.refresh_silver(store, cfg)
+        counts = {n: (r.good, r.bad) for n, r in refreshed.items()}
+    else:
+        counts = run_silver(store, cfg)
     gate = dq_gate_observed(spark, counts, cfg.thresholds)
-    run_gold(store, cfg)
+    if cfg.incremental:
+        mart_state.refresh_gold(store, cfg, refreshed)
+    else:
+        run_gold(store, cfg)
     checked = validate_outputs(store)
-    return PipelineResult(bronze, counts, gate, checked)
+    return PipelineResult(list(bronze.values()), counts, gate, checked)

@@ -4,12 +4,15 @@
 a batch is *started* with the watermark it reads from and its day, and
 *committed* with the watermark it reached.  That makes a batch repeatable:
 
-* a batch that did not commit (the job died between its write and its
-  watermark) is taken up again under its own id, or, when the next run
-  brings an id of its own, its partition is dropped and it is *abandoned*;
+* a batch that did not commit is taken up again under its own id.  When the
+  next run brings an id of its own, it depends on where the job died: before
+  its watermark, its partition is dropped and it is *abandoned* (the next
+  batch reads those rows); after it, its rows are whole and the next batch
+  begins behind them, so it is committed;
 * a committed batch asked for again re-reads from where it began, up to
   where it ended -- or, while it is still the latest, up to the newest row,
-  so rows that arrived since join it;
+  so rows that arrived since join it; that is a start again, and if it dies
+  before it commits, the watermark follows the rows its partition holds;
 * its day is the day of its first attempt, so a replay after midnight
   rewrites the same partition.
 
@@ -19,8 +22,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.functions.clock import ts_lit
@@ -60,7 +65,7 @@ def _note(store: TableStore, table: str, status: str, batch_id: str, after, upto
         F.lit(day).alias("ingested_date"),
         ts_lit(dt.datetime.now(dt.timezone.utc)).alias("logged_at"),
     )
-    store.append("control", TABLE, row, partition_by=["source_table"], idempotent=False)
+    store.log(TABLE, "source_table", table, row)
 
 
 def open_batch(
@@ -70,13 +75,19 @@ def open_batch(
     mark: str | None,
     mark_batch: str | None,
     day: dt.date,
+    settle: Callable[[str, dt.date], str | None],
 ) -> Batch:
     """The batch to run now; ``mark`` is the current watermark and
-    ``mark_batch`` the batch that set it."""
+    ``mark_batch`` the batch that set it.  ``settle`` moves the watermark to
+    the last row of a batch's partition and returns it."""
     own = F.col("status") == STARTED
+    # What came before a batch was abandoned is over.
+    lost = F.max(F.when(F.col("status") == ABANDONED, F.col("logged_at"))).over(Window.partitionBy("batch_id"))
     states = (
         log(store)
         .where(F.col("source_table") == table)
+        .withColumn("lost", lost)
+        .where("lost IS NULL OR logged_at >= lost")
         .groupBy("batch_id")
         .agg(
             F.min_by("from_value", F.when(own, F.col("logged_at"))).alias("after"),
@@ -95,8 +106,13 @@ def open_batch(
     if batch_id is None:
         batch_id = unfinished[-1] if unfinished else uuid.uuid4().hex[:12]
     for other in unfinished:
-        if other != batch_id:
-            r = known[other]
+        if other == batch_id:
+            continue
+        r = known[other]
+        if other == mark_batch:
+            mark = settle(other, r["day"])
+            _note(store, table, COMMITTED, other, r["after"], mark, r["day"])
+        else:
             store.drop_partition("bronze", table, {INGESTED_DATE: r["day"].isoformat(), BATCH_ID: other})
             _note(store, table, ABANDONED, other, r["after"], None, r["day"])
     again = known.get(batch_id)
@@ -104,8 +120,15 @@ def open_batch(
         _note(store, table, STARTED, batch_id, mark, None, day)
         return Batch(batch_id, mark, None, day, False)
     closed = again["status"] == COMMITTED and mark_batch != batch_id
+    if again["status"] == COMMITTED and not closed:
+        _note(store, table, STARTED, batch_id, again["after"], None, again["day"])
     return Batch(batch_id, again["after"], again["upto"] if closed else None, again["day"], True)
 
 
 def commit_batch(store: TableStore, table: str, batch: Batch, upto: str | None) -> None:
     _note(store, table, COMMITTED, batch.batch_id, batch.after, upto, batch.day)
+
+
+def note_streamed(store: TableStore, table: str, batch_id: str, day: dt.date) -> None:
+    """A batch a stream has written; the stream keeps its interval itself."""
+    _note(store, table, COMMITTED, batch_id, None, None, day)

@@ -25,7 +25,14 @@ text).
 
 A silver table and its quarantine are written together (``replace_split``):
 one version directory, partitioned by whether a row passed.  Readers of
-either layer see their side of it.
+either layer see their side of it.  ``rewrite_split`` replaces some of its
+partitions: they are written beside the version first, then swapped in while
+the version's ``_SUCCESS`` is away, so a swap that dies halfway shows the
+version before, never a mixture.
+
+Logs (``log``) are append tables with one directory for each key, written by
+one writer each, so that jobs of different keys can log at the same time.
+Their small files are merged now and then.
 
 The root must be shared storage on a cluster (HDFS, object store); the
 filesystem calls go through Hadoop's ``FileSystem`` of that path.
@@ -33,6 +40,7 @@ filesystem calls go through Hadoop's ``FileSystem`` of that path.
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -45,7 +53,14 @@ LAYERS = ("bronze", "silver", "gold", "quarantine", "control")
 _VERSION_PREFIX = "_v="
 _SUCCESS = "_SUCCESS"
 _SCHEMA = "_strata_schema.json"
+_STAGED = "_staged-"
 _PASSED = "_passed"
+PASSED = _PASSED
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Held while a log's schema is first written: jobs of one run log side by side.
+_FIRST = threading.Lock()
+#: Files of one key's log that are merged into one.
+LOG_FILES = 16
 
 
 class TableNotFound(LookupError):
@@ -87,6 +102,12 @@ class TableStore:
         fs, path = self._path(p)
         fs.delete(path, True)
 
+    def _move(self, source: str, target: str) -> None:
+        fs, path = self._path(target)
+        fs.mkdirs(path.getParent())
+        if not fs.rename(self._path(source)[1], path):
+            raise OSError(f"cannot move {source} to {target}")
+
     # -- layout -------------------------------------------------------
     def ensure_layers(self) -> None:
         """K8: create the five layer directories."""
@@ -161,6 +182,10 @@ class TableStore:
         at = f"{path}/{_SCHEMA}"
         return StructType.fromJson(json.loads(self._read_text(at))) if self._exists(at) else None
 
+    def recorded(self, layer: str, name: str) -> StructType | None:
+        """The schema kept beside an append table's data."""
+        return self._recorded(self.table_path(layer, name))
+
     def _read_text(self, p: str) -> str:
         fs, path = self._path(p)
         stream = fs.open(path)
@@ -228,7 +253,7 @@ class TableStore:
         # leftovers of earlier attempts that never committed
         committed = set(self._versions(layer, name))
         for child in self._children(base):
-            if child.startswith(_VERSION_PREFIX) and child < version and child not in committed:
+            if child.startswith(_VERSION_PREFIX) and child < version and child not in committed or child.startswith(_STAGED):
                 self._delete(f"{base}/{child}")
 
     def remove(self) -> None:
@@ -262,6 +287,57 @@ class TableStore:
         self._retire("silver", name, version)
         return version
 
+    def split_version(self, name: str) -> str | None:
+        """Directory of the silver table's current version, if it holds the
+        quarantine too."""
+        side = self._side("silver", name)
+        return side.rsplit("/", 1)[0] if side else None
+
+    def read_split(self, name: str) -> DataFrame:
+        """All rows of a silver table and its quarantine, with ``PASSED``, the
+        reason and the partition columns."""
+        at = self.split_version(name)
+        if at is None:
+            raise TableNotFound(f"silver.{name}")
+        schema = self._recorded(at)
+        return self.spark.read.schema(schema).parquet(at) if self._has_data(at) else empty_frame(self.spark, schema)
+
+    def rewrite_split(self, name: str, df: DataFrame, partition: str, values: Sequence[str | None]) -> None:
+        """Replaces the partitions of ``values`` on both sides by ``df``'s
+        rows, all of which belong to them; other files stay as they are."""
+        at = self.split_version(name)
+        staged = f"{at.rsplit('/', 1)[0]}/{_STAGED}{uuid.uuid4().hex[:8]}"
+        df.write.partitionBy(_PASSED, partition).parquet(staged)
+        self._delete(f"{at}/{_SUCCESS}")
+        for side in ("true", "false"):
+            for value in values:
+                self._delete(f"{at}/{_PASSED}={side}/{partition}={NULL_PARTITION if value is None else value}")
+            for part in self._children(f"{staged}/{_PASSED}={side}"):
+                self._move(f"{staged}/{_PASSED}={side}/{part}", f"{at}/{_PASSED}={side}/{part}")
+        self._write_text(f"{at}/{_SUCCESS}", "")
+        self._delete(staged)
+
+    def log(self, name: str, key: str, value: str, row: DataFrame) -> None:
+        """Adds ``row`` to the part of ``control.<name>`` whose ``key`` is ``value``."""
+        path = self.table_path("control", name)
+        fields = [f for f in row.schema.fields if f.name != key]
+        with _FIRST:
+            if not self._exists(f"{path}/{_SCHEMA}"):
+                self._write_text(f"{path}/{_SCHEMA}", StructType(fields + [row.schema[key]]).json())
+        part = f"{path}/{key}={value}"
+        row.drop(key).write.mode("append").parquet(part)
+        files = [c for c in self._children(part) if not c.startswith(("_", "."))]
+        if len(files) >= LOG_FILES:
+            # Rows are in both for a moment; all readers take a key's latest.
+            merged = f"{path}/{_STAGED}{uuid.uuid4().hex[:8]}"
+            self.spark.read.schema(StructType(fields)).parquet(part).coalesce(1).write.parquet(merged)
+            for c in self._children(merged):
+                if not c.startswith(("_", ".")):
+                    self._move(f"{merged}/{c}", f"{part}/{c}")
+            for c in files:
+                self._delete(f"{part}/{c}")
+            self._delete(merged)
+
     def append(
         self,
         layer: str,

@@ -6,6 +6,7 @@ and the current value of a source is its latest log row (D1 over
 ``updated_at``, ``batch_id``).  Setting twice therefore shows one value,
 the later, exactly like an upsert; the history stays for audits.
 Values are stored as text and cast back to the column's type on use.
+The log's files are merged from time to time, its rows kept.
 """
 from __future__ import annotations
 
@@ -78,7 +79,7 @@ def set_watermark(
         F.lit(batch_id or uuid.uuid4().hex).alias("batch_id"),
         ts_lit(ts).alias("updated_at"),
     )
-    store.append("control", TABLE, df, partition_by=["source_table"], idempotent=False)
+    store.log(TABLE, "source_table", source_table, df)
 
 
 def as_column_literal(value: str, data_type: DataType) -> Column:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.audit import BATCH_ID, INGESTED_DATE, add_audit_columns
 from strata.plans.bronze import BRONZE_PARTITIONS
+from strata.sources import batches
 from strata.sources.store import TableStore
 
 
@@ -72,6 +73,7 @@ def ingest_landed_files(
             .withColumn(BATCH_ID, F.lit(f"{stream_id}-{epoch_id:010d}"))
         )
         store.append("bronze", table, out, BRONZE_PARTITIONS)
+        batches.note_streamed(store, table, f"{stream_id}-{epoch_id:010d}", dt.date.fromisoformat(day))
         taken[epoch_id] = int(rows.get["n"])
 
     query = (

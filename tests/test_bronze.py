@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.plans.bronze import SourceSpec, extract
-from strata.sources import files, jdbc
+from strata.sources import batches, files, jdbc
 from strata.sources import watermark as wm
 
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
@@ -78,21 +78,65 @@ def test_replaying_an_older_batch_takes_no_later_rows(spark, store):
     assert _ids(store) == [1, 2, 3, 4, 5]
 
 
-def test_a_batch_that_died_before_its_mark_is_taken_up_or_dropped(spark, store, monkeypatch):
-    def die(*_, **__):
-        raise RuntimeError("lost")
+def _die(*_, **__):
+    raise RuntimeError("lost")
 
-    for next_id in (None, "next"):
-        extract(spark, store, _numbers([1, 2]))
+
+def _fresh(store):
+    for layer, table in (("bronze", "t"), ("control", "watermarks"), ("control", "batches")):
+        store._delete(store.table_path(layer, table))
+
+
+@pytest.mark.parametrize("at", ["append", "set_watermark", "commit_batch"])
+@pytest.mark.parametrize("own_id,next_id", [("d1", "d2"), (None, None), (None, "d2")])
+def test_a_run_that_dies_at_any_write_loses_and_doubles_nothing(spark, store, monkeypatch, at, own_id, next_id):
+    """The first run or a later one dies at one of its three writes; the next
+    brings its own batch id or none."""
+    for have in ([], [1, 2]):
+        _fresh(store)
+        if have:
+            extract(spark, store, _numbers(have), batch_id="d0")
         with monkeypatch.context() as m:
-            m.setattr(wm, "set_watermark", die)
+            m.setattr({"append": store, "set_watermark": wm, "commit_batch": batches}[at], at, _die)
             with pytest.raises(RuntimeError):
-                extract(spark, store, _numbers([1, 2, 3]))
-        extract(spark, store, _numbers([1, 2, 3, 4]), batch_id=next_id)
-        assert _ids(store) == [1, 2, 3, 4]
-        store._delete(store.table_path("bronze", "t"))
-        for control in ("watermarks", "batches"):
-            store._delete(store.table_path("control", control))
+                extract(spark, store, _numbers([*have, 3]), batch_id=own_id)
+        extract(spark, store, _numbers([*have, 3, 4, 5]), batch_id=next_id)
+        assert _ids(store) == [*have, 3, 4, 5] and wm.get_watermark(store, "t") == "5"
+        assert extract(spark, store, _numbers([*have, 3, 4, 5]), batch_id="d3").rows == 0
+
+
+@pytest.mark.parametrize("at", ["append", "set_watermark", "commit_batch"])
+@pytest.mark.parametrize("next_id", [None, "d2"])
+def test_a_repeated_batch_that_dies_loses_and_doubles_nothing(spark, store, monkeypatch, at, next_id):
+    extract(spark, store, _numbers([1, 2]), batch_id="d1")
+    with monkeypatch.context() as m:
+        m.setattr({"append": store, "set_watermark": wm, "commit_batch": batches}[at], at, _die)
+        with pytest.raises(RuntimeError):
+            extract(spark, store, _numbers([1, 2, 3]), batch_id="d1")
+    extract(spark, store, _numbers([1, 2, 3, 4]), batch_id=next_id)
+    assert _ids(store) == [1, 2, 3, 4] and wm.get_watermark(store, "t") == "4"
+
+
+def test_an_abandoned_batch_begins_anew(spark, store, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(wm, "set_watermark", _die)
+        with pytest.raises(RuntimeError):
+            extract(spark, store, _numbers([1]), batch_id="a")
+    extract(spark, store, _numbers([1, 2]), batch_id="b")
+    extract(spark, store, _numbers([1, 2, 3]), batch_id="a")
+    extract(spark, store, _numbers([1, 2, 3]), batch_id="a")  # again: from 2, not from the start
+    assert _ids(store) == [1, 2, 3]
+
+
+def test_logs_stay_few_files(spark, store):
+    import glob
+
+    for i in range(20):
+        wm.set_watermark(store, "t", str(i), batch_id=f"b{i}")
+        wm.set_watermark(store, "u", str(-i), batch_id=f"b{i}")
+    for table in ("t", "u"):
+        assert len(glob.glob(f"{store.table_path('control', 'watermarks')}/source_table={table}/*.parquet")) <= 16
+    assert wm.log(store).count() == 40 and wm.get_watermark(store, "t") == "19" and wm.get_watermark(store, "u") == "-19"
 
 
 def test_partition_values_keep_their_type(spark, store):
