@@ -399,6 +399,12 @@ UNION ALL
 SELECT DISTINCT CAST(NULL AS DATE), base_currency, quote_currency, CAST(1 AS DECIMAL(12,6)), 2 FROM b_fx
 """
 
+FX_CSV_LINES = """
+SELECT DISTINCT quote_currency, 'rate_date_not_null' AS _dq_failed_checks,
+       'no date,' || base_currency || ',' || quote_currency || ',1.000000' AS line, batch_id
+FROM b_fx, (VALUES ('b1'), ('b2')) AS runs(batch_id)
+"""
+
 STORE_ORDERS = f"""
 SELECT strftime(order_date, '%Y-%m') AS "month", count(*) AS "rows",
        CAST(sum({cents('order_total_usd')}) AS BIGINT) AS total_cents,
@@ -455,6 +461,7 @@ def _one_pass() -> dict[str, str]:
         "bronze_customers_incremental": _q(CUSTOMERS_SECOND),
         "bronze_products_csv": _q(PRODUCTS),
         "bronze_fx_csv": _q(FX_CSV),
+        "quarantine_fx_csv_lines": _q(FX_CSV_LINES),
         "checks_all_fire": _all_fire(),
         "silver_store_orders": _q(STORE_ORDERS),
         "quarantine_store_orders": _q("SELECT order_id, customer_id, order_date, _dq_failed_checks FROM o_flag WHERE _dq_failed_checks <> ''"),

@@ -65,19 +65,37 @@ def _actual(df: DataFrame, column: str) -> str:
     raise KeyError(column)
 
 
+#: Rank error of the stride boundaries: one in so many rows.
+ACCURACY = 10_000
+
+
 def jdbc_bounds(df: DataFrame, column: str) -> tuple:
-    """(min, max) of a numeric column over the rows of ``df``.  A DataFrame
-    aggregate over a JDBC read, which Spark pushes into the database
-    together with the frame's filter (``pushDownAggregate``)."""
+    """(min, max) of a numeric column over the rows of ``df``."""
     row = df.agg(F.min(column), F.max(column)).first()
     return row[0], row[1]
 
 
+def quantile_strides(df: DataFrame, column: str, parts: int) -> list:
+    """Increasing boundaries that cut the rows of ``df`` into about equal
+    parts; few where a value holds more than a part's rows."""
+    at = df.agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], ACCURACY)).first()[0]
+    return sorted(set(at or []))
+
+
+def stride_predicates(column: str, bounds: list) -> list[str]:
+    """WHERE clauses of the parts: a row is in exactly one, null in the first."""
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{column} <= {bounds[0]} OR {column} IS NULL", *inner, f"{column} > {bounds[-1]}"]
+
+
 def _jdbc_reader(conn: Mapping, table: str, split_col: str):
     """``read(spark, keep)``: the rows that ``keep`` (frame -> filtered
     frame) lets through, read in parallel.  The strides divide the rows that
-    are wanted, not the table: an incremental read would otherwise find all
-    its new rows in the last one."""
+    are wanted, not the table, and by their quantiles, not by the width of
+    their range: the split column alone is read first, in strides of equal
+    width, and gaps or clusters of its values leave no long stride."""
 
     def read(spark: SparkSession, keep=lambda df: df) -> DataFrame:
         props = _props(conn)
@@ -87,10 +105,13 @@ def _jdbc_reader(conn: Mapping, table: str, split_col: str):
             column = _actual(whole, split_col)
             lo, hi = jdbc_bounds(keep(lowercase_columns(whole)), split_col)
             if lo is not None and hi is not None and hi > lo:
-                whole = jdbc.jdbc_scan(
+                even = jdbc.jdbc_scan(
                     spark, conn["url"], table, props, partition_column=column,
                     lower_bound=int(lo), upper_bound=int(hi) + 1, num_partitions=parts,
                 )
+                bounds = quantile_strides(keep(lowercase_columns(even)), split_col, parts)
+                quoted = jdbc.quoted(spark, conn["url"], column)
+                whole = jdbc.jdbc_scan(spark, conn["url"], table, props, predicates=stride_predicates(quoted, bounds))
         return keep(lowercase_columns(whole))
 
     return read

@@ -216,7 +216,7 @@ def live_customer_orders(spark, sf_dir):
     lake = _lake(spark, sf_dir)
     orders_src = testdata.source_frame(testdata.orders(spark, sf_dir))
     customers_src = testdata.source_frame(testdata.customers(spark, sf_dir))
-    return live.live_customer_orders(orders_src, customers_src, lake.customer_360())
+    return live.live_customer_orders(orders_src, customers_src, lake.customer_360(), most_keys=1_000)
 
 
 # -- incremental extraction, run against a private store -------------------
@@ -360,7 +360,20 @@ def bronze_products_csv(spark, sf_dir):
 def bronze_fx_csv(spark, sf_dir):
     """S5, B-fx: a growing CSV file with one malformed date a currency.  Each
     rate arrives once; the malformed ones on both runs, for the quarantine."""
-    store = _scratch_store(spark, "bronze_fx_csv")
+    store = _fx_csv_store(spark, sf_dir, "bronze_fx_csv")
+    rows = store.read("bronze", "exchange_rates")
+    return _and_remove(store, rows.groupBy(*FX_KEYS, "rate").agg(F.count(F.lit(1)).alias("copies")))
+
+
+def quarantine_fx_csv_lines(spark, sf_dir):
+    """The quarantined rates of that file, with the lines they were in."""
+    store = _fx_csv_store(spark, sf_dir, "quarantine_fx_csv_lines")
+    bad = silver.silver_exchange_rates(store.read("bronze", "exchange_rates")).quarantine
+    return _and_remove(store, bad.select("quote_currency", FAILED, F.col(files.MALFORMED_LINE).alias("line"), F.col("_batch_id").alias("batch_id")))
+
+
+def _fx_csv_store(spark, sf_dir, name):
+    store = _scratch_store(spark, name)
     rates = testdata.source_frame(testdata.exchange_rates(spark, sf_dir)).withColumn("rate_date", F.col("rate_date").cast("string"))
     bad = rates.select(F.lit("no date").alias("rate_date"), "base_currency", "quote_currency", F.lit(1).cast("decimal(12,6)").alias("rate")).distinct()
     for k, (rows, ts) in enumerate(((rates.where(F.col("rate_date") < str(FIRST_RUN_CUTOFF)), T1), (rates, T2))):
@@ -368,8 +381,7 @@ def bronze_fx_csv(spark, sf_dir):
         rows.unionByName(bad).write.csv(path, header=True)
         spec = SourceSpec("exchange_rates", "fx-csv", lambda s, p=path: files.exchange_rates_csv(s, p), "rate_date", keep_unmarked=True)
         extract(spark, store, spec, run_ts=ts, batch_id=f"b{k + 1}")
-    rows = store.read("bronze", "exchange_rates")
-    return _and_remove(store, rows.groupBy(*FX_KEYS, "rate").agg(F.count(F.lit(1)).alias("copies")))
+    return store
 
 
 # -- the stored tables of one whole pipeline run -----------------------------
@@ -517,6 +529,7 @@ QUERIES: dict[str, Query] = {
     "bronze_customers_incremental": bronze_customers_incremental,
     "bronze_products_csv": bronze_products_csv,
     "bronze_fx_csv": bronze_fx_csv,
+    "quarantine_fx_csv_lines": quarantine_fx_csv_lines,
     "checks_all_fire": checks_all_fire,
     "silver_store_orders": silver_store_orders,
     "quarantine_store_orders": quarantine_store_orders,

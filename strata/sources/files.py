@@ -19,12 +19,20 @@ TRUE_WORDS = ["1", "true", "t", "yes", "y"]
 FALSE_WORDS = ["0", "false", "f", "no", "n"]
 
 
+#: The text of a line with a value that its column's type cannot hold; NULL
+#: where all could be read.  It goes with the row to bronze and quarantine.
+MALFORMED_LINE = "_malformed_line"
+
+
 def csv_scan(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
     """Declared-schema CSV read; malformed values become NULL (PERMISSIVE)
-    and are caught by the silver checks rather than failing the job.  An
-    incremental read keeps rows whose watermark is NULL (``keep_unmarked``),
-    so they get there on every run, not on the first alone."""
-    return spark.read.csv(path, header=header, schema=schema, mode="PERMISSIVE")
+    and are caught by the silver checks rather than failing the job; the line
+    they stood in is kept beside them.  An incremental read keeps rows whose
+    watermark is NULL (``keep_unmarked``), so they get there on every run, not
+    on the first alone."""
+    return spark.read.csv(
+        path, header=header, schema=f"{schema}, {MALFORMED_LINE} STRING", mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED_LINE
+    )
 
 
 def parse_flag(col: str) -> F.Column:

@@ -53,3 +53,8 @@ def jdbc_scan(
             .option("numPartitions", str(num_partitions))
         )
     return reader.load()
+
+
+def quoted(spark: SparkSession, url: str, column: str) -> str:
+    """The column's name as the database of ``url`` wants it in SQL text."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)

@@ -51,3 +51,45 @@ def test_live_join_pushes_filters_into_both_databases(spark):
     assert len({x.split("JDBCRelation(")[1].split(")")[0] for x in scans}) == 2
     assert all("LessThanOrEqual(customer_id,3)" in x for x in scans)
     assert any("order_status" in x.split("PushedFilters")[1] for x in scans if "(orders)" in x)
+
+
+def test_clustered_keys_spread_over_the_strides(spark, store):
+    """Two far clusters, one of them dense: strides of equal width would put
+    nearly all rows into one."""
+    url = database()
+    ids = [*range(0, 3000), *range(10_000_000, 10_001_000, 10), 2_000_000_000]
+    orders(spark, ids, 1).write.jdbc(url, "orders", "overwrite", PROPS)
+    spec = retail_sources({"orders_db": {"url": url, "driver": DERBY, "partitions": 8}})[0]
+    df = spec.rows(spark, lambda df: df)
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == len(ids) and max(sizes) <= 2 * len(ids) / 8
+    assert extract(spark, store, spec, batch_id="a").rows == len(ids)
+
+
+def test_repeated_and_null_split_values_are_read_once():
+    from strata.plans.sources_config import stride_predicates
+
+    assert stride_predicates("K", []) == ["1 = 1"]
+    assert stride_predicates("K", [5]) == ["K <= 5 OR K IS NULL", "K > 5"]
+    assert stride_predicates("K", [5, 9]) == ["K <= 5 OR K IS NULL", "K > 5 AND K <= 9", "K > 9"]
+
+
+def test_live_join_hands_few_keys_to_the_other_database(spark):
+    shop, crm = database(), database()
+    orders(spark, range(40), 3).write.option("createTableColumnTypes", "order_status VARCHAR(20)").jdbc(shop, "orders", "overwrite", PROPS)
+    people = spark.createDataFrame([(i, f"land{i}", "VIP") for i in range(2, 30)], "customer_id BIGINT, country STRING, customer_segment STRING")
+    people.write.jdbc(crm, "customers", "overwrite", PROPS)
+    lower = lambda df: df.select(*[F.col(c).alias(c.lower()) for c in df.columns])
+    read = lambda url, table: lower(spark.read.format("jdbc").options(url=url, dbtable=table, **PROPS).load())
+    gold = spark.createDataFrame([], "customer_id BIGINT, lifetime_order_count BIGINT, lifetime_revenue_usd DOUBLE")
+    found = {}
+    for most in (1000, 5, 3, 0):
+        out = live.live_customer_orders(read(shop, "orders"), read(crm, "customers").where("customer_id < 6"), gold, most)
+        found[most] = sorted((r["customer_id"], r["open_order_count"], r["country"]) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        pushed = {x.split("JDBCRelation(")[1].split(")")[0]: x.split("PushedFilters")[1] for x in plan.splitlines() if "Scan JDBC" in x}
+        # Four customers are few enough for a bound of five, not for one of three.
+        assert all(("In(customer_id, [2,3,4,5])" in p) == (most >= 5) for p in (pushed["orders"], pushed["customers"]))
+    assert found[1000] == found[5] == found[3] == found[0] == [(i, len(range(i, 40, 7)), f"land{i}") for i in range(2, 6)]
+    none = live.live_customer_orders(read(shop, "orders").where("order_id < 0"), read(crm, "customers"), gold, 1000)
+    assert none.collect() == []
