@@ -129,7 +129,8 @@ def nearest(
     whole = vectors.select(
         F.col(id_col).alias("id"), integers(F.col(vector_col), s).alias("v"), F.coalesce(queries, F.lit(False)).alias("asks")
     ).where("v is not null")
-    whole = saved(whole)
+    # Rows repeated whole are one candidate that counts k times at most.
+    whole = saved(whole.groupBy("id", "v", "asks").agg(F.least(F.count(F.lit(1)), F.lit(s.k)).cast("int").alias("times")))
     n, n_queries = whole.agg(F.count(F.lit(1)), F.sum(F.when(F.col("asks") & F.col("id").isNotNull(), 1).otherwise(0))).first()
     shards, blocks = max(1, -(-n // s.shard_rows)), max(1, -(-(n_queries or 0) // s.block_queries))
     deal = lambda seed, parts: F.pmod(F.xxhash64(F.lit(seed), "id", "v"), F.lit(parts))
@@ -139,12 +140,12 @@ def nearest(
     asked = whole.where("asks and id is not null").dropDuplicates(["id", "v"]).withColumn("shard", every(shards)).select(
         cell(F.col("shard"), deal(1, blocks)).alias("cell"), "id", "v"
     )
-    stored = whole.withColumn("block", every(blocks)).select(cell(deal(2, shards), F.col("block")).alias("cell"), "id", "v")
+    stored = whole.withColumn("block", every(blocks)).select(cell(deal(2, shards), F.col("block")).alias("cell"), "id", "v", "times")
 
     def run(ask: pa.Table, have: pa.Table) -> pa.Table:
         ids = have["id"].to_numpy(zero_copy_only=False) if not have["id"].null_count else None
-        names = ["query_id", "id", "score"]
-        kinds = [pa.int64()] * 3
+        names = ["query_id", "id", "score", "times"]
+        kinds = [pa.int64()] * 3 + [pa.int32()]
         if not ask.num_rows or not have.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
         if ids is None:  # null ids sort last among equals and are nobody's own
@@ -152,9 +153,11 @@ def nearest(
         row, col, score = search(
             np.asarray(ask["id"]), _matrix(ask["v"]), np.asarray(ids), _matrix(have["v"]), s
         )
-        return pa.table([ask["id"].take(pa.array(row)), have["id"].take(pa.array(col)), pa.array(score)], names=names)
+        col_ = pa.array(col)
+        return pa.table([ask["id"].take(pa.array(row)), have["id"].take(col_), pa.array(score), have["times"].take(col_)], names=names)
 
-    found = asked.groupBy("cell").cogroup(stored.groupBy("cell")).applyInArrow(run, "query_id long, id long, score long")
+    found = asked.groupBy("cell").cogroup(stored.groupBy("cell")).applyInArrow(run, "query_id long, id long, score long, times int")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.k).select("query_id", "rank", "id", "score")
 
