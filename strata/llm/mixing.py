@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import saved, slices, word_counts
+from .common import WORD_PATTERN, saved, slices, word_counts
 
 P = "mix__"  # columns of the plan beside the document's own
 
@@ -182,15 +182,22 @@ def plan(
     part = units.where(~F.col("whole")).select("rank", P + "block", "missing")
     keys = (
         narrow.join(F.broadcast(part), ["rank", P + "block"])  # one row per source at most
-        .groupBy("rank", "missing", P + "key")
+        .where(F.col(P + "size") > 0)
+        .groupBy("rank", "missing", P + "key", F.length(F.bin(P + "size")).alias("bits"))
         .agg(F.sum(P + "size").alias("words"))
-        .withColumn("upto", F.sum("words").over(Window.partitionBy("rank").orderBy(P + "key").rowsBetween(Window.unboundedPreceding, 0)))
     )
+    # The documents up to the key whose sum is nearest, of all sizes or of those
+    # whose size has 1, 2, 3, .. bits at most: one long document at the cut is
+    # left out where the shorter ones behind it fill the gap better.
+    keys = keys.withColumn("top", F.max("bits").over(Window.partitionBy("rank")))
+    keys = keys.withColumn("level", F.explode(F.sequence("bits", "top")))
+    running = Window.partitionBy("rank", "level").orderBy(P + "key").rangeBetween(Window.unboundedPreceding, 0)
+    keys = keys.withColumn("upto", F.sum("words").over(running))
     near = F.abs(F.col("upto") - F.col("missing"))
+    longest = F.when(F.col("level") < F.col("top"), F.pow(F.lit(2), F.col("level")).cast("long") - 1)
     cutoff = (
         keys.where(near < F.col("missing"))  # nearer than taking none
-        .groupBy("rank").agg(F.min_by(F.struct(P + "key"), F.struct(near, F.col(P + "key"))).alias("best"))
-        .select("rank", F.col("best")[P + "key"].alias("cutoff"))
+        .groupBy("rank").agg(F.min_by(F.struct(F.col(P + "key").alias("key"), longest.alias("longest")), F.struct(near, -F.col("level"), P + "key")).alias("cutoff"))
     )
 
     quota_rows = {r["rank"]: r["n"] for r in units.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -217,8 +224,11 @@ def plan(
     rows = with_block(named.withColumn(P + "key", _key(id_col, source_col, mix)), source_col)
     rows = rows.join(by_block, (rows[P + "s_rank"] == F.col(P + "rank")) & (rows[P + "block"] == F.col(P + "b")), "left")
     none = F.array().cast("array<struct<epoch:int,shard:bigint>>")
+    cut = F.col(P + "part")["cutoff"]
+    # Sizes are asked for in this block alone, and only if it leaves some out.
+    size = F.col(P + "size") if sizes_too else F.coalesce(F.regexp_count(text_col, F.lit(WORD_PATTERN)), F.lit(0))
     partly = F.when(
-        F.col(P + "key") <= F.col(P + "part")["cutoff"],
+        F.col(P + "part").isNotNull() & (F.col(P + "key") <= cut["key"]) & (cut["longest"].isNull() | (size <= cut["longest"])),
         F.array(F.struct(F.col(P + "part")["epoch"].alias("epoch"), F.col(P + "part")["shard"].alias("shard"))),
     )
     return rows.select(

@@ -93,3 +93,33 @@ def test_mix_of_odd_rows(spark):
     assert sorted(r["taken"] for r in got) == [0, 0, 0, 3, 3]  # rows of one doc_id are drawn alike
     assert {(r["source_size"], r["target"]) for r in got} == {(6, 9.0), (0, 0.0)}
     assert mixing.digest(df.limit(0)).count() == 0 and mixing.mixed(df.limit(0)).count() == 0
+
+
+def test_a_long_document_at_the_cut_is_left_out(spark):
+    """One document of 1,000 words and 100 of ten: 3,000 can be met exactly."""
+    rows = [(i, "w " * (1000 if i == 50 else 10), "s") for i in range(101)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r["doc_id"]: (r["taken"], r["target"]) for r in mixing.digest(df).collect()}
+    assert sum(t for t, _ in got.values()) == 3000.0 == got[0][1]
+    copies = [r["doc_id"] for r in mixing.mixed(df).collect()]  # sizes are counted in this block only
+    assert sorted(copies) == sorted(k for k, (t, _) in got.items() for _ in range(t // (1000 if k == 50 else 10)))
+
+
+def test_the_cut_is_as_near_as_any_length_limit_allows(spark):
+    rng = np.random.default_rng(12)
+    for seed in range(3):
+        sizes = (rng.pareto(1.0, 60) * 8 + 1).astype(int).tolist()
+        df = spark.createDataFrame([(i, "w " * n, "s") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+        m = Mix(seed=seed)
+        found = mixing.plan(df, mix=m).withColumn("k", mixing._key("doc_id", "source", m)).collect()
+        goal = 1.5 * sum(sizes)
+        taken = sum(r["mix__size"] * len(r["mix__copies"]) for r in found)
+        in_order = sorted((r["k"], r["mix__size"]) for r in found)
+        reach = [sum(sizes)]
+        for bits in range(1, 40):
+            at = sum(sizes)
+            for _, n in in_order:
+                if n < 1 << bits:
+                    at += n
+                    reach.append(at)
+        assert abs(taken - goal) == min(abs(x - goal) for x in reach)
