@@ -25,7 +25,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
@@ -41,7 +41,9 @@ class Settings:
     hidden: int = 16
     attention: int = 8
     train_docs: int = 3_000
-    train_passages: int = 256
+    #: All passages of a sampled text count; rows are taken while their passages
+    #: together stay within this, and a text of a hundredth of it is not taken.
+    train_passages: int = 300_000
     rounds: int = 200
     rate: float = 0.03
     decay: float = 1e-3
@@ -214,18 +216,22 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
         for part in slices(batches, "text"):
             x, n = passages(part.column("text"), s)
             start = np.cumsum(n) - n
-            take = [a + np.linspace(0, c - 1, min(c, s.train_passages)).astype(int) for a, c in zip(start, n)]
+            few = np.flatnonzero(n <= s.train_passages // 100)
+            rows_ = pa.array(few)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(P + "id"), part.column(P + "y"), pa.array([len(t) for t in take], pa.int32()),
-                    pa.array([x[t].astype("<f4").tobytes() for t in take], pa.binary()),
+                    part.column(P + "id").take(rows_), part.column(P + "y").take(rows_), pa.array(n[few].astype(np.int32)),
+                    pa.array([x[a : a + c].astype("<f4").tobytes() for a, c in zip(start[few], n[few])], pa.binary()),
                 ],
                 names=["id", "y", "n", "x"],
             )
 
     kind = labels.schema["doc_id"].dataType.simpleString()
     # The bound holds for a doc_id of many texts too.
-    found = rows.mapInArrow(run, f"id {kind}, y int, n int, x binary").orderBy(F.xxhash64("id"), "id", "y", "x").limit(s.train_docs).collect()
+    order = [F.xxhash64("id"), "id", "y", "x"]
+    found = rows.mapInArrow(run, f"id {kind}, y int, n int, x binary").orderBy(*order).limit(s.train_docs)
+    upto = F.sum("n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))  # train_docs rows
+    found = found.withColumn("upto", upto).where(F.col("upto") <= s.train_passages).collect()
     if not found:
         return 0.5
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in found), "<f4").reshape(-1, len(COUNTS) + s.buckets)
