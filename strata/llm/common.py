@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -24,26 +25,11 @@ _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-# Hash parameters: an odd base, its inverse modulo 2**64, a random value for each byte.
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE_VALUE = np.random.Generator(np.random.PCG64(20240607)).integers(
-    1, 1 << 63, 256, dtype=np.uint64
-)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept for the next slice."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        if size <= 8 * SLICE_BYTES:
-            _powers[int(base)] = have
-    return have[:n]
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Ranges of more 8-byte words are hashed one by one.
+_LANES = 32
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -57,21 +43,75 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _in_lanes(length: np.ndarray, count: np.ndarray, lane, whole) -> np.ndarray:
+    """64-bit hash of each range: its length, then its lanes (``lane(which, k)``),
+    each mixed before the next comes in.  No place is only multiplied by a
+    power of one base, so no pattern of equal symbols cancels out.  Ranges of
+    more than ``_LANES`` lanes are left to ``whole(which)``."""
+    out = mix64(length.astype(np.uint64) * _STEP + _SEED)
+    far = np.flatnonzero(count > _LANES)
+    near = np.flatnonzero((count > 0) & (count <= _LANES))
+    k = 0
+    while len(near):
+        out[near] = mix64(out[near] ^ lane(near, k))
+        k += 1
+        near = near[count[near] > k]
+    if len(far):
+        out[far] = whole(far)
+    return out
+
+
+def byte_lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one little-endian number."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def bytes_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of bytes; equal content, equal hash.  Ranges
+    of one length up to eight bytes never share one."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    length, lanes = ends - starts, byte_lanes(data)
+
+    def lane(which: np.ndarray, k: int) -> np.ndarray:
+        return lanes[starts[which] + 8 * k] & _MASKS[np.minimum(length[which] - 8 * k, 8)]
+
+    def whole(which: np.ndarray) -> list[int]:
+        view = memoryview(np.ascontiguousarray(data))
+        return [xxhash.xxh64_intdigest(view[a:b], 1) for a, b in zip(starts[which].tolist(), ends[which].tolist())]
+
+    return _in_lanes(length, -(-length // 8), lane, whole)
+
+
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each range values[start:end]; equal content, equal hash."""
+    """64-bit hash of each range values[start:end] of 64-bit numbers."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    total = np.empty(len(values) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(values * _power(_BASE, len(values)), out=total[1:])
-    out = (total[ends] - total[starts]) * _power(_INVERSE, len(values) + 1)[starts]
-    return mix64(out + (ends - starts).astype(np.uint64))
+
+    def whole(which: np.ndarray) -> list[int]:
+        view = memoryview(np.ascontiguousarray(values)).cast("B")
+        return [xxhash.xxh64_intdigest(view[8 * a : 8 * b], 2) for a, b in zip(starts[which].tolist(), ends[which].tolist())]
+
+    return _in_lanes(ends - starts, ends - starts, lambda which, k: values[starts[which] + k], whole)
 
 
 def window_hash(values: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every run of ``width`` neighbours, whatever document they are in."""
-    at = np.arange(max(0, len(values) - width + 1))
-    return range_hash(values, at, at + width)
+    """Hash of every run of ``width`` neighbours, whatever document they are
+    in: hashes of runs of 1, 2, 4, .. neighbours, put together in order."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, at, size, run = None, 0, 1, values.astype(np.uint64, copy=False)
+    while True:
+        if width & size:
+            part = run[at : at + n]
+            out = mix64(part + _SEED) if out is None else mix64(out * _STEP + part)
+            at += size
+        if 2 * size > width:
+            return out
+        run = mix64(run[:-size] * _STEP + run[size:])
+        size *= 2
 
 
 class Words(NamedTuple):
@@ -93,7 +133,7 @@ class Words(NamedTuple):
 
     def hashes(self, data: np.ndarray | None = None) -> np.ndarray:
         data = self.data if data is None else data
-        return range_hash(_BYTE_VALUE[data], self.start, self.end)
+        return bytes_hash(data, self.start, self.end)
 
 
 def word_counts(texts: pa.Array) -> np.ndarray:
@@ -172,12 +212,6 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.asarray(starts, np.int64), counts) + step
 
 
-def binary_array(blob: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Ranges of bytes that follow one another, as a binary column."""
-    raw = np.ascontiguousarray(blob).tobytes()
-    return pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())
-
-
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's bigint."""
     return x.view(np.int64)
@@ -207,7 +241,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if found is None:
         found = spark.conf.get("spark.checkpoint.dir", None)
         if found is None:
-            if not sc.master.startswith("local"):
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             import tempfile
 

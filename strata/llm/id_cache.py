@@ -12,9 +12,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
-from .common import _BYTE_VALUE, ragged, range_hash
+from .common import _MASKS as TAIL
+from .common import byte_lanes, bytes_hash, ragged
 
-#: Units a worker remembers: some 35 bytes each.
+#: Units a worker remembers: some 60 bytes each.
 MOST_UNITS = 800_000
 #: New units are merged into the sorted store when they are this many.
 MERGE_UNITS = 50_000
@@ -38,12 +39,13 @@ class IdCache:
 
     def _clear(self) -> None:
         self.keys = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]  # merged, recent
-        self.places = [np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)]  # start, count
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        # First id, ids, first byte, bytes of each.
+        self.places = [np.zeros((0, 4), np.int64), np.zeros((0, 4), np.int64)]
+        self.ids, self.bytes = Pool(np.uint32), Pool(np.uint8)
 
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, count) of each key; count is -1 where it is not known."""
-        out = np.full((len(keys), 2), -1, np.int64)
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key; its count of ids is -1 where it is not known."""
+        out = np.full((len(keys), 4), -1, np.int64)
         for have, places in zip(self.keys, self.places):
             if len(have):
                 at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
@@ -51,20 +53,22 @@ class IdCache:
                 out[hit] = places[at[hit]]
         return out
 
-    def _add(self, keys: np.ndarray, ids: Iterable[list[int]]) -> np.ndarray:
+    def _store(self, texts: list[bytes], ids: Iterable[list[int]]) -> np.ndarray:
+        """Places of units that are new to the pools."""
         flat, counts = array("I"), []
         for x in ids:
             flat.extend(x)
             counts.append(len(x))
-        counts = np.array(counts, np.int64)
-        need = self.used + len(flat)
-        if need > len(self.pool):
-            grown = np.zeros(max(need, 2 * len(self.pool)), np.uint32)
-            grown[: self.used] = self.pool[: self.used]
-            self.pool = grown
-        self.pool[self.used : need] = np.frombuffer(flat, np.uint32) if len(flat) else 0
-        places = np.stack([self.used + np.cumsum(counts) - counts, counts], 1)
-        self.used = need
+        places = np.zeros((len(texts), 4), np.int64)
+        for c, size in ((1, counts), (3, list(map(len, texts)))):
+            places[:, c] = size
+            places[:, c - 1] = np.cumsum(places[:, c]) - places[:, c]
+        places[:, 0] += self.ids.add(np.frombuffer(flat, np.uint32) if len(flat) else np.zeros(0, np.uint32))
+        places[:, 2] += self.bytes.add(np.frombuffer(b"".join(texts), np.uint8))
+        return places
+
+    def _add(self, keys: np.ndarray, texts: list[bytes], ids: Iterable[list[int]]) -> np.ndarray:
+        places = self._store(texts, ids)
         self._merge(1, keys, places)
         if len(self.keys[1]) > MERGE_UNITS:
             self._merge(0, self.keys[1], self.places[1])
@@ -86,14 +90,54 @@ class IdCache:
         ``encode_new`` gets units (and their numbers) met for the first time."""
         if len(self.keys[0]) + len(self.keys[1]) > self.most:
             self._clear()
-        keys, first, back = np.unique(range_hash(_BYTE_VALUE[data], start, end), return_index=True, return_inverse=True)
-        places = self._find(keys)
+        keys, first, back = np.unique(bytes_hash(data, start, end), return_index=True, return_inverse=True)
+        places, length = self._find(keys), end - start
+        raw = data.tobytes()
+        spelled = lambda units: [raw[a:b] for a, b in zip(start[units].tolist(), end[units].tolist())]
         new = np.flatnonzero(places[:, 1] < 0)
         if len(new):
-            raw, unit = data.tobytes(), first[new]
-            texts = [raw[a:b] for a, b in zip(start[unit].tolist(), end[unit].tolist())]
-            places[new] = self._add(keys[new], encode_new(texts, unit))
+            texts = spelled(first[new])
+            places[new] = self._add(keys[new], texts, encode_new(texts, first[new]))
+        # Units that are not what their hash found, if there are any.
+        odd = np.flatnonzero(differ(data, start, length, self.bytes.values, places[back, 2], places[back, 3]))
+        if len(odd):
+            texts = spelled(odd)
+            back[odd] = len(places) + np.arange(len(odd))
+            places = np.concatenate([places, self._store(texts, encode_new(texts, odd))])
         counts = places[back, 1]
-        ids = self.pool[ragged(places[back, 0], counts)].astype("<u4", copy=False).tobytes()
+        ids = self.ids.values[ragged(places[back, 0], counts)].astype("<u4", copy=False).tobytes()
         upto = np.concatenate([[0], np.cumsum(counts)])[edges] * 4
         return [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
+
+
+def differ(a: np.ndarray, a0: np.ndarray, a_len: np.ndarray, b: np.ndarray, b0: np.ndarray, b_len: np.ndarray) -> np.ndarray:
+    """Whether range a0 of ``a`` and range b0 of ``b`` hold different bytes,
+    compared eight at a time."""
+    out = a_len != b_len
+    x, y = byte_lanes(a), byte_lanes(b)
+    left = np.flatnonzero(~out & (a_len > 0))
+    k = 0
+    while len(left):
+        unlike = (x[a0[left] + k] ^ y[b0[left] + k]) & TAIL[np.minimum(a_len[left] - k, 8)]
+        out[left[unlike != 0]] = True
+        k += 8
+        left = left[(unlike == 0) & (a_len[left] > k)]
+    return out
+
+
+class Pool:
+    """Numbers one after the other in an array that grows."""
+
+    def __init__(self, kind: type):
+        self.values, self.used = np.zeros(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> int:
+        """Where ``more`` now begins."""
+        begin, need = self.used, self.used + len(more)
+        if need > len(self.values):
+            grown = np.zeros(max(need, 2 * len(self.values)), self.values.dtype)
+            grown[:begin] = self.values[:begin]
+            self.values = grown
+        self.values[begin:need] = more
+        self.used = need
+        return begin

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix64, range_hash, saved, slices, window_hash, words_of
+from .common import bytes_hash, mix64, saved, slices, window_hash, words_of
 
 #: Counts of a document, as columns beside its own; the prefix keeps them apart.
 PREFIX = "rules__"
@@ -80,7 +80,7 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     per_line = np.searchsorted(w.start, l1) - np.searchsorted(w.start, l0)
     l0, l1 = l0[per_line > 0], l1[per_line > 0]
     line_doc = np.searchsorted(w.text_start, l0, "right") - 1
-    _, first = _distinct_repeats(line_doc, range_hash(w.data.astype(np.uint64) + np.uint64(1), l0, l1))
+    _, first = _distinct_repeats(line_doc, bytes_hash(w.data, l0, l1))
 
     # Words in 3-word windows that occur twice or more in the document.
     covered = np.zeros(len(w.start), bool)

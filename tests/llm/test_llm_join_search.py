@@ -202,3 +202,48 @@ def test_topk_of_odd_vectors(spark):
     assert topk.digest(df.limit(0)).count() == 0
     big = spark.createDataFrame([(0, [3e5, -3e5]), (1, [3e5, 1.0]), (2, [-3e5, 1.0])], "vec_id long, embedding array<double>")
     assert [(r["vec_id"], r["score"]) for r in topk.digest(big).orderBy("rank").collect()] == [(1, 19200000 * 19200000 - 19200000 * 64), (2, -19200000 * 19200000 - 19200000 * 64)]
+
+
+def test_repeated_rows_do_not_fill_a_cell(spark, monkeypatch):
+    """A third of the rows is one row: results count it k times, cells once."""
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(1, 400)]
+    rows += [(1000, [0.9] * 8)] * 200 + [(None, [0.8] * 8)] * 5
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    s = topk.Settings(shard_rows=50, block_queries=10)
+    sizes, real = [], topk.saved
+    monkeypatch.setattr(topk, "saved", lambda d: (lambda x: (sizes.append(x.count()), x)[1])(real(d)))
+    got = sorted(((r["query_id"], r["rank"], r["id"] or -1, r["score"]) for r in topk.nearest(df, F.col("vec_id") % 20 == 0, s=s).collect()))
+    assert sizes == [401]
+    ints = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q, v in sorted({(i, tuple(v)) for i, v in ints if i is not None and i % 20 == 0}):
+        scores = sorted(((-int(np.dot(v, w)), i is None, i or 0) for i, w in ints if i != q))[: s.k]
+        want += [(q, r + 1, -1 if null else i, -x) for r, (x, null, i) in enumerate(scores)]
+    assert got == sorted(want)
+
+
+def test_a_hot_centre_is_split_in_the_join_with_its_groups(spark):
+    """Half of all places is one centre; with broadcasting off AQE has to split it."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        ids = spark.range(0, n, 1, 8)
+        token = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(100 + F.floor(F.col("id") / 4))
+        tokens = ids.select(token.cast("long").alias("token"), F.xxhash64("id").alias("set"))
+        sizes = ids.select(F.xxhash64("id").alias("set"), F.lit(5).cast("long").alias("n"))
+        routed = ngram_join._routes(tokens, sizes, Settings())
+        assert routed.count() >= n / 2
+        routed.collect()
+        assert "SortMergeJoin(skew=true)" in routed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
