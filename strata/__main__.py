@@ -6,6 +6,7 @@
     python -m strata gold     --store hdfs:///lake [MART ...] [--as-of ...]
     python -m strata gate     --store hdfs:///lake [--config lake.json]
     python -m strata validate --store hdfs:///lake [MART ...]
+    python -m strata compact  --store hdfs:///lake [TABLE ...]
     python -m strata sql      --store hdfs:///lake "SELECT ... FROM silver_orders"
 
 The config file names the sources (``strata.plans.sources_config``) and may
@@ -34,7 +35,7 @@ from strata.sources.store import TableStore
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("run", "extract", "silver", "gold", "gate", "validate", "sql"):
+    for name in ("run", "extract", "silver", "gold", "gate", "validate", "compact", "sql"):
         c = sub.add_parser(name)
         c.add_argument("--store", required=True)
         c.add_argument("--config", required=name in ("run", "extract"))
@@ -98,6 +99,9 @@ def main(argv: list[str] | None = None) -> int:
             out = dq_gate(store, cfg.thresholds)
         elif args.cmd == "validate":
             out = validate_outputs(store, _known(args.names, MARTS))
+        elif args.cmd == "compact":
+            bronze = [t for layer, t in store.tables() if layer == "bronze"]
+            out = {t: store.compact("bronze", t) for t in _known(args.names, bronze)}
         else:
             store.create_views()
             spark.sql(args.names[0]).show(truncate=False)

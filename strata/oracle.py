@@ -457,6 +457,7 @@ def oracle_sql() -> dict[str, str]:
 def _one_pass() -> dict[str, str]:
     return {
         "bronze_replay_history": _q(BRONZE_HISTORY),
+        "bronze_compacted_history": _q(BRONZE_HISTORY),
         "bronze_items_audit": _q(ITEMS_AUDIT),
         "bronze_customers_incremental": _q(CUSTOMERS_SECOND),
         "bronze_products_csv": _q(PRODUCTS),

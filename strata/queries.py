@@ -295,6 +295,19 @@ def bronze_replay_history(spark, sf_dir):
     return _and_remove(store, _history(store))
 
 
+def bronze_compacted_history(spark, sf_dir):
+    """K2: both batches arrive in many small files, which are merged; then the
+    second is replayed.  The same rows in the same batches."""
+    def scattered(sf_dir, whole):
+        source = _orders_source(sf_dir, whole)
+        return replace(source, read=lambda s: source.read(s).repartition(8, "order_id"))
+
+    store = _two_runs(spark, sf_dir, "bronze_compacted_history", scattered)
+    store.compact("bronze", "orders")
+    extract(spark, store, _orders_source(sf_dir, True), run_ts=T2 + dt.timedelta(days=1), batch_id="b2")
+    return _and_remove(store, _history(store))
+
+
 def incremental_orders(spark, sf_dir):
     """The orders the second run extracted (past the watermark)."""
     store = _two_runs(spark, sf_dir, "incremental_orders", _orders_source)
@@ -525,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "incremental_orders": incremental_orders,
     "watermark_latest": watermark_latest,
     "bronze_replay_history": bronze_replay_history,
+    "bronze_compacted_history": bronze_compacted_history,
     "bronze_items_audit": bronze_items_audit,
     "bronze_customers_incremental": bronze_customers_incremental,
     "bronze_products_csv": bronze_products_csv,

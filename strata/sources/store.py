@@ -30,6 +30,11 @@ partitions: they are written beside the version first, then swapped in while
 the version's ``_SUCCESS`` is away, so a swap that dies halfway shows the
 version before, never a mixture.
 
+``compact`` merges the small files of an append table's partitions.  The merged
+files are written whole beside the table, then take the place of each partition.
+If that dies, the next write to the table finishes it, and until then readers
+take a partition that is away from where its merged files lie.
+
 Logs (``log``) are append tables with one directory for each key, written by
 one writer each, so that jobs of different keys can log at the same time.
 Their small files are merged now and then.
@@ -54,6 +59,7 @@ _VERSION_PREFIX = "_v="
 _SUCCESS = "_SUCCESS"
 _SCHEMA = "_strata_schema.json"
 _STAGED = "_staged-"
+_COMPACTED = "_compacted-"
 _PASSED = "_passed"
 PASSED = _PASSED
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -176,7 +182,11 @@ class TableStore:
             return empty_frame(self.spark, schema)
         schema = None if path.rsplit("/", 1)[-1].startswith(_VERSION_PREFIX) else self._recorded(path)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(path)
+        df = reader.parquet(path)
+        for staged, parts in self._away(path).items():
+            there = [f"{staged}/{p}" for p in parts]
+            df = df.unionByName(self.spark.read.schema(schema).option("basePath", staged).parquet(*there))
+        return df
 
     def _recorded(self, path: str) -> StructType | None:
         at = f"{path}/{_SCHEMA}"
@@ -353,6 +363,7 @@ class TableStore:
         if not partition_by:
             raise ValueError("append tables need partition columns")
         path = self.table_path(layer, name)
+        self._finish_compaction(path)
         have = self._recorded(path)
         new = [f for f in df.schema.fields if have is None or f.name not in have.names]
         if new:  # the partition columns last, as they are read
@@ -367,8 +378,71 @@ class TableStore:
         writer.parquet(path)
         return path
 
+    def _partitions(self, path: str) -> list[str]:
+        """The innermost partition directories below ``path``."""
+        found = []
+        for c in self._children(path):
+            if "=" in c:
+                found += [f"{c}/{p}" for p in self._partitions(f"{path}/{c}")] or [c]
+        return found
+
+    def _compactions(self, path: str) -> list[str]:
+        """Compactions of the table that are written whole but not yet through."""
+        begun = [f"{path}/{c}" for c in self._children(path) if c.startswith(_COMPACTED)]
+        return [c for c in begun if self._exists(f"{c}/{_SUCCESS}")]
+
+    def _away(self, path: str) -> dict[str, list[str]]:
+        """Partitions a compaction has removed and not yet replaced."""
+        gone = {c: [p for p in self._partitions(c) if self._children(f"{c}/{p}") and not self._exists(f"{path}/{p}")] for c in self._compactions(path)}
+        return {c: parts for c, parts in gone.items() if parts}
+
+    def _finish_compaction(self, path: str) -> None:
+        """Swaps in what a compaction has written; whatever is left of one that
+        died before is removed."""
+        for done in self._compactions(path):
+            for part in self._partitions(done):
+                self._delete(f"{path}/{part}")
+                self._move(f"{done}/{part}", f"{path}/{part}")
+        for c in self._children(path):
+            if c.startswith(_COMPACTED):
+                self._delete(f"{path}/{c}")
+
+    def _file_sizes(self, path: str) -> tuple[int, int]:
+        fs, at = self._path(path)
+        summary = fs.getContentSummary(at)
+        return int(summary.getFileCount()), int(summary.getLength())
+
+    def compact(self, layer: str, name: str, slack: int = 4) -> int:
+        """K2: merges the files of the append table's partitions that have more
+        than one file, and more than ``slack`` for each advisory partition size
+        (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) of data.  Rows
+        and partitions stay; a partition is at least one file.  One job for all
+        of them: Spark brings a partition together and splits one beyond that
+        size.  Returns how many partitions were merged."""
+        path = self.table_path(layer, name)
+        schema = self._recorded(path)
+        if schema is None or self._versions(layer, name):
+            return 0
+        self._finish_compaction(path)
+        advisory = self.spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+            self.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        )
+        small = []
+        for part in self._partitions(path):
+            files, size = self._file_sizes(f"{path}/{part}")
+            if files > 1 and files > slack * (size // advisory):
+                small.append(part)
+        if not small:
+            return 0
+        by = [p.partition("=")[0] for p in small[0].split("/")]
+        rows = self.spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{p}" for p in small])
+        rows.hint("rebalance", *by).write.partitionBy(*by).parquet(f"{path}/{_COMPACTED}{uuid.uuid4().hex[:8]}")
+        self._finish_compaction(path)
+        return len(small)
+
     def drop_partition(self, layer: str, name: str, values: Mapping[str, str]) -> None:
         """Remove one partition of an append table, if it is there."""
+        self._finish_compaction(self.table_path(layer, name))
         part = "/".join(f"{k}={v}" for k, v in values.items())
         path = f"{self.table_path(layer, name)}/{part}"
         if self._exists(path):

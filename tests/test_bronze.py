@@ -237,3 +237,71 @@ def test_overlap_rereads_but_never_moves_watermark_back(spark, store):
     r = extract(spark, store, spec, batch_id="b2")
     assert r.rows == 1 and r.watermark_after == "2024-01-05"
     assert store.read("bronze", "t").where(F.col("id") == 2).count() == 2  # D1 in silver drops it
+
+
+def _scattered(rows):
+    def read(s):
+        return s.createDataFrame([(i, f"r{i}") for i in rows], "id INT, x STRING").repartition(5, "id")
+
+    return SourceSpec("t", "numbers", read, watermark_col="id")
+
+
+def _files(store, batch):
+    import glob
+
+    return len(glob.glob(f"{store.table_path('bronze', 't')}/*/_batch_id={batch}/*.parquet"))
+
+
+def _by_batch(store):
+    return sorted((r["_batch_id"], r["id"], r["x"], str(r["_bronze_ingested_date"])) for r in store.read("bronze", "t").collect())
+
+
+def test_small_files_are_merged_and_batches_stay(spark, store):
+    extract(spark, store, _scattered(range(40)), run_ts=dt.datetime(2026, 1, 1), batch_id="0001")
+    extract(spark, store, _scattered(range(70)), run_ts=dt.datetime(2026, 1, 2), batch_id="0002")
+    extract(spark, store, _numbers_and_text([70]), run_ts=dt.datetime(2026, 1, 2), batch_id="0003")
+    before = _by_batch(store)
+    assert _files(store, "0001") > 1 and _files(store, "0002") > 1 and _files(store, "0003") == 1
+    assert store.compact("bronze", "t") == 2  # the third is one file already
+    assert _files(store, "0001") == _files(store, "0002") == 1 and _by_batch(store) == before
+    assert store.compact("bronze", "t") == 0
+    extract(spark, store, _scattered(range(71)), run_ts=dt.datetime(2026, 1, 9), batch_id="0002")
+    assert _by_batch(store) == before
+    assert extract(spark, store, _scattered(range(72)), batch_id="0004").rows == 1
+
+
+def _numbers_and_text(rows):
+    return SourceSpec("t", "numbers", lambda s: s.createDataFrame([(i, f"r{i}") for i in rows], "id INT, x STRING").coalesce(1), watermark_col="id")
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_a_compaction_that_dies_loses_and_doubles_nothing(spark, store, monkeypatch, moves):
+    """It dies before its first or its second partition is in place: readers
+    miss nothing, and the next write finishes it."""
+    for batch, upto in (("a", 20), ("b", 40)):
+        extract(spark, store, _scattered(range(upto)), run_ts=dt.datetime(2026, 1, 1), batch_id=batch)
+    before, move, done = _by_batch(store), store._move, []
+
+    def limited(source, target):
+        if len(done) == moves:
+            raise RuntimeError("lost")
+        done.append(target)
+        move(source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_move", limited)
+        with pytest.raises(RuntimeError):
+            store.compact("bronze", "t")
+    assert _by_batch(store) == before
+    extract(spark, store, _scattered(range(20)), run_ts=dt.datetime(2026, 1, 1), batch_id="a")
+    assert _by_batch(store) == before and not [c for c in store._children(store.table_path("bronze", "t")) if "compacted" in c]
+
+
+def test_a_compaction_that_dies_while_writing_is_forgotten(spark, store):
+    extract(spark, store, _scattered(range(20)), batch_id="a")
+    before = _by_batch(store)
+    store.read("bronze", "t").write.partitionBy("_bronze_ingested_date", "_batch_id").parquet(f"{store.table_path('bronze', 't')}/_compacted-x")
+    store._delete(f"{store.table_path('bronze', 't')}/_compacted-x/_SUCCESS")
+    assert _by_batch(store) == before
+    assert store.compact("bronze", "t") == 1 and _by_batch(store) == before
+    assert store.compact("bronze", "none") == 0
