@@ -4,7 +4,8 @@ Words are compared in lower case without the punctuation around them.  The
 ``gram``-word hashes of each template are winnowed (the smallest of every
 ``window`` neighbours stays), which leaves a small inverted index, fingerprint
 -> (template, place).  All grams of a document are looked up in it, so a run of
-``gram + window - 1`` equal words is always noticed.  A template of fewer than
+``gram + window - 1`` equal words is always noticed: three, and a match at a
+threshold of 0.75 that has no words between has such a run.  A template of fewer than
 ``short`` words is noticed by single words too, by so many of its rarest that a
 match at the threshold has at least one of them.  Each diagonal with a hit is a
 candidate if enough words of the template stand about it; there the template is
@@ -45,8 +46,8 @@ P = "lic__"
 
 @dataclass(frozen=True)
 class Settings:
-    gram: int = 3
-    window: int = 3
+    gram: int = 2
+    window: int = 2
     band: int = 8
     least_coverage: float = 0.75
     #: Templates of fewer words are looked for by single words as well.

@@ -1,3 +1,4 @@
+import math
 import re
 
 import pyarrow as pa
@@ -144,3 +145,31 @@ def test_finds_of_different_licenses_compete():
     names = lambda text: [m["license"] for m in matches(pa.array([text]), index, Settings())[0]]
     assert names(bank["A/x"]) == ["A"] and names(bank["B/x"]) == ["B"]
     assert names(f"{bank['A/x']} and {bank['B/x']}") == ["A", "B"]
+
+
+def test_long_templates_are_found_down_to_the_threshold():
+    """As many words changed, or left out, as the threshold lets, evenly."""
+    for name, text in TEMPLATES.items():
+        words = text.split()
+        least = math.ceil(0.75 * len(words))
+        told = {w for some in DISTINCT.get(name, ((), ()))[0] for w in some}
+        for offset in range(4) if len(words) >= 30 else ():
+            places = [i for i in range(offset, len(words), 4) if not told.intersection(bare(words[i]))][: len(words) - least]
+            for new in (["other"], []):
+                edited = [x for i, w in enumerate(words) for x in (new if i in places else [w])]
+                found = spans_at_threshold("a b c " + " ".join(edited) + " d e f", name)
+                assert found and found[0] >= 0.75, (name, offset, new)
+
+
+def test_tags_and_versions_are_named():
+    for text, want in (
+        ("// SPDX-License-Identifier: MIT", {"MIT"}),
+        ("# spdx-license-identifier: GPL-2.0-or-later\n# Copyright", {"GPL-2.0-or-later"}),
+        ("SPDX-License-Identifier: unheard-of", set()),
+        ("MIT and Apache-2.0 and Zlib", set()),
+        (TEMPLATES["GPL-2.0/header"], {"GPL-2.0"}),
+        (TEMPLATES["AGPL-3.0/header"], {"AGPL-3.0"}),
+        (TEMPLATES["LGPL-2.1/header"].replace("2.1", "3"), set()),
+        ("Licensed under CC BY-SA 4.0.", {"CC-BY-SA-4.0"}),
+    ):
+        assert {m["license"] for m in one(text)} == want, text
