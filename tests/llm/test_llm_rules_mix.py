@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from llm_brute import SF, rule_counts, words
 
 from strata.llm import mixing, quality_rules
@@ -123,3 +124,117 @@ def test_the_cut_is_as_near_as_any_length_limit_allows(spark):
                     at += n
                     reach.append(at)
         assert abs(taken - goal) == min(abs(x - goal) for x in reach)
+
+
+def plain_plan(docs, m):
+    """Copies of each (doc_id, source): the plan spelled out in plain Python,
+    the sum of a hash's blocks, then the cut, without shards."""
+    import struct
+
+    import xxhash
+
+    def spark_hash(*values):
+        h = 42
+        for v in values:
+            raw = v.encode() if isinstance(v, str) else v
+            if raw is not None:
+                h = xxhash.xxh64(raw, seed=h).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+
+    i32, i64 = (lambda v: struct.pack("<i", v)), (lambda v: struct.pack("<q", v))
+    sizes = {}
+    for _, source, n in docs:
+        sizes[source] = sizes.get(source, 0) + n
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    goals = mixing.targets([sizes[s] for s in order], m)
+    copies = {}
+    for rank, (source, goal) in enumerate(zip(order, goals)):
+        own = [(spark_hash(i32(m.seed), str(i), source), n, i) for i, s, n in docs if s == source]
+        n_blocks = max(1, -(-sizes[source] // m.block_words))
+        blocks = {}
+        for key, n, i in own:
+            blocks.setdefault(spark_hash(i32(m.seed + 1), i64(key)) % n_blocks, []).append((key, n, i))
+        epochs = int(goal // sizes[source]) if sizes[source] else 0
+        rest = goal - epochs * sizes[source]
+        for _, n, i in own:
+            copies[i, source] = epochs
+        for b in sorted(blocks, key=lambda b: (spark_hash(i32(m.seed + 2), i32(rank), i32(epochs), i64(b)), b)):
+            inside = sorted(blocks[b])
+            words_in = sum(n for _, n, _ in inside)
+            if words_in <= rest:
+                taken = inside
+            else:
+                # (distance, -longest length class, key): every prefix of every class
+                best, taken = (rest, 0, 0), []
+                top = max(n.bit_length() for _, n, _ in inside if n)
+                for bits in range(1, top + 1):
+                    fit = [x for x in inside if x[1] < 1 << bits]
+                    upto = 0
+                    for at, x in enumerate(fit):
+                        upto += x[1]
+                        new = (abs(upto - rest), -bits, x[0])
+                        if x[1] and new[0] < rest and (new < best or not taken):
+                            best, taken = new, fit[: at + 1]
+            for _, n, i in taken:
+                copies[i, source] += 1
+            rest -= words_in
+            if rest < 0:
+                break
+    return copies
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_taken_equals_the_plain_plan(spark, many):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["source"], len(words(r["text"]))) for r in docs.collect()]
+    m = Mix(block_words=1500, shard_words=20_000, driver_sources=0 if many else 100, group_sources=2)
+    found = mixing.plan(docs, mix=m).collect()
+    want = plain_plan(rows, m)
+    sized = {(i, s) for i, s, n in rows if n}
+    got = {(r["doc_id"], r["source"]): len(r["mix__copies"]) for r in found}
+    assert {k: got[k] for k in sized} == {k: want[k] for k in sized}
+
+
+def test_many_sources_are_mixed_on_spark(spark):
+    """20,000 sources, one with a third of the rows: nothing by source on the driver."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(30_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") == 1, F.lit(None)).otherwise(F.concat(F.lit("s"), "id")).alias("source"),
+        F.expr("repeat('w ', 1 + int(id % 7))").alias("text"),
+    )
+    m = Mix(driver_sources=1000, block_words=500, shard_words=4000)
+    many = {r["doc_id"]: r for r in mixing.plan(df, mix=m).collect()}
+    few = {r["doc_id"]: r for r in mixing.plan(df, mix=Mix(block_words=500, shard_words=4000)).collect()}
+    assert many.keys() == few.keys() and len(many) == 30_000
+    assert all(many[k]["mix__target"] == few[k]["mix__target"] and many[k]["mix__source_size"] == few[k]["mix__source_size"] for k in few)
+    assert all(len(many[k]["mix__copies"]) == len(few[k]["mix__copies"]) for k in few)
+    by_shard = {}
+    for r in many.values():
+        for c in r["mix__copies"]:
+            by_shard[c["shard"]] = by_shard.get(c["shard"], 0) + r["mix__size"]
+    # Shards get equal numbers of blocks; those of small sources are small.
+    assert len(by_shard) == 45 and max(by_shard.values()) < 2 * m.shard_words
+    assert not mixing.plan(df.limit(0), mix=Mix(driver_sources=-1)).collect()
+
+
+def test_groups_of_sources_split_into_the_quotas():
+    rng = np.random.default_rng(4)
+    quota, shards, size = rng.integers(0, 30, 23), 9, 5
+    top = np.array([quota[a : a + size].sum() for a in range(0, 23, size)])
+    per_shard = np.zeros(shards, np.int64)
+    for g in range(len(top)):
+        own = quota[g * size : (g + 1) * size]
+        taken = [set() for _ in own]
+        found = {k: (tuple(i), tuple(a), tuple(n)) for k, i, a, n in mixing.split_group(top, g, own, shards, 0, shards, 5)}
+        half = {k: (tuple(i), tuple(a), tuple(n)) for k, i, a, n in mixing.split_group(top, g, own, shards, 4, shards, 5)}
+        assert half == {k: v for k, v in found.items() if k >= 4}
+        for shard, (index, start, count) in found.items():
+            per_shard[shard] += sum(count)
+            for i, a, n in zip(index, start, count):
+                stretch = set(range(a, a + n))
+                assert not stretch & taken[i]
+                taken[i] |= stretch
+        assert [len(x) for x in taken] == own.tolist()
+    assert per_shard.sum() == quota.sum() and per_shard.max() - per_shard.min() <= 4
