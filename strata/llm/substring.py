@@ -20,6 +20,9 @@ document or another.
 A key with more than ``hot`` segments that are not all alike would fill one
 shard.  Its windows become segments of their own with their own hash as key:
 then all segments of a key are copies, and copies are counted on the map side.
+``hot`` is the same for every corpus.  Up to ``hot_keys`` such keys go to the
+tasks as a list; of more, the segments are found by a join and their windows
+cut from the documents that hold them, with the same result.
 
 Words are compared by 64-bit hashes.  Defined results: null and empty texts
 have no words and stay null or become empty; documents shorter than a window
@@ -48,9 +51,9 @@ class Settings:
     width: int = 35
     #: width - gram + 1 windows make a segment at most: 64, the bits of a mask.
     gram: int = 12
-    #: Segments of a key beyond which it is taken apart by window; more on a
-    #: corpus with over hot * hot_keys segments, so that the keys stay that few.
+    #: Segments of a key beyond which it is taken apart by window.
     hot: int = 50_000
+    #: Such keys that tasks get as a list (8 bytes each) at most.
     hot_keys: int = 1_000_000
     #: Words of one FM-index.
     index_words: int = 500_000
@@ -88,14 +91,13 @@ def segments(w: Words, s: Settings, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     at = ragged(w.first[:-1], n_windows)  # word at which each window begins
     key, place = (x[at] for x in _sliding_min(mix64(window_hash(word, s.gram)), s.width - s.gram + 1))
     alone = np.isin(key, hot) if len(hot) else np.zeros(total, bool)
-    if alone.any():
-        key = np.where(alone, window_hash(word, s.width)[at], key)
     new = np.ones(total, bool)
     new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1]) | alone[1:] | alone[:-1]
     begin = np.flatnonzero(new)  # width - gram + 1 windows apart at most
     n = np.diff(np.append(begin, total))
     start = at[begin]
-    return doc[begin], start - w.first[doc[begin]], n, key[begin], range_hash(word, start, start + n + s.width - 1)
+    content = range_hash(word, start, start + n + s.width - 1)
+    return doc[begin], start - w.first[doc[begin]], n, np.where(alone[begin], content, key[begin]), content
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -133,10 +135,42 @@ def _segment_rows(rows: DataFrame, s: Settings, hot: list[int], only_hot: bool =
     return rows.mapInArrow(run, "h1 long, h2 long, key long, content long, pos long")
 
 
+def _positions(rows: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """text and segs (array of the columns) of each different row with segments."""
+    lists = found.groupBy("h1", "h2").agg(F.collect_list(F.struct(*columns)).alias("segs"))
+    # A row that is repeated whole is needed once; the join has it sorted already.
+    return rows.join(lists, ["h1", "h2"]).dropDuplicates(["h1", "h2"])
+
+
+def _window_rows(rows: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
+    """The windows of the segments (h1, h2, pos) as segments of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            w = words_of(part.column("text"))
+            lists = part.column("segs")
+            n_segments = np.asarray(lists.value_lengths())
+            pos = np.asarray(lists.flatten().field("pos"))
+            doc = np.repeat(np.arange(len(n_segments)), n_segments)
+            n = (pos & 63) + 1
+            first, doc = ragged(pos >> 6, n), np.repeat(doc, n)
+            start = w.first[doc] + first
+            content = pa.array(signed(range_hash(w.hashes(), start, start + s.width)))
+            take = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("h1").take(take), part.column("h2").take(take), content, content, pa.array(first * 64)],
+                names=["h1", "h2", "key", "content", "pos"],
+            )
+
+    # A segment that stands in a repeated row counts as often as the row.
+    cut = _positions(rows, found.dropDuplicates(["h1", "h2", "pos"]), "pos").select("h1", "h2", "text", "segs")
+    cut = cut.mapInArrow(run, "h1 long, h2 long, key long, content long, pos long")
+    times = found.groupBy("h1", "h2").agg((F.count(F.lit(1)) / F.count_distinct("pos")).cast("int").alias("times"))
+    return cut.join(times, ["h1", "h2"]).withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).drop("times", "time")
+
+
 def _fetch(rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     """Word hashes of one copy of each segment: key, content, twice, words."""
-    lists = wanted.groupBy("h1", "h2").agg(F.collect_list(F.struct("pos", "key", "content", "twice")).alias("segs"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             w = words_of(part.column("text"))
@@ -154,8 +188,7 @@ def _fetch(rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
                 names=["key", "content", "twice", "words"],
             )
 
-    # A row that is repeated whole is needed once; the join has it sorted already.
-    joined = rows.join(lists, ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("text", "segs")
+    joined = _positions(rows, wanted, "pos", "key", "content", "twice").select("text", "segs")
     return joined.mapInArrow(run, "key long, content long, twice boolean, words array<long>")
 
 
@@ -207,26 +240,38 @@ def _search(fetched: DataFrame, s: Settings) -> DataFrame:
     return fetched.repartition("key").sortWithinPartitions("key").mapInArrow(run, "content long, mask long")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s: Settings = Settings()) -> DataFrame:
-    """h1, h2 (see ``_rows``) and marks: array of (pos, mask), the repeated
-    windows of each document that has some."""
-    spark = docs.sparkSession
-    rows = _rows(docs, id_col, text_col)
+def _seen(rows: DataFrame, s: Settings) -> DataFrame:
+    """The segments whose key occurs twice, no key with more than ``s.hot``
+    segments that are not all alike."""
     keys = _segment_rows(rows, s, []).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), (F.min("content") != F.max("content")).alias("unlike")
     ).where("n > 1")
     keys = saved(keys)
-    total = keys.agg(F.sum("n")).first()[0] or 0
-    frequent = keys.where(F.col("unlike") & (F.col("n") > max(s.hot, total // s.hot_keys))).select("key")
-    hot = [r["key"] for r in frequent.collect()]  # hot_keys at most, 8 bytes each
-    twice = keys.select("key")
-    if hot:
+    frequent = keys.where(F.col("unlike") & (F.col("n") > s.hot)).select("key")
+    n_hot = frequent.count()
+    if not n_hot:
+        return saved(_segment_rows(rows, s, []).join(keys.select("key"), "key", "left_semi"))
+    others = keys.select("key").join(frequent, "key", "left_anti")
+    # What is joined below is saved, so that the join shuffles it afresh: only
+    # then can the occurrences of a hot key be split over tasks.
+    if n_hot <= s.hot_keys:
+        hot = [r["key"] for r in frequent.collect()]
         apart = _segment_rows(rows, s, hot, only_hot=True).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        # Saved, so that the join below shuffles it afresh: only then can the
-        # occurrences of a hot key be split over tasks.
-        twice = saved(twice.join(frequent, "key", "left_anti").unionByName(apart.select("key")))
-    seen = saved(_segment_rows(rows, s, hot).join(twice, "key", "left_semi"))
-    del keys, twice, frequent
+        twice = saved(others.unionByName(apart.select("key")))
+        return saved(_segment_rows(rows, s, hot).join(twice, "key", "left_semi"))
+    found = saved(_segment_rows(rows, s, []).join(saved(frequent), "key", "left_semi").select("h1", "h2", "pos"))
+    windows = saved(_window_rows(rows, found, s))
+    apart = saved(windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    rest = _segment_rows(rows, s, []).join(saved(others), "key", "left_semi")
+    return saved(rest.unionByName(windows.join(apart, "key", "left_semi")))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s: Settings = Settings()) -> DataFrame:
+    """h1, h2 (see ``_rows``) and marks: array of (pos, mask), the repeated
+    windows of each document that has some."""
+    spark = docs.sparkSession
+    rows = _rows(docs, id_col, text_col)
+    seen = _seen(rows, s)
     free_shuffles(spark)
     place = F.struct("h1", "h2", "pos")
     distinct = seen.groupBy("key", "content").agg((F.count(F.lit(1)) > 1).alias("twice"), F.min(place).alias("at"))

@@ -33,6 +33,30 @@ def test_hot_keys_and_small_indexes_change_nothing(spark):
     want = substring_dedup(docs, 6)
     for s in (Settings(width=6, gram=3), Settings(width=6, gram=3, hot=2, index_words=50), Settings(width=6, gram=6, hot=1)):
         assert got(dedup(df, s=s)) == want
+    # More hot keys than a list may hold; rows repeated whole count each time.
+    twice = df.unionByName(df.where("doc_id % 7 = 0"))
+    list_of_keys, by_join = Settings(width=6, gram=3, hot=2), Settings(width=6, gram=3, hot=2, hot_keys=0)
+    assert got(dedup(df, s=by_join)) == want
+    plain = sorted(map(str, dedup(twice, s=list_of_keys).select("doc_id", "sub__kept", "sub__spans").collect()))
+    assert plain == sorted(map(str, dedup(twice, s=by_join).select("doc_id", "sub__kept", "sub__spans").collect()))
+    cut = lambda s: substring._seen(substring._rows(twice, "doc_id", "text"), s)
+    columns = ["h1", "h2", "key", "content", "pos"]
+    assert sorted(map(tuple, cut(list_of_keys).select(columns).collect())) == sorted(map(tuple, cut(by_join).select(columns).collect()))
+
+
+def test_no_key_fills_an_index(spark):
+    """A third of the documents hold one passage in different surroundings: the
+    different segments of a key stay within the fixed bound, at any size."""
+    from pyspark.sql import functions as F
+
+    for n in (300, 1500):
+        docs = [(i, (f"a{i} b{i} c{i} " + "p q r s t u " + f"d{i} e{i} f{i}") if i % 3 == 0 else " ".join(f"x{i}y{j}" for j in range(12))) for i in range(n)]
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        for hot_keys in (10, 0):
+            s = Settings(width=8, gram=4, hot=40, hot_keys=hot_keys)
+            seen = substring._seen(substring._rows(df, "doc_id", "text"), s)
+            assert (seen.groupBy("key").agg(F.count_distinct("content").alias("n")).agg(F.max("n")).first()[0] or 0) <= s.hot
+        assert got(dedup(df, s=Settings(width=6, gram=4, hot=40))) == substring_dedup(docs, 6)
 
 
 def test_nulls_empty_long_repeated_rows_and_clashing_columns(spark):
