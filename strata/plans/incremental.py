@@ -13,7 +13,8 @@ Stored rows keep every bronze column, so the latest row of a key is the latest
 of its stored row and its new ones: bronze history is not read.  The rows are
 judged by the same transforms as a rebuild's; with what the touched months hold
 besides, they replace those months' partitions, silver and quarantine, and no
-other file changes.  The result equals a rebuild's.
+other file changes.  The result equals a rebuild's.  Whole rows are read from the
+touched months once and are written once as judged, the others beside them.
 
 A refresh notes what it consumed and which refresh of its look-up tables it
 was judged by.  Where that does not add up -- no note, a plain rebuild or a
@@ -152,10 +153,21 @@ def _saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _hit(df: DataFrame, keys: DataFrame, own: Sequence[str], theirs: Sequence[str], flag: str) -> DataFrame:
-    """``flag``: do the row's ``own`` columns name one of ``keys``?  Keys are
-    rebalanced, so a hot key of ``df`` can be split."""
-    side = keys.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(theirs)]).distinct().hint("rebalance").withColumn(flag, F.lit(True))
+def _named(df: DataFrame, own: Sequence[str], keys: DataFrame, theirs: Sequence[str]) -> DataFrame:
+    """Those of ``keys`` that ``own`` columns of ``df`` name, each once: no more
+    than ``df`` has, however many keys came."""
+    side = keys.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(theirs)])
+    held = df.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(own)]).distinct().hint("rebalance")
+    same = F.lit(True)
+    for i in range(len(own)):
+        same = same & side[f"_k{i}"].eqNullSafe(held[f"_o{i}"])
+    return _saved(side.join(held, same, "left_semi").distinct())
+
+
+def _hit(df: DataFrame, keys: DataFrame, own: Sequence[str], flag: str) -> DataFrame:
+    """``flag``: do the row's ``own`` columns name one of ``keys`` (see
+    ``_named``)?  Keys are rebalanced, so a hot key of ``df`` can be split."""
+    side = keys.hint("rebalance").withColumn(flag, F.lit(True))
     same = F.lit(True)
     for i, c in enumerate(own):
         same = same & df[c].eqNullSafe(side[f"_k{i}"])
@@ -164,8 +176,9 @@ def _hit(df: DataFrame, keys: DataFrame, own: Sequence[str], theirs: Sequence[st
 
 def _changes(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Look-up rows that are in one of the two only."""
-    old, new = old.select(*columns), new.select(*columns)
-    return _saved(old.subtract(new).union(new.subtract(old)))
+    old, new = old.select(*columns, F.lit(0).alias("_side")), new.select(*columns, F.lit(1).alias("_side"))
+    sides = old.union(new).groupBy(*columns).agg(F.min("_side").alias("_first"), F.max("_side").alias("_last"))
+    return _saved(sides.where("_first = _last").select(*columns))
 
 
 def _in(column: str, values: Sequence[str | None]):
@@ -207,24 +220,29 @@ def _rewrite(
     has_key = F.lit(True)
     for c in checked:
         has_key = has_key & F.col(c).isNotNull()
-    fresh_keys = _saved(fresh.where(has_key).select(*keys).distinct())
-    probes = {p: on for p, on in LOOKS_UP.get(name, {}).items() if not parents[p].changed.isEmpty()}
+    fresh_keys = _named(stored, keys, fresh.where(has_key), keys)
+    probes = {
+        p: (own, _named(stored, own, parents[p].changed, theirs))
+        for p, (own, theirs) in LOOKS_UP.get(name, {}).items() if not parents[p].changed.isEmpty()
+    }
 
     def touched(df: DataFrame) -> DataFrame:
-        df = _hit(df, fresh_keys, keys, keys, "_t_own")
+        df = _hit(df, fresh_keys, keys, "_t_own")
         flag = F.col("_t_own")
-        for parent, (own, theirs) in probes.items():
-            df = _hit(df, parents[parent].changed, own, theirs, f"_t_{parent}")
+        for parent, (own, named) in probes.items():
+            df = _hit(df, named, own, f"_t_{parent}")
             flag = flag | F.col(f"_t_{parent}")
         if name == "customers" and state["as_of"] != as_of:
             first, last = sorted([state["as_of"], as_of])
             flag = flag | F.coalesce((F.col("signup_date") > F.lit(first)) & (F.col("signup_date") <= F.lit(last)), F.lit(False))
         return df.withColumn("_touched", flag).drop("_t_own", *[f"_t_{p}" for p in probes])
 
-    # A narrow scan finds the months; whole rows are read from those only.
+    # A narrow scan finds the months; whole rows are read from those only, once.
     needed = dict.fromkeys([*keys, *[c for own, _ in probes.values() for c in own], *(["signup_date"] if name == "customers" else []), MONTH])
     months = [r[0] for r in touched(stored.select(*needed)).where("_touched").select(MONTH).distinct().collect()]
-    old = _saved(touched(stored.where(_in(MONTH, months))).where("_touched").drop("_touched"))
+    staged = store.staging(name)
+    marked = store.stage(f"{staged}/marked", touched(stored.where(_in(MONTH, months))), ["_touched"]) if months else None
+    old = stored.where(F.lit(False)) if marked is None else marked.where("_touched").drop("_touched")
 
     rows = old.select(*fresh.columns).unionByName(fresh)
     judged = (
@@ -232,16 +250,21 @@ def _rewrite(
         .withColumn(PASSED, F.col(FAILED) == "")
         .withColumn(MONTH, F.date_format(F.col(date_col), "yyyy-MM"))
     )
-    judged = _saved(judged)
-    months = list(dict.fromkeys([*months, *[r[0] for r in judged.select(MONTH).distinct().collect()]]))
-    if months:
-        _note(store, Refresh(name, "months", months, None, None, state["refresh"]), seen, as_of, {}, begun=True)
-        rest = touched(stored.where(_in(MONTH, months))).where("NOT _touched").drop("_touched")
-        store.rewrite_split(name, _clustered(rest.unionByName(judged), date_col), MONTH, months)
+    # Written as they will stay; the folders tell which months they are in.
+    as_stored = [F.col(f.name).cast(f.dataType) for f in stored.schema.fields]
+    judged = store.stage(f"{staged}/judged", _clustered(judged.select(*as_stored), date_col), [PASSED, MONTH])
+    more = [m for m in store.staged_values(f"{staged}/judged", MONTH) if m not in months]
     columns = LOOKED_UP.get(name)
-    if columns is None:
-        return months, empty_frame(store.spark, "nothing INT")
-    return months, _changes(old.where(PASSED), judged.where(PASSED), columns)
+    changed = empty_frame(store.spark, "nothing INT") if columns is None else _changes(old.where(PASSED), judged.where(PASSED), columns)
+    if months or more:
+        rest = stored.where(_in(MONTH, more))  # touched rows of these would be in ``months``
+        if marked is not None:
+            rest = rest.unionByName(marked.where("NOT _touched").drop("_touched"))
+        store.stage(f"{staged}/rest", _clustered(rest, date_col), [PASSED, MONTH])
+        _note(store, Refresh(name, "months", [], None, None, state["refresh"]), seen, as_of, {}, begun=True)
+        store.swap_split(name, [f"{staged}/judged", f"{staged}/rest"], MONTH, [*months, *more])
+    store.unstage(staged)
+    return [*months, *more], changed
 
 
 def refresh_table(store: TableStore, name: str, cfg: PipelineConfig, parents: dict[str, Refresh]) -> Refresh:

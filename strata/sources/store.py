@@ -25,10 +25,10 @@ text).
 
 A silver table and its quarantine are written together (``replace_split``):
 one version directory, partitioned by whether a row passed.  Readers of
-either layer see their side of it.  ``rewrite_split`` replaces some of its
-partitions: they are written beside the version first, then swapped in while
-the version's ``_SUCCESS`` is away, so a swap that dies halfway shows the
-version before, never a mixture.
+either layer see their side of it.  ``swap_split`` replaces some of its
+partitions: they are written beside the version first (``stage``), then swapped
+in while the version's ``_SUCCESS`` is away, so a swap that dies halfway shows
+the version before, never a mixture.
 
 ``compact`` merges the small files of an append table's partitions.  The merged
 files are written whole beside the table, then take the place of each partition.
@@ -312,20 +312,42 @@ class TableStore:
         schema = self._recorded(at)
         return self.spark.read.schema(schema).parquet(at) if self._has_data(at) else empty_frame(self.spark, schema)
 
-    def rewrite_split(self, name: str, df: DataFrame, partition: str, values: Sequence[str | None]) -> None:
-        """Replaces the partitions of ``values`` on both sides by ``df``'s
-        rows, all of which belong to them; other files stay as they are."""
+    def staging(self, name: str) -> str:
+        """A new folder beside a silver table's versions, for what is about to
+        take the place of partitions; the next rebuild removes forgotten ones."""
+        return f"{self.table_path('silver', name)}/{_STAGED}{uuid.uuid4().hex[:8]}"
+
+    def stage(self, path: str, df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+        """Writes ``df`` there; the rows as they are read back."""
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path) if self._has_data(path) else empty_frame(self.spark, df.schema)
+
+    def staged_values(self, path: str, partition: str) -> list[str | None]:
+        """Values of the innermost partition column of what ``stage`` wrote."""
+        found = dict.fromkeys(p.rsplit("/", 1)[-1].partition("=")[2] for p in self._partitions(path))
+        return [None if v == NULL_PARTITION else v for v in found]
+
+    def unstage(self, path: str) -> None:
+        self._delete(path)
+
+    def swap_split(self, name: str, staged: Sequence[str], partition: str, values: Sequence[str | None]) -> None:
+        """Replaces the partitions of ``values`` on both sides by the rows that
+        lie in the ``staged`` folders, all of which belong to them; other files
+        stay as they are."""
         at = self.split_version(name)
-        staged = f"{at.rsplit('/', 1)[0]}/{_STAGED}{uuid.uuid4().hex[:8]}"
-        df.write.partitionBy(_PASSED, partition).parquet(staged)
         self._delete(f"{at}/{_SUCCESS}")
         for side in ("true", "false"):
             for value in values:
                 self._delete(f"{at}/{_PASSED}={side}/{partition}={NULL_PARTITION if value is None else value}")
-            for part in self._children(f"{staged}/{_PASSED}={side}"):
-                self._move(f"{staged}/{_PASSED}={side}/{part}", f"{at}/{_PASSED}={side}/{part}")
+            for folder in staged:
+                for part in self._children(f"{folder}/{_PASSED}={side}"):
+                    target = f"{at}/{_PASSED}={side}/{part}"
+                    if not self._exists(target):
+                        self._move(f"{folder}/{_PASSED}={side}/{part}", target)
+                        continue
+                    for file in self._children(f"{folder}/{_PASSED}={side}/{part}"):
+                        self._move(f"{folder}/{_PASSED}={side}/{part}/{file}", f"{target}/{file}")
         self._write_text(f"{at}/{_SUCCESS}", "")
-        self._delete(staged)
 
     def log(self, name: str, key: str, value: str, row: DataFrame) -> None:
         """Adds ``row`` to the part of ``control.<name>`` whose ``key`` is ``value``."""

@@ -185,6 +185,24 @@ def test_marts_that_missed_a_refresh_are_summed_anew(spark, lake):
     same_as_rebuild(lake, cfg(3))
 
 
+def test_whole_rows_are_written_once_and_only_stored_keys_are_kept(spark, lake, monkeypatch):
+    """Many new orders beside a few stored ones: what a refresh keeps aside is
+    look-up columns, and of the new keys those that the table already has."""
+    kept, staged = [], []
+    save, stage = incremental._saved, lake.stage
+    monkeypatch.setattr(incremental, "_saved", lambda df: kept.append((df.columns, (out := save(df)).count())) or out)
+    monkeypatch.setattr(lake, "stage", lambda path, df, by: staged.append((path, (out := stage(path, df, by)).count())) or out)
+    load(spark, lake, 2, orders=[order(10, 1, MAR)] + [order(i, 2, FEB) for i in range(100, 140)])
+    done = incremental.refresh_silver(lake, cfg(2))
+    assert set(done["orders"].months) == {"2026-01", "2026-02", "2026-03"}
+    assert not [c for c, _ in kept if "order_total" in c or "quantity" in c]
+    assert [n for c, n in kept if c == ["_k0"]][0] == 1
+    assert [(p.rsplit("/", 1)[-1], n) for p, n in staged if "/orders/" in p] == [("marked", 3), ("judged", 41), ("rest", 6)]
+    assert not [c for c in os.listdir(f"{lake.root}/silver/orders") if c.startswith("_staged")]
+    refresh(lake, cfg(2))
+    same_as_rebuild(lake, cfg(2))
+
+
 CLEAN = dict(
     customers=[customer(i) for i in range(1, 4)], products=[product(i) for i in range(1, 4)],
     exchange_rates=[fx("EUR", "0.5", JAN)], orders=[order(i, 1 + i % 3, JAN) for i in range(1, 30)],
