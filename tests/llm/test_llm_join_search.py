@@ -68,6 +68,33 @@ def test_a_hot_passage_in_different_texts_stays_in_bounds(spark, monkeypatch):
         assert len(most) > 1 and max(most) <= 2 * s.block_tokens, most
 
 
+def test_only_prefixes_leave_the_blocks_of_a_hot_group(spark, monkeypatch):
+    """No plan makes a row of each token of a hot group's sets, and the passage all have stands last."""
+    made, real, routes = [], ngram_join._rare_prefix_tokens, ngram_join._routes
+    s = Settings(block_tokens=1200)
+
+    def prefixes(*args):
+        out = real(*args)
+        made.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    def route(tokens, sizes, s, by=("set",)):
+        if len(by) == 2:
+            n = np.array([r["n"] for r in sizes.select("n").collect()])
+            assert 0 < tokens.count() <= (n - ngram_join.least_overlap(n) + ngram_join.extra_tokens(n, s)).sum()
+            hot = tokens.groupBy("token").count().agg(F.max("count")).first()[0]
+            assert hot < len(n) / 4, (hot, len(n))  # of the passage's 26 shingles none
+            made.append(routes)
+        return routes(tokens, sizes, s, by)
+
+    monkeypatch.setattr(ngram_join, "_rare_prefix_tokens", prefixes)
+    monkeypatch.setattr(ngram_join, "_routes", route)
+    docs = hot_passage((12, 9))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(spark.createDataFrame(docs, "doc_id long, text string"), s=s).collect())
+    assert got == sorted(jaccard_components(docs)) and len(made) == 2
+    assert "explode(transform(list" not in made[0]
+
+
 def test_cells_bring_every_two_together_once(spark):
     s = Settings(block_tokens=40)
     rows = [(7, i, 5, i % 3) for i in range(90)] + [(8, i, 5, 0) for i in range(30)] + [(9, i, 5, 1 + i % 2) for i in range(30)]
