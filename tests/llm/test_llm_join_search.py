@@ -1,8 +1,12 @@
+import glob
+import time
+
 import numpy as np
+import pyarrow as pa
 from llm_brute import SF, jaccard_components
 from pyspark.sql import functions as F
 
-from strata.llm import ngram_join, topk
+from strata.llm import common, ngram_join, topk
 from strata.llm.components import components
 from strata.llm.ngram_join import Settings, groups, link_groups, one_per_group
 from strata.llm.queries import op5_maxscore_topk, op8_ngram_join
@@ -95,6 +99,66 @@ def test_only_prefixes_leave_the_blocks_of_a_hot_group(spark, monkeypatch):
     assert "explode(transform(list" not in made[0]
 
 
+def test_a_passage_many_have_in_common_makes_no_hot_group(spark, monkeypatch):
+    """So no set is routed twice, whatever its length or the number of documents."""
+    again, large, real, routes = [], [], ngram_join._rest, ngram_join._routes
+
+    def rest(*args):
+        again.append(args)
+        return real(*args)
+
+    def route(*args):
+        out = routes(*args)
+        large.append(out.agg(F.max("tokens")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(ngram_join, "_rest", rest)
+    monkeypatch.setattr(ngram_join, "_routes", route)
+    s = Settings(block_tokens=1200, common=16, count_tokens=3000)
+    for families in ((), (12, 9)):
+        docs = hot_passage(families)
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(spark.createDataFrame(docs, "doc_id long, text string"), s=s).collect())
+        assert got == sorted(jaccard_components(docs))
+    assert not again and max(large) <= s.block_tokens, large
+
+
+def test_common_tokens_stand_last_in_every_prefix(spark):
+    rows = [(i, t) for i, t in hot_passage((12, 9))] + [(1000, None), (1001, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    named = ngram_join._named(df, "doc_id", "text")
+    sets = ngram_join.document_sets(named)
+    values, n = ngram_join.shingle_sets(pa.array([t for _, t in rows]))
+    token, f = np.unique(values, return_counts=True)
+    for s in (Settings(common=16), Settings(common=16, count_tokens=500)):
+        last = ngram_join._common_tokens(named, sets, s)
+        # f > 81 / 16; of the tokens a family of 9 or 12 has, some blocks hold one only.
+        assert set(token[f >= 40]) <= set(last) <= set(token[f > 5])
+    last = ngram_join._common_tokens(named, sets, Settings(common=16, common_tokens=5))
+    assert len(last) == 5 and f[np.searchsorted(token, last)].min() == np.sort(f)[-5]
+    assert not len(ngram_join._common_tokens(named, sets, Settings()))
+    last = token[f > 5][np.argsort(f[f > 5], kind="stable")]
+    place = {int(t): 1 + i for i, t in enumerate(last)}
+    want, edge = [], np.concatenate([[0], np.cumsum(n)])
+    for a, b in zip(edge[:-1], edge[1:]):
+        take = (b - a) - ngram_join.least_overlap(b - a) + ngram_join.extra_tokens(b - a, s) if b > a else 0
+        want += sorted((place.get(int(t), 0), int(t)) for t in values[a:b])[:take]
+    got = ngram_join._prefix_tokens(named, last, s).collect()
+    assert sorted(r["token"] % 2**64 for r in got) == sorted(t for _, t in want)
+
+
+def test_saved_rows_leave_no_shuffle_files(spark):
+    """They are gone while the plan is still referred to, without a collection of garbage."""
+    root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in root for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = files()
+    plan = spark.range(100_000).groupBy(F.xxhash64("id").alias("k")).count()
+    kept = common.saved(plan)
+    end = time.time() + 10
+    while (left := files() - before) and time.time() < end:
+        time.sleep(0.1)
+    assert not left and kept.count() == plan.count() == 100_000
+
+
 def test_cells_bring_every_two_together_once(spark):
     s = Settings(block_tokens=40)
     rows = [(7, i, 5, i % 3) for i in range(90)] + [(8, i, 5, 0) for i in range(30)] + [(9, i, 5, 1 + i % 2) for i in range(30)]
