@@ -7,6 +7,7 @@ by numpy alone.  It starts anew when it is full, which bounds its memory.
 """
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
@@ -26,7 +27,10 @@ ENCODE_AT_ONCE = 4_096
 
 
 def library_ids(model, texts: list[str]) -> Iterator[list[int]]:
-    """The tokenizers library's ids of each text."""
+    """The tokenizers library's ids of each text, without threads of its own:
+    a task has one core, the others belong to other tasks, and a worker with no
+    second thread has none to wait for."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     for a in range(0, len(texts), ENCODE_AT_ONCE):
         for e in model.encode_batch_fast(texts[a : a + ENCODE_AT_ONCE], add_special_tokens=False):
             yield e.ids

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -115,3 +117,21 @@ def test_a_full_cache_starts_anew():
     for _ in range(3):
         out = cache.encode(data, at, at + 1, np.array([0, 3, 3, 8]), lambda units, _: ([u[0], u[0]] for u in units))
         assert [np.frombuffer(x, "<u4").tolist() for x in out] == [[97, 97, 98, 98, 99, 99], [], [100, 100, 101, 101, 102, 102, 103, 103, 104, 104]]
+
+
+@pytest.mark.skipif(not os.path.isdir("/proc/self/task"), reason="threads are counted in /proc")
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoding_starts_no_threads(name):
+    code = f"""
+import os
+import pyarrow as pa
+from strata.llm import bpe, token_files
+own = (bpe.encoder if {name!r}.startswith("word") else token_files.tokenizer)(bpe.vocabulary({name!r}))
+texts = pa.array([" ".join(f"{{w}}{{i}}" for w in ("alpha", "Beta", "x-y", "q'r")) for i in range(3000)])
+before = len(os.listdir("/proc/self/task"))
+print(len(own.encode_texts(texts)), len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == ["3000", "0"], out.stderr
