@@ -146,6 +146,45 @@ def test_common_tokens_stand_last_in_every_prefix(spark):
     assert sorted(r["token"] % 2**64 for r in got) == sorted(t for _, t in want)
 
 
+def test_sets_go_to_their_groups_as_texts_and_no_step_keeps_their_tokens(spark, monkeypatch):
+    """Where most documents are near copies, the kept tokens of all places were the most disk; no two rows of a token were shuffled for one."""
+    kept, plans, real = [], [], ngram_join.saved
+
+    def saved(df):
+        kept.append(df.columns)
+        if {"set", "centre", "c"} <= set(df.columns):
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(ngram_join, "saved", saved)
+    docs = hot_passage((12, 9, 30))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == sorted(jaccard_components(docs))
+    assert kept and not [c for c in kept if "tokens" in c and "role" in c], kept
+    assert plans and "SortMergeJoin" not in plans[0] and "count(distinct" not in plans[0], plans
+
+
+def test_meetings_of_tokens_are_those_of_a_plain_plan(spark):
+    """With rows that repeat, tokens of few and of many sets, and more rows than a task looks at together."""
+    n = 300_000
+    ids = spark.range(0, n, 1, 4)
+    token = F.when(F.col("id") % 5 == 0, F.lit(8)).when(F.col("id") % 5 == 1, F.lit(30)).otherwise(100 + 2 * F.floor(F.col("id") / 3))
+    rows = ids.select(token.cast("long").alias("token"), F.xxhash64(F.col("id") % 200_000).alias("set"), (token == 30).alias("common"))
+    rows = rows.union(rows.where("token % 10 = 0"))
+    lone = spark.range(3).select(F.lit(50).cast("long").alias("token"), F.lit(7).cast("long").alias("set"), F.lit(True).alias("common"))
+    rows = rows.union(lone)  # a common token of one set
+    shared = rows.groupBy("token").agg(F.min("set").alias("centre"), F.max("set").alias("last")).where("centre != last")
+    plain = rows.select("token", "set").distinct().join(shared, "token").groupBy("set", "centre").count()
+    for tokens in (rows, rows.drop("common")):
+        got = ngram_join._meetings(tokens, ("set",)).groupBy("set", "centre").count()
+        assert got.count() == plain.count() > 100_000
+        assert got.exceptAll(plain).isEmpty()
+    two = rows.withColumn("hot", F.col("token") % 3)
+    got = ngram_join._meetings(two, ("hot", "set")).groupBy("hot", "set", "centre").count()
+    want = two.select("token", "hot", "set").distinct().join(shared, "token").groupBy("hot", "set", "centre").count()
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
 def test_saved_rows_leave_no_shuffle_files(spark):
     """They are gone while the plan is still referred to, without a collection of garbage."""
     root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
