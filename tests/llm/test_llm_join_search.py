@@ -164,6 +164,24 @@ def test_sets_go_to_their_groups_as_texts_and_no_step_keeps_their_tokens(spark,
     assert plans and "SortMergeJoin" not in plans[0] and "count(distinct" not in plans[0], plans
 
 
+def test_no_round_shuffles_more_text_than_all_documents(spark, monkeypatch):
+    """Where a set has several places its groups are dealt to rounds, each once."""
+    sets = spark.createDataFrame([(i, 10) for i in range(300)], "set long, n long")
+    routes = sets.crossJoin(spark.createDataFrame([(c,) for c in range(-5, 0)], "c long")).selectExpr("set", "n", "c * 1000 + set % 40 as group")
+    meets = routes.select("set", "group", F.lit(ngram_join.PROBES).alias("role"))
+    parts = [sorted((r["set"], r["group"]) for r in x.collect()) for x in ngram_join._rounds(meets, routes, sets)]
+    assert len(parts) == 5 and max(map(len, parts)) <= 2 * len(sets.collect())
+    assert sorted(x for p in parts for x in p) == sorted((r["set"], r["group"]) for r in meets.collect())
+    assert len({g for p in parts for g in {g for _, g in p}}) == sum(len({g for _, g in p}) for p in parts)  # no group is in two
+    assert len(ngram_join._rounds(meets.limit(0), routes.limit(0), sets.limit(0))) == 1
+
+    monkeypatch.setattr(ngram_join, "_rounds", lambda meets, *more: [meets.where(F.pmod("group", F.lit(3)) == k) for k in range(3)])
+    docs = hot_passage((12, 9))
+    for s in (ngram_join.Settings(), ngram_join.Settings(block_tokens=1200)):
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups(spark.createDataFrame(docs, "doc_id long, text string"), s=s).collect())
+        assert got == sorted(jaccard_components(docs))
+
+
 def test_meetings_of_tokens_are_those_of_a_plain_plan(spark):
     """With rows that repeat, tokens of few and of many sets, and more rows than a task looks at together."""
     n = 300_000
